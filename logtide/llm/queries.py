@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logtide.llm import chat_format, decontamination, nearest, quality, secret_scan, sentencepiece_codec, sharding, url_filters
+from logtide.llm import chat_format, decontamination, nearest, quality, secret_scan, sentencepiece_codec, sharding, substring_dedup, url_filters
 
 QUERIES = {
     f.__name__: f
@@ -15,6 +15,7 @@ QUERIES = {
         decontamination.op6_decontamination,
         secret_scan.op8_secrets,
         chat_format.op9_chat_format,
+        substring_dedup.op10_substring_dedup,
     )
 }
 

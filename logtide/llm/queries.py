@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logtide.llm import chat_format, decontamination, nearest, quality, secret_scan, sentencepiece_codec, sharding, substring_dedup, url_filters
+from logtide.llm import chat_format, decontamination, jaccard_join, nearest, quality, secret_scan, sentencepiece_codec, sharding, substring_dedup, url_filters
 
 QUERIES = {
     f.__name__: f
@@ -13,6 +13,7 @@ QUERIES = {
         sentencepiece_codec.op4_sentencepiece,
         nearest.op5_nearest,
         decontamination.op6_decontamination,
+        jaccard_join.op7_jaccard_join,
         secret_scan.op8_secrets,
         chat_format.op9_chat_format,
         substring_dedup.op10_substring_dedup,

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from logtide.llm.blocks import INVERSE, U, blocks, byte_values, mix, powers, prefix_hashes, range_hashes, ranges, strings, text_arrays
 from logtide.llm.decontamination import unions
+from logtide.llm.packed import PACKED, Outbox, joined, records, unpack
 from logtide.scratch import Scratch
 
 WIDTH = 200
@@ -40,9 +41,6 @@ PLACE = 30
 ATOM = np.dtype([("g", "<u8"), ("h", "<u8"), ("row", "<i8"), ("lo", "<u4"), ("n", "<u1"), ("known", "<u1")])
 REQUEST = np.dtype([("row", "<i8"), ("g", "<u8"), ("lo", "<u4"), ("n", "<u1"), ("known", "<u1")])
 SPAN = np.dtype([("row", "<i8"), ("lo", "<u4"), ("n", "<u4")])
-#: Records that a task gathers before it sends them on.
-GATHER = 1 << 19
-PACKED = "kind int, part int, payload binary"
 ATOMS, REQUESTS, SPANS = 0, 1, 2
 
 
@@ -91,35 +89,6 @@ def classes(g: np.ndarray, h: np.ndarray, known: np.ndarray) -> tuple[np.ndarray
     return order, first, np.cumsum(new) - 1, repeated
 
 
-def records(kind: np.dtype, **columns) -> np.ndarray:
-    out = np.zeros(len(next(iter(columns.values()))), kind)
-    for name, values in columns.items():
-        out[name] = values
-    return out
-
-
-class Outbox:
-    """Gathers records and packs them by part, the key modulo the number of parts (keys are hashes)."""
-
-    def __init__(self, parts: int):
-        self.parts, self.held, self.size = parts, {}, 0
-
-    def add(self, kind: int, rows: np.ndarray, key: np.ndarray) -> None:
-        if len(rows):
-            self.held.setdefault(kind, []).append((rows, np.ascontiguousarray(key).view(np.int64) % self.parts))
-            self.size += len(rows)
-
-    def flush(self):
-        for kind, found in self.held.items():
-            rows, part = (np.concatenate(x) for x in zip(*found))
-            order = np.argsort(part, kind="stable")
-            rows, part = rows[order], part[order]
-            heads = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-            at = np.append(heads, len(rows)) * rows.dtype.itemsize
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(heads), kind, np.int32)), pa.array(part[heads].astype(np.int32)), strings(rows.view(np.uint8), at, pa.binary())], ["kind", "part", "payload"])
-        self.held, self.size = {}, 0
-
-
 def find_atoms(texts: DataFrame, parts: int) -> DataFrame:
     """Packed atoms by anchor (one of each class and block), and spans of what is repeated within a block."""
 
@@ -137,7 +106,7 @@ def find_atoms(texts: DataFrame, parts: int) -> DataFrame:
                 t, a, b = unions(text[twice], lo[twice], lo[twice] + n[twice])
                 at = rows.column("row").to_numpy()[t]
                 out.add(SPANS, records(SPAN, row=at, lo=a - offsets[t], n=b - a), at)
-                if out.size >= GATHER:
+                if out.full():
                     yield from out.flush()
         yield from out.flush()
 
@@ -148,15 +117,14 @@ def match_classes(dealt: DataFrame, parts: int) -> DataFrame:
     """Spans of atoms whose class is repeated, and requests for one text of each class of an anchor that has several."""
 
     def run(batches):
-        held: dict[int, list[np.ndarray]] = {ATOMS: []}
+        held: list[np.ndarray] = []
         for batch in batches:
             kinds = batch.column("kind").to_numpy()
             passed = batch.filter(pa.array(kinds == SPANS))
             if passed.num_rows:
                 yield passed
-            payload = batch.column("payload")
-            held[ATOMS] += [np.frombuffer(payload[i].as_py(), ATOM) for i in np.flatnonzero(kinds == ATOMS).tolist()]
-        a = np.concatenate(held[ATOMS]) if held[ATOMS] else np.zeros(0, ATOM)
+            held += unpack(batch, ATOMS, ATOM)
+        a = joined(held, ATOM)
         order, first, of, repeated = classes(a["g"], a["h"], a["known"].astype(bool))
         a = a[order]
         out = Outbox(parts)

@@ -4,7 +4,7 @@ Rows fall into atomic groups (equal texts), which stand in the order of their 64
 runs so that the largest run is as small as possible: binary-search the smallest capacity for which a greedy fill needs no
 more than ``n`` runs, then cut there.
 
-The driver never holds the groups. It holds the total sizes of key ranges, at first 4096 equal ones, and answers the
+The driver never holds the groups. It holds the total sizes of key ranges, at first 512 equal ones, and answers the
 greedy check with a lower and an upper bound of where each cut lies. Only if the bounds leave a capacity undecided are the
 ranges that its cuts fall into split again by one small aggregation, so that what is sent to the driver does not grow with
 the number of groups.
@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 from logtide.scratch import Scratch
 
 SHARDS = 16
-CHILDREN = 4096
+BITS = 9
+CHILDREN = 1 << BITS
 #: Key ranges that are split by one aggregation at most.
-SPLITS = 64
+SPLITS = 128
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
 
 
@@ -41,18 +42,20 @@ class Ranges:
         self.replace([(LOW, HIGH)])
 
     def replace(self, spans: list[tuple[int, int]]) -> None:
-        """Split the spans into CHILDREN parts each."""
-        parts = []
-        for low, high in spans:
-            step = (high - low) // CHILDREN + 1
-            # offsets from the lowest key, as decimals: they don't fit in 64 bits
-            at = ((F.col("key").cast("decimal(20,0)") - F.lit(str(low)).cast("decimal(20,0)")) / F.lit(str(step)).cast("decimal(20,0)")).cast("decimal(38,10)")
-            parts.append(self.groups.where(F.col("key").between(low, high)).groupBy(F.lit(low).alias("span"), F.floor(at).cast("int").alias("part")).agg(F.min("key").alias("low"), F.max("key").alias("high"), F.sum("size").alias("size")))
-        rows = parts[0]
-        for p in parts[1:]:
-            rows = rows.unionByName(p)
+        """Split the spans (disjoint, in order) into CHILDREN parts each, by one aggregation."""
+        key = F.col("key")
+        if spans == [(LOW, HIGH)]:
+            span, part = F.lit(0), F.shiftright("key", 64 - BITS)
+        else:
+            lows, highs = (F.array(*[F.lit(x[i]) for x in spans]) for i in (0, 1))
+            steps = F.array(*[F.lit((high - low) // CHILDREN + 1) for low, high in spans])
+            span = F.size(F.filter(lows, lambda x: x <= key))
+            of = lambda values: F.get(values, span - 1)
+            part = F.when(key <= of(highs), F.floor((key - of(lows)) / of(steps)))
+        rows = self.groups.select("key", "size", span.alias("span"), part.cast("bigint").alias("part")).where("part is not null")
+        found = rows.groupBy("span", "part").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.sum("size").alias("size"))
         gone = {low for low, _ in spans}
-        self.cells = sorted([c for c in self.cells if c[0] not in gone] + [(r.low, r.high, int(r.size), r.low == r.high) for r in rows.collect()])  # CHILDREN rows a span at most
+        self.cells = sorted([c for c in self.cells if c[0] not in gone] + [(r.low, r.high, int(r.size), r.low == r.high) for r in found.collect()])  # CHILDREN rows a span at most
         self.edges = [0]
         for c in self.cells:
             self.edges.append(self.edges[-1] + c[2])
@@ -71,7 +74,7 @@ class Ranges:
 
     def split(self, vague: set[int]) -> None:
         some = sorted(vague, key=lambda i: (-self.cells[i][2], i))[:SPLITS]
-        self.replace([self.cells[i][:2] for i in some])
+        self.replace(sorted(self.cells[i][:2] for i in some))
 
     def smallest(self, shards: int) -> int:
         """The smallest feasible capacity."""
@@ -102,7 +105,8 @@ class Ranges:
 
 def minimax_shards(rows: DataFrame, shards: int = SHARDS, key: str = "key", size: str = "size") -> DataFrame:
     """Adds ``shard``: contiguous in the order of ``key`` (a 64-bit integer), groups whole, the largest shard as small as it can be."""
-    cuts = Ranges(rows.groupBy(F.col(key).alias("key")).agg(F.sum(size).alias("size"))).cuts(shards)
+    groups = Scratch(rows.sparkSession, "shards").cut(rows.groupBy(F.col(key).alias("key")).agg(F.sum(size).alias("size")), "groups")
+    cuts = Ranges(groups).cuts(shards)
     shard = F.lit(0)
     for cut in cuts:
         shard = shard + (F.col(key) > F.lit(cut)).cast("int")

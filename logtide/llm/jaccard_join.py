@@ -37,6 +37,7 @@ PERCENT = 75
 FREQUENT, MOST = 8, 1 << 16
 #: Largest l, and the cost of a verification in postings.
 LONGEST, VERIFY = 4, 8.0
+MORE = 24
 #: One in so many lists proposes pairs in the rounds before the last.
 SOME = 4
 POSTING = np.dtype([("token", "<u8"), ("set", "<i8"), ("at", "<u4")])
@@ -116,6 +117,17 @@ def overlap(a, b, percent: int = PERCENT):
     return (percent * (a + b) + 99 + percent) // (100 + percent)
 
 
+def needed(n, l, m, k):
+    """(smallest overlap, shared prefix tokens) that sets of n and m tokens with prefixes for l and k must have to be linked.
+
+    Linked sets share ``need`` of their first n - overlap + need and m - overlap + need tokens, for any need. The larger it
+    is, the fewer sets pass that share a passage only; it may not reach beyond the prefixes, and grows with the sets by one
+    in MORE, so that short sets whose last prefix tokens are frequent ones don't meet there.
+    """
+    both = overlap(n, m)
+    return both, np.minimum(both - np.maximum(least(n) - l, least(m) - k), np.minimum(l, k) + both // MORE)
+
+
 def prefix(order: np.ndarray, frequency: np.ndarray) -> tuple[int, int]:
     """(l, prefix length) of a document, from its tokens' frequencies in the global order."""
     n = len(order)
@@ -258,9 +270,9 @@ def proposals(p: np.ndarray, last: bool) -> tuple[np.ndarray, np.ndarray]:
     n, rest = p["n"].astype(np.int64), p["n"].astype(np.int64) - p["at"]
     ids = np.cumsum(np.concatenate([[True], p["token"][1:] != p["token"][:-1]]))
     wide = np.int64(n.max()) * 2 + 2
-    # n2 with 100 n >= PERCENT n2, and overlap(n, n2) <= rest + l - 1 for the largest l that a pair may have
+    # n2 with 100 n >= PERCENT n2, and overlap(n, n2) <= rest + need - 1 for the largest need that a pair may have
     by_length = 100 * n // PERCENT
-    by_place = ((100 + PERCENT) * (rest + p["l"] - 1)) // PERCENT - n
+    by_place = ((100 + PERCENT) * ((rest + p["l"] - 1) * MORE // (MORE - 1) + 1)) // PERCENT - n
     stop = np.searchsorted(ids * wide + n, ids * wide + np.minimum(by_length, np.clip(by_place, 0, wide - 1)), side="right")
     own = np.arange(len(p))
     count = np.maximum(stop - own - 1, 0)
@@ -268,14 +280,15 @@ def proposals(p: np.ndarray, last: bool) -> tuple[np.ndarray, np.ndarray]:
 
 
 def candidate_pairs(p: np.ndarray, last: bool, limit: int = 1 << 20):
-    """(a, b, l, lists) of proposed pairs, some lists at a time."""
+    """(a, b, tokens that they need to share) of proposed pairs, some lists at a time."""
     p = p[np.argsort(p["token"], kind="stable")]
     if not len(p):
         return
     if not last:
         x, y = proposals(p, False)
         if len(x):
-            yield x["set"], y["set"], np.ones(len(x), np.int64)
+            # a pair that is worth the try shares half of what is looked at here of a prefix
+            yield x["set"], y["set"], np.maximum(1, np.minimum(x["n"], y["n"]).astype(np.int64) // (8 * SOME))
         return
     p, found = proposals(p, True)
     if not len(p):
@@ -289,15 +302,15 @@ def candidate_pairs(p: np.ndarray, last: bool, limit: int = 1 << 20):
         y = ranges(own[i:j] + 1, count[i:j])
         i = j
         a, b = p[x], p[y]
-        l = np.minimum(a["l"], b["l"]).astype(np.int64)
-        rest = np.minimum(a["n"].astype(np.int64) - a["at"], b["n"].astype(np.int64) - b["at"])
-        keep = (a["class"] != b["class"]) & (rest + l - 1 >= overlap(a["n"].astype(np.int64), b["n"].astype(np.int64)))
+        n, m, l, k = (v.astype(np.int64) for v in (a["n"], b["n"], a["l"], b["l"]))
+        both, need = needed(n, l, m, k)
+        keep = (a["class"] != b["class"]) & (np.minimum(n - a["at"], m - b["at"]) + need - 1 >= both)
         if keep.any():
-            yield a["set"][keep], b["set"][keep], l[keep]
+            yield a["set"][keep], b["set"][keep], need[keep]
 
 
 def propose(placed: DataFrame, last: bool, parts: int) -> DataFrame:
-    """Distinct pairs (a, b) to verify: those of the last round share at least l prefix tokens."""
+    """Distinct pairs (a, b) to verify, that share as many prefix tokens as they need."""
 
     def run(batches):
         held = []

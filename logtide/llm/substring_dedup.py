@@ -287,15 +287,17 @@ def repeated_windows(data: np.ndarray, offsets: np.ndarray, n: np.ndarray, group
     return text[proven], (start - offsets[text])[proven]
 
 
-def verified(data: np.ndarray, a: np.ndarray, b: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """Shorten extensions to the bytes that are indeed equal."""
-    total = np.cumsum(common)
-    if not len(total) or not total[-1]:
-        return common
-    unequal = np.flatnonzero(data[ranges(a, common)] != data[ranges(b, common)])
-    pair = np.searchsorted(total, unequal, side="right")
+def verified(data: np.ndarray, a: np.ndarray, b: np.ndarray, common: np.ndarray, limit: int = 1 << 20) -> np.ndarray:
+    """Shorten extensions to the bytes that are indeed equal; about ``limit`` bytes are compared at a time."""
     out = common.copy()
-    np.minimum.at(out, pair, unequal - (total - common)[pair])
+    ends = np.concatenate([[0], np.cumsum(common)])
+    i = 0
+    while i < len(common):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] + limit, side="right")) - 1)
+        unequal = np.flatnonzero(data[ranges(a[i:j], common[i:j])] != data[ranges(b[i:j], common[i:j])]) + ends[i]
+        pair = np.searchsorted(ends, unequal, side="right") - 1
+        np.minimum.at(out, pair, unequal - ends[pair])
+        i = j
     return out
 
 

@@ -150,7 +150,7 @@ def meet(packed: DataFrame, kind: int, texts: DataFrame, parts: int, dtype: np.d
     """
     left = packed.where(F.col("kind") == kind).select("part", F.lit(0).alias("late"), "payload", F.lit(None).cast("bigint").alias("row"), F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("text"))
     right = texts.select("part", F.lit(1).alias("late"), F.lit(None).cast("binary").alias("payload"), "row", "doc_id", "text")
-    dealt = left.unionByName(right).repartition(parts, "part").sortWithinPartitions("part", "late")
+    dealt = left.unionByName(right).repartitionById(parts, "part").sortWithinPartitions("part", "late")
 
     def run(batches):
         held, of = np.zeros(0, dtype), None
@@ -352,13 +352,13 @@ def strip(rows, data, offsets, held):
 def dedup(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """``doc_id``, ``kept`` (the remaining bytes) and ``removed`` (runs of removed bytes) of each document."""
     spark = docs.sparkSession
-    parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     scratch = Scratch(spark, "substrings")
     row = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("row", row)
 
     placed = texts.withColumn("part", F.pmod("row", F.lit(parts)).cast("int"))
-    found = scratch.cut(match_classes(find_atoms(texts.select("row", "text"), parts).repartition(parts, "part"), parts), "classes")
+    found = scratch.cut(match_classes(find_atoms(texts.select("row", "text"), parts).repartitionById(parts, "part"), parts), "classes")
     cut = meet(found, REQUESTS, placed, parts, REQUEST, cut_out, TEXTS)
     more = scratch.cut(compare_texts(cut.repartition(parts, "g"), parts), "suffixes")
     return meet(found.unionByName(more), SPANS, placed, parts, SPAN, strip, KEPT)

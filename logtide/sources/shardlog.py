@@ -193,7 +193,7 @@ class _Writing:
             if shard is None:
                 shard = f"shard-{int(hashlib.md5(r['partition_key'].encode()).hexdigest(), 16) * self.n >> 128:03d}"
             stamp = r.get("approximate_arrival_timestamp")
-            r["approximate_arrival_timestamp"] = now if stamp is None else stamp.replace(tzinfo=timezone.utc) if stamp.tzinfo is None else stamp
+            r["approximate_arrival_timestamp"] = now if stamp is None else stamp.astimezone(timezone.utc)  # without a zone: local time
             r["aggregated"] = bool(r.get("aggregated"))
             mine = held.setdefault(shard, [])
             mine.append(r)

@@ -1,4 +1,4 @@
-"""URL filters, nearest neighbours, Jaccard join, chat formatting, substring deduplication and the pipeline."""
+"""URL filters, nearest neighbours, Jaccard join, chat formatting and substring deduplication."""
 
 import hashlib
 import json
@@ -251,18 +251,3 @@ def test_suffix_sort_orders_suffixes():
     raw = data.tobytes()
     want = sorted(range(400), key=lambda i: (group[i], raw[at[i] :]))
     assert order.tolist() == want
-
-
-def test_pipeline(spark, sf_dir):
-    import corpus_pipeline
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    columns, n = docs.columns, [docs.count()]
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = spark.createDataFrame(stage(spark, docs, sf_dir).collect(), docs.schema)
-        assert docs.columns == columns, name
-        n.append(docs.count())
-    assert n[0] > n[1] > n[2] >= n[3] == n[4] > 0
-    out = corpus_pipeline.run(spark, sf_dir)
-    assert out.count() == n[4] and out.where("not restored").count() == 0
-    assert {r.doc_id for r in out.collect()} == {r.doc_id for r in docs.collect()}

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.blocks import U, byte_values, flags, map_texts, prefix_hashes, range_hashes, ranges, strings, text_arrays, word_spans
+from logtide.llm.blocks import byte_values, flags, map_texts, prefix_hashes, range_hashes, ranges, strings, text_arrays, word_spans
 
 #: Bytes of benchmark text that are sent to the tasks at a time.
 PART = 4 << 20

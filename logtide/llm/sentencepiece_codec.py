@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.blocks import BASE, U, byte_values, map_texts, prefix_hashes, range_hashes, ranges, strings, text_arrays
+from logtide.llm.blocks import U, byte_values, map_texts, prefix_hashes, range_hashes, ranges, strings
 
 SPACE = "▁"
 NONE = np.iinfo(np.int32).max

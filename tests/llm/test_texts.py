@@ -7,7 +7,6 @@ import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from logtide.llm import decontamination, quality, secret_scan, sentencepiece_codec, sharding
 from logtide.llm.blocks import blocks, text_arrays

@@ -16,6 +16,7 @@ def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
     """
     edges = scratch.cut(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{label}-0")
     steps: list[DataFrame] = []
+    spent = [f"{label}-0"]
     while not edges.isEmpty():
         n = len(steps) + 1
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -24,6 +25,7 @@ def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
             further = parent.select(F.col("node").alias("to"), F.col("to").alias("further"))
             jumped = parent.join(further, "to").select("node", F.col("further").alias("to"))
             parent = scratch.cut(jumped, f"{label}-p{n}-{k}")
+        spent += [f"{label}-{n}", f"{label}-p{n}", *(f"{label}-p{n}-{k}" for k in range(2))]
         steps.append(parent)
         of = lambda side: parent.select(F.col("node").alias(side), F.col("to").alias(f"{side}2"))
         moved = edges.join(of("a"), "a").join(of("b"), "b").where("a2 <> b2")
@@ -33,4 +35,7 @@ def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
     out = steps[0].select("node", F.col("to").alias("component"))
     for later in steps[1:]:
         out = out.join(later.select(F.col("node").alias("component"), "to"), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
-    return scratch.cut(out, f"{label}-all")
+    out = scratch.cut(out, f"{label}-all")
+    for name in spent:
+        scratch.drop(name)
+    return out

@@ -44,7 +44,8 @@ POSTING = np.dtype([("token", "<u8"), ("set", "<i8"), ("at", "<u4")])
 MEMBER = np.dtype([("set", "<i8"), ("n", "<u4"), ("l", "<u4")])
 LISTED = np.dtype([("token", "<u8"), ("set", "<i8"), ("at", "<u4"), ("size", "<u4")])
 PLACED = np.dtype([("token", "<u8"), ("set", "<i8"), ("class", "<i8"), ("n", "<u4"), ("l", "<u4"), ("at", "<u4"), ("degree", "<f4")])
-POSTINGS, MEMBERS, LISTS = 0, 1, 2
+PAIR = np.dtype([("a", "<i8"), ("b", "<i8"), ("need", "<u4"), ("lists", "<u4")])
+POSTINGS, MEMBERS, LISTS, ACTIVE, PAIRS = 0, 1, 2, 3, 4
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -206,6 +207,8 @@ def find_lists(dealt: DataFrame, parts: int) -> DataFrame:
         p, each = p[each > 1], each[each > 1]
         out = Outbox(parts)
         out.add(LISTS, records(LISTED, token=p["token"], set=p["set"], at=p["at"], size=each), p["set"])
+        active = np.unique(p["set"])
+        out.add(ACTIVE, active, active)
         yield from out.flush()
 
     return dealt.mapInArrow(run, PACKED)
@@ -247,7 +250,7 @@ def place(found: DataFrame, classes: DataFrame | None, parts: int, every: int) -
         out.add(LISTS, rows, p["token"])
         yield from out.flush()
 
-    return packed.repartition(parts, "part").mapInArrow(run, PACKED)
+    return packed.repartitionById(parts, "part").mapInArrow(run, PACKED)
 
 
 def proposals(p: np.ndarray, last: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -309,23 +312,41 @@ def candidate_pairs(p: np.ndarray, last: bool, limit: int = 1 << 20):
             yield a["set"][keep], b["set"][keep], need[keep]
 
 
+def counted(pairs: np.ndarray) -> np.ndarray:
+    """Each pair once, its lists added up."""
+    pairs = pairs[np.lexsort((pairs["b"], pairs["a"]))]
+    if not len(pairs):
+        return pairs
+    heads = np.flatnonzero(np.concatenate([[True], (pairs["a"][1:] != pairs["a"][:-1]) | (pairs["b"][1:] != pairs["b"][:-1])]))
+    out = pairs[heads]
+    out["lists"] = np.add.reduceat(pairs["lists"], heads)
+    return out
+
+
 def propose(placed: DataFrame, last: bool, parts: int) -> DataFrame:
     """Distinct pairs (a, b) to verify, that share as many prefix tokens as they need."""
 
-    def run(batches):
-        held = []
+    def propose_pairs(batches):
+        held, out = [], Outbox(parts)
         for batch in batches:
             held += unpack(batch, LISTS, PLACED)
-        for a, b, l in candidate_pairs(joined(held, PLACED), last):
-            low, high = np.minimum(a, b), np.maximum(a, b)
-            order = np.lexsort((high, low))
-            low, high, l = low[order], high[order], l[order]
-            heads = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
-            count = np.diff(np.append(heads, len(low)))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (low[heads], high[heads], l[heads], count.astype(np.int64))], ["a", "b", "l", "lists"])
+        for a, b, need in candidate_pairs(joined(held, PLACED), last):
+            pairs = counted(records(PAIR, a=np.minimum(a, b), b=np.maximum(a, b), need=need, lists=np.ones(len(a))))
+            out.add(PAIRS, pairs, mix(pairs["a"].view(U) ^ mix(pairs["b"].view(U))))
+            if out.full():
+                yield from out.flush()
+        yield from out.flush()
 
-    pairs = placed.repartition(parts, "part").mapInArrow(run, "a bigint, b bigint, l bigint, lists bigint")
-    return pairs.groupBy("a", "b").agg(F.max("l").alias("l"), F.sum("lists").alias("lists")).where("lists >= l").select("a", "b")
+    def count(batches):
+        held = []
+        for batch in batches:
+            held += unpack(batch, PAIRS, PAIR)
+        pairs = counted(joined(held, PAIR))
+        pairs = pairs[pairs["lists"] >= pairs["need"]]
+        yield pa.RecordBatch.from_arrays([pa.array(pairs["a"]), pa.array(pairs["b"])], ["a", "b"])
+
+    found = placed.repartitionById(parts, "part").mapInArrow(propose_pairs, PACKED)
+    return found.repartitionById(parts, "part").mapInArrow(count, "a bigint, b bigint")
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -357,7 +378,7 @@ def classes_of(docs: DataFrame) -> DataFrame:
     """``row``, ``doc_id``, ``n`` (size of the set), ``class`` (null without a set) and ``component`` (its smallest doc_id) for each document."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
     told = scratch.cut(describe(texts), "described")
     documents = told.where("kind = 0").select("row", "doc_id", "n", F.col("key").alias("set"))
@@ -366,14 +387,15 @@ def classes_of(docs: DataFrame) -> DataFrame:
     order = np.argsort(tokens)
     frequent = spark.sparkContext.broadcast((tokens[order], counts[order]))
 
-    lists = scratch.cut(find_lists(find_postings(texts, frequent, parts).repartition(parts, "part"), parts), "lists")
+    lists = scratch.cut(find_lists(find_postings(texts, frequent, parts).repartitionById(parts, "part"), parts), "lists")
     # the texts of sets that share a token with another one
     def members(batches):
+        held = []
         for batch in batches:
-            for p in unpack(batch, LISTS, LISTED):
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(p["set"]))], ["set"])
+            held += unpack(batch, ACTIVE, np.dtype("<i8"))
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(joined(held, np.dtype("<i8"))))], ["set"])
 
-    active = lists.where(F.col("kind") == LISTS).mapInArrow(members, "set bigint").distinct()
+    active = lists.where(F.col("kind") == ACTIVE).repartitionById(parts, "part").mapInArrow(members, "set bigint")
     rows = documents.where("n > 0").groupBy("set").agg(F.min("row").alias("row")).join(active, "set")
     known = scratch.cut(texts.select("row", "text").join(rows, "row").groupBy("set").agg(F.first("text").alias("text")), "texts")
     links: DataFrame | None = None
@@ -385,6 +407,8 @@ def classes_of(docs: DataFrame) -> DataFrame:
             continue
         links = new if links is None else links.unionByName(new)
         classes = components(links, scratch, f"classes-{n}")
+    for name in ("lists", "texts"):
+        scratch.drop(name)
     if classes is None:
         labelled = documents.withColumn("class", F.col("set"))
     else:

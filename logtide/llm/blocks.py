@@ -134,30 +134,32 @@ def continuation_counts(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def column(batch: pa.RecordBatch, name: str, kind: pa.DataType) -> pa.Array:
-    return batch.column(name).cast(kind)
-
-
 def map_texts(df, make, fields: str, carry: tuple[str, ...] = ("doc_id",), text: str = "text"):
     """Run vectorised code over whole texts: one output row per input row, no shuffle.
 
     ``make()`` is called once in each task and returns ``work(data, offsets) -> list of Arrow arrays`` in the order of
     ``fields`` (a DDL string). The columns in ``carry`` come back untouched inside the struct ``row``, so that they never
-    clash with ``fields``.
+    clash with ``fields``. Only the text goes to Python, once, and only ``fields`` come back; the carried columns wait in
+    the JVM.
     """
     from pyspark.sql import functions as F
     from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_type
 
-    picked = df.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(text).alias("text"))
-    schema = T.StructType([picked.schema["row"], *T.StructType.fromDDL(fields).fields])
+    schema = T.StructType.fromDDL(fields)
+    kinds = [to_arrow_type(f.dataType) for f in schema]
 
-    def run(batches):
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         work = make()
-        for batch in batches:
-            for rows, data, offsets in blocks(batch, "text"):
-                yield pa.RecordBatch.from_arrays([rows.column("row"), *work(data, offsets)], names=schema.fieldNames())
-
-    return picked.mapInArrow(run, schema)
+        for column in columns:
+            found = [work(data, offsets) for _, data, offsets in blocks(pa.RecordBatch.from_arrays([column], ["text"]), "text")]
+            whole = [pa.concat_arrays([part[i].cast(kind) for part in found]) if found else pa.array([], kind) for i, kind in enumerate(kinds)]
+            yield pa.StructArray.from_arrays(whole, schema.fieldNames())
+
+    # an expression that must not be evaluated twice, wherever its fields are used
+    udf = F.arrow_udf(run, schema).asNondeterministic()
+    picked = df.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), udf(F.col(text)).alias("found"))
+    return picked.select("row", "found.*")
 
 
 def strings(data: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:

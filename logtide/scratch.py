@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_root(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a temporary one only where nothing is set and the master is local."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)
+    root = root or spark.sparkContext.getCheckpointDir()
     if root:
         return root
     master = spark.sparkContext.master
@@ -22,11 +25,21 @@ def shared_root(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Writes tables that cut lineage, so that a lost executor costs a re-read and not a re-run of the whole plan."""
+    """Writes tables that cut lineage, so that a lost executor costs a re-read and not a re-run of the whole plan.
+
+    Results may be read as long as the application runs; what is left of the tables then goes.
+    """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        path, files = self._at(self.root)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+
+    def _at(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def cut(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -35,5 +48,5 @@ class Scratch:
 
     def drop(self, name: str) -> None:
         """Delete a table that no later plan reads."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        path, files = self._at(f"{self.root}/{name}")
+        files.delete(path, True)

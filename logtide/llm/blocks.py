@@ -51,6 +51,76 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+#: Masks of the first 0 to 8 bytes of a lane.
+_HEADS = np.array([(1 << 8 * i) - 1 for i in range(9)], U)
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z in lower case."""
+    return _LOWER[data]
+
+
+class Lanes:
+    """Byte ranges as 64-bit lanes of eight bytes each; the last lane of a range is padded with zeros."""
+
+    def __init__(self, data: np.ndarray):
+        self.held = np.concatenate([data, np.zeros(8, np.uint8)])
+        self.view = np.ndarray((len(data) + 1,), "<u8", self.held, strides=(1,))
+
+    def read(self, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(lanes, number of each within its range, first lane of each range); ranges are not empty."""
+        count = (length + 7) >> 3
+        first = np.cumsum(count) - count
+        number = np.arange(int(count.sum())) - np.repeat(first, count)
+        x = self.view[np.repeat(start, count) + 8 * number]
+        rest = np.minimum(np.repeat(length, count) - 8 * number, 8).astype(U)
+        x &= U(_MASK) >> (U(64) - U(8) * rest)
+        return x, number, first
+
+
+def range_digests(lanes: Lanes, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each byte range, the same wherever the bytes stand: the sum of its mixed lanes, mixed with its length.
+
+    Each lane is mixed with its number before it is added, so that nothing of the bytes' arithmetic is left (a polynomial
+    modulo 2**64 has the same value for some words of two letters and their complements).
+    """
+    length = end - start
+    out = np.zeros(len(start), U)
+    key = (U(seed) + np.arange(1, 5, dtype=U)) * U(0x9E3779B97F4A7C15)
+    some = np.flatnonzero((length > 0) & (length <= 32))
+    at, rest = start[some], length[some]
+    for k in key:  # a lane of each range that is that long
+        out[some] += mix(lanes.view[at] & _HEADS[np.minimum(rest, 8)] ^ k)
+        longer = np.flatnonzero(rest > 8)
+        some, at, rest = some[longer], at[longer] + 8, rest[longer] - 8
+        if not len(some):
+            break
+    some = np.flatnonzero(length > 32)
+    if len(some):
+        x, number, first = lanes.read(start[some], length[some])
+        x = mix(x ^ (U(seed) + number.astype(U) + U(1)) * U(0x9E3779B97F4A7C15))
+        out[some] = np.add.reduceat(x, first)
+    return mix(out + length.astype(U) * U(0xA24BAED4963EE407))
+
+
+def same_bytes(a: Lanes, start: np.ndarray, length: np.ndarray, b: Lanes, other: np.ndarray, limit: int = 1 << 20) -> np.ndarray:
+    """Whether the ranges of one length at ``start`` in a and at ``other`` in b hold the same bytes."""
+    out = np.ones(len(start), bool)
+    some = np.flatnonzero(length > 0)
+    total = np.cumsum(length[some])
+    at = 0
+    while at < len(some):
+        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + limit, side="right")))
+        now = some[at:end]
+        x, _, first = a.read(start[now], length[now])
+        y, _, _ = b.read(other[now], length[now])
+        out[now] = np.logical_and.reduceat(x == y, first)
+        at = end
+    return out
 
 
 @lru_cache(maxsize=4)
@@ -64,28 +134,19 @@ def powers(base: int, n: int) -> np.ndarray:
     return _powers(base, 1 << max(12, (max(n, 1) - 1).bit_length()))[:n]
 
 
-def byte_values(fold_case: bool) -> np.ndarray:
-    """A fixed random 64-bit value for each byte; A-Z share those of a-z if fold_case."""
-    table = mix(np.arange(1, 257, dtype=U) * U(0xD6E8FEB86659FD93))
-    if fold_case:
-        table[65:91] = table[97:123]
-    return table
+@lru_cache(maxsize=1)
+def byte_values() -> np.ndarray:
+    """A fixed random 64-bit value for each byte."""
+    return mix(np.arange(1, 257, dtype=U) * U(0xD6E8FEB86659FD93))
 
 
-def prefix_hashes(data: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """h[i]: polynomial hash of the first i bytes, modulo 2**64."""
+def prefix_hashes(data: np.ndarray) -> np.ndarray:
+    """h[i]: polynomial hash of the first i bytes, modulo 2**64. It may choose what to compare, never decide what is equal."""
     out = np.zeros(len(data) + 1, U)
-    np.cumsum(table[data] * powers(BASE, len(data)), out=out[1:])
+    np.cumsum(byte_values()[data] * powers(BASE, len(data)), out=out[1:])
     return out
 
 
-def range_hashes(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of the byte ranges, the same wherever the bytes stand."""
-    if not len(start):
-        return np.zeros(0, U)
-    return mix((h[end] - h[start]) * powers(INVERSE, len(h))[start] + (end - start).astype(U) * U(0xA24BAED4963EE407))
-
-
 def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of maximal runs of word bytes within texts, and the index of each text's first word (and the total)."""
     if not len(data):

@@ -1,33 +1,40 @@
 """N-gram Jaccard self-join with adaptive multi-match prefixes, as classes of linked documents.
 
-A document's set is that of its distinct 5-word shingles, as 64-bit hashes; documents of one set are one member of the
-join. Tokens have a global order: frequent ones last (frequencies of what recurs within a task's input, summed over all
-tasks), by hash among equals. Two sets of a similarity of t or more share a token among the first n - ceil(t n) + 1 of
-their n tokens, and l of them among the first n - ceil(t n) + l. Each document picks its own l by estimated cost: a longer
-prefix has more postings to read, but a pair is verified only if it shares as many prefix tokens as the smaller l of the two.
-
-1. Sets, and frequencies of tokens.
-2. Prefix tokens are dealt out by token. Tokens of one set only go no further; the others are posting lists.
+A document's set is that of its distinct 5-word shingles. Documents of the same words in the same order are one member of the
+join, known by a 128-bit BLAKE2 digest of them. Tokens are 64-bit hashes of shingles and have a global order: frequent ones
+last (frequencies of what recurs within a task's input, summed over all tasks), by hash among equals. Two sets of a similarity
+of t or more share a token among the first n - ceil(t n) + 1 of their n tokens, and l of them among the first
+n - ceil(t n) + l. Each document picks its own l by estimated cost: a longer prefix has more postings to read, but a pair is
+verified only if it shares as many prefix tokens as the smaller l of the two.
+
+1. Sizes of sets, and frequencies of tokens.
+2. Prefix tokens are dealt out by token. Tokens of one member only go no further; the others are posting lists. The list of a
+   token with more than ``SPLIT`` expected postings is dealt out in parts.
 3. Lists drop links that can't change the result. In the first two rounds each list proposes its members against the one
    with the most postings (a group of copies has an original). Verified links make classes. The last round proposes all
-   pairs of a list that are in different classes and pass the length, position and multi-match filters. So a group of
-   many near copies costs about one verification for each member, yet no link between classes is lost.
-4. Proposed pairs are verified exactly, from whole texts.
-
-Postings travel as packed arrays. Null texts and texts without words have no set and are linked with nothing; with fewer
-than five words the whole sequence is the only shingle. Rows that share a doc_id share its class.
+   pairs of a list that are in different classes and pass the length, position and multi-match filters; the parts of a
+   split list meet two by two, each two in a bucket of their own. So a group of many near copies costs about one
+   verification for each member, yet no link between classes is lost.
+4. Proposed pairs are verified from whole texts: shingles with equal hashes are held against each other word by word, and
+   words byte by byte.
+
+Postings travel as packed arrays, and a task holds one bucket of them at a time. Null texts and texts without words have no
+set and are linked with nothing; with fewer than five words the whole sequence is the only shingle. Each row is a document of
+its own: rows that share a doc_id but not their text are linked only if their texts are, and may be in two classes.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.blocks import U, blocks, byte_values, flags, mix, prefix_hashes, range_hashes, ranges, text_arrays, word_spans
+from logtide.llm.blocks import Lanes, U, blocks, flags, lowered, mix, range_digests, ranges, same_bytes, text_arrays, word_spans
 from logtide.llm.components import components
-from logtide.llm.packed import PACKED, Outbox, joined, records, unpack
+from logtide.llm.packed import PACKED, Outbox, bucket_count, buckets, deal, records, unpack
 from logtide.scratch import Scratch
 
 WORDS = 5
@@ -35,6 +42,8 @@ WORDS = 5
 PERCENT = 75
 #: A token that recurs so often in the distinct sets of some rows of a task counts as frequent; at most MOST of them are told apart.
 FREQUENT, MOST = 8, 1 << 16
+#: Postings of a part of a list that is dealt out in parts.
+SPLIT = 1 << 15
 #: Largest l, and the cost of a verification in postings.
 LONGEST, VERIFY = 4, 8.0
 MORE = 24
@@ -43,43 +52,110 @@ SOME = 4
 POSTING = np.dtype([("token", "<u8"), ("set", "<i8"), ("at", "<u4")])
 MEMBER = np.dtype([("set", "<i8"), ("n", "<u4"), ("l", "<u4")])
 LISTED = np.dtype([("token", "<u8"), ("set", "<i8"), ("at", "<u4"), ("size", "<u4")])
-PLACED = np.dtype([("token", "<u8"), ("set", "<i8"), ("class", "<i8"), ("n", "<u4"), ("l", "<u4"), ("at", "<u4"), ("degree", "<f4")])
+PLACED = np.dtype([("token", "<u8"), ("set", "<i8"), ("class", "<i8"), ("n", "<u4"), ("l", "<u4"), ("at", "<u4"), ("degree", "<f4"), ("side", "<u1")])
 PAIR = np.dtype([("a", "<i8"), ("b", "<i8"), ("need", "<u4"), ("lists", "<u4")])
 POSTINGS, MEMBERS, LISTS, ACTIVE, PAIRS = 0, 1, 2, 3, 4
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted distinct shingle hashes of each text, offsets)."""
-    start, end, first = word_spans(data, offsets, flags("space"))
-    w = range_hashes(prefix_hashes(data, byte_values(True)), start, end)
-    counts = np.diff(first)
-    many = np.where(counts > 0, np.maximum(counts - words + 1, 1), 0)
-    begin, length = ranges(first[:-1], many), np.repeat(np.minimum(counts, words), many)
-    h = length.astype(U)
-    for k in range(words):
-        h = np.where(length > k, (h + w[np.minimum(begin + k, max(len(w) - 1, 0))]) * U(0x9FB21C651E98DF25), h) if len(w) else h
-    h = mix(h)
-    edges = np.concatenate([[0], np.cumsum(many)])
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        h[a:b].sort()
-    new = np.ones(len(h), bool)
-    new[1:] = h[1:] != h[:-1]
-    new[edges[:-1][many > 0]] = True
-    return h[new], np.concatenate([[0], np.cumsum(new)])[edges]
-
-
-def set_keys(h: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    """A hash of each set; 0 for empty ones."""
-    out = np.zeros(len(edges) - 1, U)
-    some = np.flatnonzero(np.diff(edges))
-    if len(some):
-        mixed = mix(h ^ U(0xD1B54A32D192ED03))
-        out[some] = mix(np.add.reduceat(mixed, edges[some]) ^ (np.bitwise_xor.reduceat(mixed * U(0x2545F4914F6CDD1D), edges[some])))
-    return out.view(np.int64)
+class Shingles:
+    """The words of some texts, and their shingles: the first word and the number of words of each."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, words: int = WORDS):
+        self.words = words
+        self.start, self.end, self.first = word_spans(data, offsets, flags("space"))
+        self.lanes = Lanes(lowered(data))
+        counts = np.diff(self.first)
+        self.many = np.where(counts > 0, np.maximum(counts - words + 1, 1), 0)
+        self.edges = np.concatenate([[0], np.cumsum(self.many)])
+        self.begin, self.length = ranges(self.first[:-1], self.many), np.repeat(np.minimum(counts, words), self.many)
+        self._ids: np.ndarray | None = None
+
+    def hashes(self) -> np.ndarray:
+        """A 64-bit hash of each shingle: equal ones for equal words, hardly ever for others."""
+        w = range_digests(self.lanes, self.start, self.end)
+        n, padded = len(w), np.concatenate([w, np.zeros(self.words, U)])
+        g = np.full(n, U(self.words))
+        for k in range(self.words):
+            g = (g + padded[k : k + n]) * U(0x9FB21C651E98DF25)
+        h = g[self.begin]
+        short = np.flatnonzero(self.length < self.words)
+        if len(short):
+            begin, length = self.begin[short], self.length[short]
+            g = length.astype(U)
+            for k in range(self.words):
+                g = np.where(length > k, (g + padded[begin + k]) * U(0x9FB21C651E98DF25), g)
+            h[short] = g
+        return mix(h)
+
+    def equal(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether the shingles x and y are the same words, byte by byte."""
+        out = self.length[x] == self.length[y]
+        if not out.all():
+            out[out] = self.equal(x[out], y[out])
+            return out
+        # neighbours that match neighbours share words: one comparison for each word of such a run
+        i, j, n = self.begin[x], self.begin[y], self.length[x]
+        joins = np.zeros(len(x), bool)
+        joins[1:] = (i[1:] == i[:-1] + 1) & (j[1:] == j[:-1] + 1) & (n[1:] == n[:-1])
+        more = np.where(joins, 1, n)
+        a, b = ranges(i + n - more, more), ranges(j + n - more, more)
+        size = self.end[a] - self.start[a]
+        good = size == self.end[b] - self.start[b]
+        good[good] = same_bytes(self.lanes, self.start[a[good]], size[good], self.lanes, self.start[b[good]])
+        if good.all():
+            return out
+        if len(x) > 1:  # hashes that deceive: one by one
+            return np.concatenate([self.equal(x[k : k + 1], y[k : k + 1]) for k in range(len(x))])
+        return good.all(keepdims=True)
+
+    def sets(self, h: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(sorted hashes, shingles) of each text, a shingle once; those of one hash are held against each other."""
+        out = []
+        for a, b in zip(self.edges[:-1].tolist(), self.edges[1:].tolist()):
+            order = np.argsort(h[a:b], kind="stable") + a
+            mine = h[order]
+            same = np.flatnonzero(mine[1:] == mine[:-1]) + 1
+            if len(same):
+                twice = self.equal(order[same], order[same - 1])
+                keep = np.ones(len(order), bool)
+                keep[same[twice]] = False
+                order, mine = order[keep], mine[keep]
+            out.append((mine, order))
+        return out
+
+    def digests(self) -> np.ndarray:
+        """128 bits (as two integers) of the words in their order; 0 without words."""
+        length = self.end - self.start
+        joined = self.lanes.held[ranges(self.start, length + 1)]
+        ends = np.cumsum(length + 1)
+        joined[ends - 1] = 32
+        at = np.concatenate([[0], ends])[self.first]
+        raw = memoryview(joined)
+        found = b"".join(hashlib.blake2b(raw[a:b], digest_size=16).digest() if a < b else bytes(16) for a, b in zip(at[:-1].tolist(), at[1:].tolist()))
+        return np.frombuffer(found, "<i8").reshape(-1, 2)
+
+
+def shingles(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, Shingles]:
+    """(sorted hashes of the distinct shingles of each text, offsets, the shingles)."""
+    s = Shingles(data, offsets, words)
+    h = s.hashes()
+    sets = s.sets(h)
+    return np.concatenate([x for x, _ in sets]) if sets else h, np.concatenate([[0], np.cumsum([len(x) for x, _ in sets])]).astype(np.int64), s
+
+
+def member_ids(digests: np.ndarray, moved: np.ndarray) -> np.ndarray:
+    """64 bits for each digest; ``moved``: first halves that several digests share, whose members are known by the second."""
+    out = digests[:, 0].copy()
+    if len(moved):
+        hit = np.isin(out, moved)
+        out[hit] = mix(digests[hit, 1].astype(np.int64).view(U) ^ U(0xD1B54A32D192ED03)).view(np.int64)
+    return out
 
 
 def describe(texts: DataFrame) -> DataFrame:
-    """kind 0: (row, doc_id, n, set) of each document. kind 1: (row: a frequent token, n: its count)."""
+    """kind 0: (row, row2, doc_id, n, key, key2) of each document. kind 1: (key: a frequent token, n: its count)."""
+    schema = "kind int, row bigint, row2 bigint, doc_id bigint, n bigint, key bigint, key2 bigint"
+    names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches):
         seen: set[int] = set()
@@ -88,24 +164,53 @@ def describe(texts: DataFrame) -> DataFrame:
         def frequent():
             token, count = np.unique(np.concatenate(held), return_counts=True)
             keep = count >= FREQUENT
-            token, count = token[keep].view(np.int64), count[keep]
-            return pa.RecordBatch.from_arrays([pa.array(np.ones(len(token), np.int32)), pa.array(token), pa.array(token), pa.array(count), pa.array(token)], ["kind", "row", "doc_id", "n", "key"])
+            token, count = pa.array(token[keep].view(np.int64)), pa.array(count[keep])
+            return pa.RecordBatch.from_arrays([pa.array(np.ones(len(token), np.int32)), token, token, token, count, token, token], names)
 
         for batch in batches:
             for rows, data, offsets in blocks(batch, "text"):
-                h, edges = shingles(data, offsets)
-                keys = set_keys(h, edges)
+                h, edges, s = shingles(data, offsets)
+                keys = s.digests()
                 n = np.diff(edges)
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), rows.column("row"), rows.column("doc_id"), pa.array(n), pa.array(keys)], ["kind", "row", "doc_id", "n", "key"])
-                new = [i for i, k in enumerate(keys.tolist()) if k not in seen and not seen.add(k)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), *(rows.column(c) for c in ("row", "row2", "doc_id")), pa.array(n), pa.array(keys[:, 0]), pa.array(keys[:, 1])], names)
+                new = [i for i, k in enumerate(keys[:, 0].tolist()) if k not in seen and not seen.add(k)]
                 held.append(h[ranges(edges[new], n[new])])
-                if sum(map(len, held)) > 4_000_000:
+                if sum(map(len, held)) > 2_000_000:
                     yield frequent()
                     held, seen = [], set()
         if held:
             yield frequent()
 
-    return texts.select("row", "doc_id", "text").mapInArrow(run, "kind int, row bigint, doc_id bigint, n bigint, key bigint")
+    return texts.select("row", "row2", "doc_id", "text").mapInArrow(run, schema)
+
+
+class Frequent:
+    """The most frequent tokens, and into how many parts their lists are split."""
+
+    def __init__(self, tokens: np.ndarray, counts: np.ndarray, split: int = SPLIT):
+        order = np.argsort(tokens)
+        self.split = split
+        self.tokens, self.counts = tokens[order], counts[order].astype(np.float64)
+
+    def of(self, tokens: np.ndarray) -> np.ndarray:
+        """Counts; 1 for all other tokens."""
+        out = np.ones(len(tokens))
+        if len(self.tokens):
+            at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
+            hit = self.tokens[at] == tokens
+            out[hit] = self.counts[at[hit]]
+        return out
+
+    def part(self, tokens: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(parts of the token's list, the part of the set)."""
+        parts = np.ceil(self.of(tokens) / self.split).astype(np.int64)
+        return parts, (mix(np.ascontiguousarray(sets).view(U)) % parts.astype(U)).astype(np.int64)
+
+
+def list_id(token: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Id of a part of a list, or of two parts that meet."""
+    pair = (low.astype(U) << U(32)) | high.astype(U)
+    return np.where(pair > 0, mix(token ^ mix(pair)), token)
 
 
 def least(n, percent: int = PERCENT):
@@ -142,22 +247,17 @@ def prefix(order: np.ndarray, frequency: np.ndarray) -> tuple[int, int]:
     return best + 1, short + best
 
 
-def find_postings(texts: DataFrame, frequent, parts: int) -> DataFrame:
-    """Packed prefix postings by token, and the size and l of each set by set; a set once in each task at most."""
+def find_postings(texts: DataFrame, frequent, moved, count: int) -> DataFrame:
+    """Packed prefix postings by token, and the size and l of each member by member; a member once in each task at most."""
 
     def run(batches):
-        tokens, counts = frequent.value
         seen: set[int] = set()
-        out = Outbox(parts)
+        out = Outbox(count)
         for batch in batches:
             for _, data, offsets in blocks(batch, "text"):
-                h, edges = shingles(data, offsets)
-                keys = set_keys(h, edges)
-                frequency = np.ones(len(h))
-                if len(tokens):
-                    at = np.minimum(np.searchsorted(tokens, h), len(tokens) - 1)
-                    hit = tokens[at] == h
-                    frequency[hit] = counts[at[hit]]
+                h, edges, s = shingles(data, offsets)
+                keys = member_ids(s.digests(), moved.value)
+                frequency = frequent.value.of(h)
                 # frequent tokens last, by hash among those of one power of two
                 order = (np.log2(frequency).astype(U) << U(58)) | (h >> U(6))
                 picked, sets, places, members = [], [], [], []
@@ -175,9 +275,12 @@ def find_postings(texts: DataFrame, frequent, parts: int) -> DataFrame:
                 if picked:
                     token = np.concatenate(picked)
                     owner = np.repeat(*(np.array(x) for x in zip(*sets)))
-                    out.add(POSTINGS, records(POSTING, token=token, set=owner, at=np.concatenate(places)), token)
+                    part = frequent.value.part(token, owner)[1]
+                    out.add(POSTINGS, records(POSTING, token=token, set=owner, at=np.concatenate(places)), list_id(token, part, part))
                     m = np.array(members, MEMBER)
                     out.add(MEMBERS, m, m["set"])
+                if len(seen) > 1 << 20:
+                    seen = set()
                 if out.full():
                     yield from out.flush()
         yield from out.flush()
@@ -185,72 +288,83 @@ def find_postings(texts: DataFrame, frequent, parts: int) -> DataFrame:
     return texts.select("text").mapInArrow(run, PACKED)
 
 
-def find_lists(dealt: DataFrame, parts: int) -> DataFrame:
-    """Postings of tokens that several sets have, by set; what is known of the sets passes through."""
+def find_lists(dealt: DataFrame, frequent, count: int) -> DataFrame:
+    """Postings of tokens that several members have, by member; what is known of the members passes through."""
 
     def run(batches):
-        held: list[np.ndarray] = []
-        for batch in batches:
-            passed = batch.filter(pa.array(batch.column("kind").to_numpy() == MEMBERS))
-            if passed.num_rows:
-                yield passed
-            held += unpack(batch, POSTINGS, POSTING)
-        p = joined(held, POSTING)
-        held.clear()
-        p = p[np.lexsort((p["set"], p["token"]))]
-        new = np.ones(len(p), bool)
-        new[1:] = (p["token"][1:] != p["token"][:-1]) | (p["set"][1:] != p["set"][:-1])
-        p = p[new]
-        heads = np.flatnonzero(np.concatenate([[True], p["token"][1:] != p["token"][:-1]])) if len(p) else np.zeros(0, np.int64)
-        size = np.diff(np.append(heads, len(p)))
-        each = np.repeat(size, size)
-        p, each = p[each > 1], each[each > 1]
-        out = Outbox(parts)
-        out.add(LISTS, records(LISTED, token=p["token"], set=p["set"], at=p["at"], size=each), p["set"])
-        active = np.unique(p["set"])
-        out.add(ACTIVE, active, active)
-        yield from out.flush()
+        for rows in buckets(batches):
+            for batch in rows:
+                passed = batch.filter(pa.array(batch.column("kind").to_numpy() == MEMBERS))
+                if passed.num_rows:
+                    yield passed
+            p = unpack(rows, POSTINGS, POSTING)
+            if not len(p):
+                continue
+            parts, part = frequent.value.part(p["token"], p["set"])
+            order = np.lexsort((p["set"], part, p["token"]))
+            p, part, parts = p[order], part[order], parts[order]
+            token = p["token"]
+            head = np.concatenate([[True], (token[1:] != token[:-1]) | (part[1:] != part[:-1])])
+            new = head | np.concatenate([[True], p["set"][1:] != p["set"][:-1]])
+            p, head, parts = p[new], head[new], parts[new]
+            heads = np.flatnonzero(head)
+            size = np.diff(np.append(heads, len(p)))
+            each = np.repeat(size, size) * parts
+            p, each = p[each > 1], each[each > 1]
+            out = Outbox(count)
+            out.add(LISTS, records(LISTED, token=p["token"], set=p["set"], at=p["at"], size=np.minimum(each, (1 << 32) - 1)), p["set"])
+            active = np.unique(p["set"])
+            out.add(ACTIVE, active, active)
+            yield from out.flush()
 
     return dealt.mapInArrow(run, PACKED)
 
 
-def place(found: DataFrame, classes: DataFrame | None, parts: int, every: int) -> DataFrame:
-    """Lists with the class, size, l and degree of each member, packed by token; one in ``every`` lists."""
+def place(found: DataFrame, classes: DataFrame | None, frequent, parts: int, count: int, last: bool) -> DataFrame:
+    """Lists with the class, size, l and degree of each member, packed by list; one in SOME lists before the last round."""
     packed = found.where(F.col("kind").isin(MEMBERS, LISTS)).select("part", "kind", "payload", F.lit(None).cast("bigint").alias("node"), F.lit(None).cast("bigint").alias("component"))
     if classes is not None:
-        rows = classes.select(F.pmod("node", F.lit(parts)).cast("int").alias("part"), F.lit(-1).alias("kind"), F.lit(None).cast("binary").alias("payload"), "node", "component")
+        rows = classes.select(F.pmod("node", F.lit(count)).cast("int").alias("part"), F.lit(-1).alias("kind"), F.lit(None).cast("binary").alias("payload"), "node", "component")
         packed = packed.unionByName(rows)
 
     def run(batches):
-        lists, members, nodes, labels = [], [], [], []
-        for batch in batches:
-            lists += unpack(batch, LISTS, LISTED)
-            members += unpack(batch, MEMBERS, MEMBER)
-            own = batch.filter(pa.array(batch.column("kind").to_numpy() == -1))
-            if own.num_rows:
-                nodes.append(own.column("node").to_numpy())
-                labels.append(own.column("component").to_numpy())
-        p, m = joined(lists, LISTED), joined(members, MEMBER)
-        if not len(p):
-            return
-        m = m[np.unique(m["set"], return_index=True)[1]]
-        at = np.searchsorted(m["set"], p["set"])
-        degree = np.bincount(at, p["size"] - 1.0, minlength=len(m))
-        label = m["set"].copy()
-        if nodes:
-            node, component = np.concatenate(nodes), np.concatenate(labels)
-            where = np.minimum(np.searchsorted(m["set"], node), len(m) - 1)
-            hit = m["set"][where] == node
-            label[where[hit]] = component[hit]
-        keep = mix(p["token"] ^ U(0x5851F42D4C957F2D)) % U(every) == 0
-        p, at = p[keep], at[keep]
-        out = Outbox(parts)
-        rows = records(PLACED, token=p["token"], set=p["set"], at=p["at"], n=m["n"][at], l=m["l"][at], degree=degree[at])
-        rows["class"] = label[at]
-        out.add(LISTS, rows, p["token"])
+        out = Outbox(count)
+        for rows in buckets(batches):
+            p, m = unpack(rows, LISTS, LISTED), unpack(rows, MEMBERS, MEMBER)
+            if not len(p):
+                continue
+            m = m[np.unique(m["set"], return_index=True)[1]]
+            at = np.searchsorted(m["set"], p["set"])
+            degree = np.bincount(at, p["size"] - 1.0, minlength=len(m))
+            label = m["set"].copy()
+            for batch in rows:
+                own = batch.filter(pa.array(batch.column("kind").to_numpy() == -1))
+                node = own.column("node").to_numpy(zero_copy_only=False)
+                where = np.minimum(np.searchsorted(m["set"], node), len(m) - 1)
+                hit = m["set"][where] == node
+                label[where[hit]] = own.column("component").to_numpy(zero_copy_only=False)[hit]
+            if not last:
+                keep = mix(p["token"] ^ U(0x5851F42D4C957F2D)) % U(SOME) == 0
+                p, at = p[keep], at[keep]
+            split, part = frequent.value.part(p["token"], p["set"])
+            side = np.full(len(p), 2, np.uint8)
+            low, high = part, part
+            if last:  # each part of a list meets itself and every other part
+                each = np.arange(len(p))
+                again = np.repeat(each, split)
+                other = ranges(np.zeros(len(p), np.int64), split)
+                p, at, own = p[again], at[again], part[again]
+                low, high = np.minimum(own, other), np.maximum(own, other)
+                side = np.where(own == other, 2, own > other).astype(np.uint8)
+            lists = list_id(p["token"], low, high + (split > 1)[again] if last else high)
+            placed = records(PLACED, token=lists, set=p["set"], at=p["at"], n=m["n"][at], l=m["l"][at], degree=degree[at], side=side)
+            placed["class"] = label[at]
+            out.add(LISTS, placed, lists)
+            if out.full():
+                yield from out.flush()
         yield from out.flush()
 
-    return packed.repartitionById(parts, "part").mapInArrow(run, PACKED)
+    return deal(packed, parts).mapInArrow(run, PACKED)
 
 
 def proposals(p: np.ndarray, last: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -308,6 +422,7 @@ def candidate_pairs(p: np.ndarray, last: bool, limit: int = 1 << 20):
         n, m, l, k = (v.astype(np.int64) for v in (a["n"], b["n"], a["l"], b["l"]))
         both, need = needed(n, l, m, k)
         keep = (a["class"] != b["class"]) & (np.minimum(n - a["at"], m - b["at"]) + need - 1 >= both)
+        keep &= (a["side"] != b["side"]) | (a["side"] == 2)  # two of one part meet where that part meets itself
         if keep.any():
             yield a["set"][keep], b["set"][keep], need[keep]
 
@@ -323,30 +438,45 @@ def counted(pairs: np.ndarray) -> np.ndarray:
     return out
 
 
-def propose(placed: DataFrame, last: bool, parts: int) -> DataFrame:
+def propose(placed: DataFrame, last: bool, parts: int, count: int) -> DataFrame:
     """Distinct pairs (a, b) to verify, that share as many prefix tokens as they need."""
 
     def propose_pairs(batches):
-        held, out = [], Outbox(parts)
-        for batch in batches:
-            held += unpack(batch, LISTS, PLACED)
-        for a, b, need in candidate_pairs(joined(held, PLACED), last):
-            pairs = counted(records(PAIR, a=np.minimum(a, b), b=np.maximum(a, b), need=need, lists=np.ones(len(a))))
-            out.add(PAIRS, pairs, mix(pairs["a"].view(U) ^ mix(pairs["b"].view(U))))
-            if out.full():
-                yield from out.flush()
+        out = Outbox(count)
+        for rows in buckets(batches):
+            for a, b, need in candidate_pairs(unpack(rows, LISTS, PLACED), last):
+                pairs = counted(records(PAIR, a=np.minimum(a, b), b=np.maximum(a, b), need=need, lists=np.ones(len(a))))
+                out.add(PAIRS, pairs, mix(pairs["a"].view(U) ^ mix(pairs["b"].view(U))))
+                if out.full():
+                    yield from out.flush()
         yield from out.flush()
 
-    def count(batches):
-        held = []
-        for batch in batches:
-            held += unpack(batch, PAIRS, PAIR)
-        pairs = counted(joined(held, PAIR))
-        pairs = pairs[pairs["lists"] >= pairs["need"]]
-        yield pa.RecordBatch.from_arrays([pa.array(pairs["a"]), pa.array(pairs["b"])], ["a", "b"])
-
-    found = placed.repartitionById(parts, "part").mapInArrow(propose_pairs, PACKED)
-    return found.repartitionById(parts, "part").mapInArrow(count, "a bigint, b bigint")
+    def count_lists(batches):
+        for rows in buckets(batches):
+            pairs = counted(unpack(rows, PAIRS, PAIR))
+            pairs = pairs[pairs["lists"] >= pairs["need"]]
+            yield pa.RecordBatch.from_arrays([pa.array(pairs["a"]), pa.array(pairs["b"])], ["a", "b"])
+
+    found = deal(placed, parts).mapInArrow(propose_pairs, PACKED)
+    return deal(found, parts).mapInArrow(count_lists, "a bigint, b bigint")
+
+
+def similar(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether texts 0 and 1, 2 and 3, ... are similar enough."""
+    s = Shingles(data, offsets)
+    sets = s.sets(s.hashes())
+    out = np.zeros(len(sets) // 2, bool)
+    for k in range(len(out)):
+        (a, at), (b, there) = sets[2 * k], sets[2 * k + 1]
+        where = np.minimum(np.searchsorted(b, a), max(len(b) - 1, 0))
+        hit = b[where] == a if len(b) else np.zeros(len(a), bool)
+        if 100 * int(hit.sum()) < PERCENT * (len(a) + len(b) - int(hit.sum())) or not hit.any():
+            continue  # too few even if all of them are equal indeed
+        x, y = at[hit], there[where[hit]]
+        order = np.argsort(x)
+        common = int(s.equal(x[order], y[order]).sum())
+        out[k] = 100 * common >= PERCENT * (len(a) + len(b) - common)
+    return out
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -358,50 +488,59 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             good = np.zeros(batch.num_rows, bool)
             at = 0
             for part, data, offsets in blocks(batch, "text_a"):
-                h, edges = shingles(data, offsets)
-                g, ends = shingles(*text_arrays(part.column("text_b")))
-                n, m = np.diff(edges), np.diff(ends)
-                # equal hashes within a pair stand next to each other once both sides are sorted together
-                pair = np.concatenate([np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)])
-                both = np.concatenate([h, g])
-                order = np.lexsort((both, pair))
-                same = (both[order][1:] == both[order][:-1]) & (pair[order][1:] == pair[order][:-1])
-                common = np.bincount(pair[order][1:][same], minlength=len(n))
-                good[at : at + len(n)] = (common > 0) & (100 * common >= PERCENT * (n + m - common))
-                at += len(n)
+                other, ends = text_arrays(part.column("text_b"))
+                both = np.column_stack([np.diff(offsets), np.diff(ends)]).ravel()
+                start = np.column_stack([offsets[:-1], ends[:-1] + len(data)]).ravel()
+                good[at : at + part.num_rows] = similar(np.concatenate([data, other])[ranges(start, both)], np.concatenate([[0], np.cumsum(both)]))
+                at += part.num_rows
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(good)), batch.column("b").filter(pa.array(good))], ["a", "b"])
 
     return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def classes_of(docs: DataFrame) -> DataFrame:
-    """``row``, ``doc_id``, ``n`` (size of the set), ``class`` (null without a set) and ``component`` (its smallest doc_id) for each document."""
+def row_keys(docs: DataFrame) -> DataFrame:
+    """Adds ``\x00row`` and ``\x00row2``: 128 bits of doc_id and text."""
+    key = [F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit(""))]
+    return docs.withColumns({"\x00row": F.xxhash64(*key), "\x00row2": F.xxhash64(F.lit(1), *key)})
+
+
+def classes_of(docs: DataFrame, split: int = SPLIT) -> DataFrame:
+    """``row``, ``row2``, ``doc_id``, ``n`` (size of the set), ``class`` (null without a set) and ``component`` (its smallest doc_id) for each document."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
+    texts = row_keys(docs).select(F.col("\x00row").alias("row"), F.col("\x00row2").alias("row2"), F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     told = scratch.cut(describe(texts), "described")
-    documents = told.where("kind = 0").select("row", "doc_id", "n", F.col("key").alias("set"))
     top = told.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(MOST).toArrow()  # at most MOST
-    tokens, counts = top.column("key").to_numpy().view(U), top.column("n").to_numpy().astype(np.float64)
-    order = np.argsort(tokens)
-    frequent = spark.sparkContext.broadcast((tokens[order], counts[order]))
-
-    lists = scratch.cut(find_lists(find_postings(texts, frequent, parts).repartitionById(parts, "part"), parts), "lists")
-    # the texts of sets that share a token with another one
+    shared = spark.sparkContext.broadcast
+    frequent = shared(Frequent(top.column("key").to_numpy().view(U), top.column("n").to_numpy(), split))  # at most MOST tokens
+    # first halves of digests that different digests share: squares of the members over 2 ** 65, some dozens at 10 ** 10
+    twins = told.where("kind = 0 and n > 0").groupBy("key").agg(F.min("key2").alias("low"), F.max("key2").alias("high")).where("low <> high").select("key").limit(MOST + 1).toArrow()
+    if len(twins) > MOST:
+        raise ValueError("too many members of equal hashes")
+    moved = shared(twins.column("key").to_numpy())
+    own = F.col("key")
+    if len(twins):
+        second = F.udf(lambda key, key2: int(member_ids(np.array([[key, key2]]), moved.value)[0]), "bigint")
+        own = F.when(F.col("key").isin(twins.column("key").to_pylist()), second("key", "key2")).otherwise(own)
+    documents = told.where("kind = 0").select("row", "row2", "doc_id", "n", own.alias("set"))
+
+    postings = documents.agg(F.sum(F.expr(f"n * {100 - PERCENT} div 100 + {LONGEST + 1}"))).first()[0] or 0
+    count = bucket_count(postings, parts)
+    lists = scratch.cut(find_lists(deal(find_postings(texts, frequent, moved, count), parts), frequent, count), "lists")
+
+    # the texts of members that share a token with another one
     def members(batches):
-        held = []
-        for batch in batches:
-            held += unpack(batch, ACTIVE, np.dtype("<i8"))
-        yield pa.RecordBatch.from_arrays([pa.array(np.unique(joined(held, np.dtype("<i8"))))], ["set"])
+        for rows in buckets(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(unpack(rows, ACTIVE, np.dtype("<i8"))))], ["set"])
 
-    active = lists.where(F.col("kind") == ACTIVE).repartitionById(parts, "part").mapInArrow(members, "set bigint")
-    rows = documents.where("n > 0").groupBy("set").agg(F.min("row").alias("row")).join(active, "set")
-    known = scratch.cut(texts.select("row", "text").join(rows, "row").groupBy("set").agg(F.first("text").alias("text")), "texts")
+    active = deal(lists.where(F.col("kind") == ACTIVE), parts).mapInArrow(members, "set bigint")
+    rows = documents.where("n > 0").groupBy("set").agg(F.min(F.struct("row", "row2")).alias("r")).join(active, "set").select("set", "r.row", "r.row2")
+    known = scratch.cut(texts.select("row", "row2", "text").join(rows, ["row", "row2"]).groupBy("set").agg(F.first("text").alias("text")), "texts")
     links: DataFrame | None = None
     classes: DataFrame | None = None
     for n, last in enumerate((False, False, True)):
-        pairs = propose(place(lists, classes, parts, 1 if last else SOME), last, parts)
+        pairs = propose(place(lists, classes, frequent, parts, count, last), last, parts, count)
         new = scratch.cut(verify(pairs, known), f"links-{n}")
         if new.isEmpty():
             continue
@@ -413,10 +552,10 @@ def classes_of(docs: DataFrame) -> DataFrame:
         labelled = documents.withColumn("class", F.col("set"))
     else:
         labelled = documents.join(classes.select(F.col("node").alias("set"), F.col("component").alias("of")), "set", "left").withColumn("class", F.coalesce("of", "set"))
-    labelled = labelled.select("row", "doc_id", "n", F.when(F.col("n") > 0, F.col("class")).alias("class"))
+    labelled = labelled.select("row", "row2", "doc_id", "n", F.when(F.col("n") > 0, F.col("class")).alias("class"))
     smallest = labelled.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("component"))
-    full = labelled.where("n > 0").join(smallest, "class").select("row", "doc_id", "n", "class", "component")
-    return full.unionByName(labelled.where("n = 0").select("row", "doc_id", "n", "class", F.col("doc_id").alias("component")))
+    full = labelled.where("n > 0").join(smallest, "class").select("row", "row2", "doc_id", "n", "class", "component")
+    return full.unionByName(labelled.where("n = 0").select("row", "row2", "doc_id", "n", "class", F.col("doc_id").alias("component")))
 
 
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:
@@ -425,12 +564,20 @@ def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each class, with its own columns: that of the smallest doc_id. Documents without words all stay."""
-    found = Scratch(docs.sparkSession, "keep-one").cut(classes_of(docs).select("row", "doc_id", "class"), "classes")
-    first = F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
-    kept = found.where("class is not null").groupBy("class").agg(first.alias("row")).select("row").unionByName(found.where("class is null").select("row"))
-    key = F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")))
-    out = docs.withColumn("\x00row", key).join(kept.select(F.col("row").alias("\x00row")), "\x00row", "left_semi")
-    if not found.where("class is not null").groupBy("row").count().where("count > 1").isEmpty():
-        out = out.dropDuplicates(["\x00row"])  # rows that recur whole
-    return out.drop("\x00row")
+    """One document of each class, with its own columns; documents without words all stay, however often they recur.
+
+    Of a class the smallest doc_id stays (null ids last); of rows that share it the one with the smallest hash of its text,
+    and of those that share their text, too, the one whose other columns are smallest.
+    """
+    scratch = Scratch(docs.sparkSession, "keep-one")
+    found = scratch.cut(classes_of(docs).where("class is not null").select("row", "row2", "doc_id", "class"), "classes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row", "row2"))
+    key = ["\x00row", "\x00row2"]
+    # rows of one key: their number tells whether any has to be told from another
+    kept = found.groupBy("class").agg(first.alias("f")).select("f.row", "f.row2").join(found.groupBy("row", "row2").agg(F.count("*").alias("times")), ["row", "row2"])
+    kept = scratch.cut(kept.select(F.col("row").alias(key[0]), F.col("row2").alias(key[1]), F.col("times").alias("\x00times")), "kept")
+    keyed = row_keys(docs)
+    once = keyed.join(kept.where("`\x00times` = 1"), key, "left_semi").drop(*key)
+    again = keyed.join(kept.where("`\x00times` > 1"), key, "left_semi").groupBy(*key).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("\x00first")).select("\x00first.*")
+    wordless = docs.where(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    return once.unionByName(again).unionByName(wordless)

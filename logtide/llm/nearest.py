@@ -1,23 +1,24 @@
 """Approximate nearest neighbours by multi-index hashing.
 
 A rotation learned on a bounded sample (principal axes, then alternating between signs and the orthogonal rotation that
-fits them best) turns each vector into ``BITS`` bits. Codes are split into ``PARTS`` substrings, each with an index from
-its value to the vectors that have it. If two codes differ in at most r bits, some substring differs in at most r / PARTS
-of its own; so probing all substring values within that distance retrieves every code within the radius, which are then
-reranked by their original vectors. The radius is learned on the sample: the one within which nearly all true neighbours
-lie.
-
-Every row is indexed, in the task that reads it; queries go to the tasks in blocks of at most ``BLOCK`` vectors, and only
-the nearest of each task are shuffled. A query with fewer than k vectors within the radius is compared with all vectors in
-a second pass, so that no list is short.
-
-Vectors that are null, zero, of another length than the most common one, or that hold null or non-finite components take
-no part. Repeated ids are vectors of their own, but one query; a query never finds its own id.
+fits them best; several rotations, if there are fewer axes than bits) turns each vector into ``BITS`` bits. Codes are split
+into ``PARTS`` substrings, each with an index from its value to the vectors that have it. If two codes differ in at most r
+bits, some substring differs in at most r / PARTS of its own; so probing all substring values within that distance retrieves
+every code within the radius, which are then reranked by their original vectors. The radius is learned on the sample: the
+one within which nearly all true neighbours lie.
+
+Every row is indexed, in the task that reads it, some MB at a time. Queries go to the tasks in blocks of at most ``BLOCK``
+bytes, one block after the other, and only the nearest of each index are shuffled. A query with fewer than k vectors within
+the radius is compared with all vectors in a second pass, so that no list is short.
+
+Vectors that are null, zero or hold null or non-finite components take no part. A query meets vectors of its own length;
+each length has its own codes. Repeated ids are vectors of their own, but one query; a query never finds its own id.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +26,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logtide.llm.blocks import ranges
+from logtide.llm.samples import bounded
 from logtide.scratch import Scratch
 
-BITS, PARTS = 64, 4
+BITS, PARTS = 256, 16
 TRAIN_ROWS = 8_000
-BLOCK = 20_000
+#: Bytes of queries that are sent to the tasks at a time, and of vectors that one index holds.
+BLOCK, INDEX = 16 << 20, 16 << 20
 #: Share of the sample's true neighbours that the radius holds.
 WITHIN = 0.99
-_ONES = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
 
 
 @dataclass
@@ -44,12 +46,13 @@ class Codes:
     def of(self, x: np.ndarray) -> np.ndarray:
         """Substrings (rows x PARTS) of 16 bits each."""
         bits = ((x - self.mean) @ self.axes > 0).reshape(len(x), PARTS, BITS // PARTS)
-        return bits @ (1 << np.arange(BITS // PARTS, dtype=np.int64))
+        return (bits @ (1 << np.arange(BITS // PARTS, dtype=np.int64))).astype(np.uint16)
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Hamming distance of codes, the last axis being substrings."""
-    return _ONES[a ^ b].sum(-1)
+    words = (a ^ b).view(np.uint64)  # four substrings each
+    return np.bitwise_count(words).sum(-1, dtype=np.int64)
 
 
 def learn(sample: np.ndarray, k: int, rounds: int = 25, seed: int = 3) -> Codes:
@@ -94,7 +97,7 @@ class Index:
         """Rows of every indexed code within the radius of one code."""
         hit = np.zeros(len(self.code), bool)
         for j, (values, start, order) in enumerate(self.tables):
-            near = np.flatnonzero(_ONES[values ^ code[j]] <= radius // PARTS)
+            near = np.flatnonzero(np.bitwise_count(values ^ code[j]) <= radius // PARTS)
             hit[order[ranges(start[near], start[near + 1] - start[near])]] = True
         rows = np.flatnonzero(hit)
         return rows[distance(self.code[rows], code) <= radius]
@@ -120,76 +123,106 @@ def usable(vectors: DataFrame) -> DataFrame:
     return vectors.where(F.col("vec_id").isNotNull() & F.coalesce(finite & F.exists("embedding", lambda v: v != 0), F.lit(False)))
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 10, train_rows: int = TRAIN_ROWS, block: int = BLOCK) -> DataFrame:
-    """``query_id``, ``rank``, ``vec_id`` and ``score`` (Euclidean distance) of the k nearest found of each query.
+FOUND = "query_id bigint, vec_id bigint, score double"
 
-    vectors and queries: (vec_id, embedding).
-    """
-    spark = vectors.sparkSession
-    vectors, queries = (usable(x.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))) for x in (vectors, queries))
-    queries = queries.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    common = vectors.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    schema = "query_id bigint, vec_id bigint, score double"
-    if common is None:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    d = common.d
-    own = F.size("embedding") == d
-    sample = vectors.where(own).orderBy(F.xxhash64("vec_id"), "vec_id").limit(train_rows).toArrow()
-    codes = spark.sparkContext.broadcast(learn(matrix(sample.column("embedding").combine_chunks(), d)[1], k))  # bounded by train_rows
 
-    def nearest(ids, x, code, query_ids, queries, query_codes, radius):
-        """The k nearest of the vectors for each query: those that the index retrieves, or all of them if radius is None."""
-        index = Index(code)
+class Chunk:
+    """Some vectors with their index."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, codes: Codes, probed: bool):
+        self.ids, self.x = ids, x
+        self.index = Index(codes.of(x)) if probed else None
+
+    def nearest(self, query_ids: np.ndarray, queries: np.ndarray, query_codes: np.ndarray, radius: int, k: int) -> tuple[np.ndarray, ...]:
+        """The k nearest for each query: of those that the index retrieves, or of all vectors without one."""
         out = []
         for q, v, c in zip(query_ids, queries, query_codes):
-            rows = index.probe(c, radius) if radius is not None else np.arange(len(ids))
-            rows = rows[ids[rows] != q]
+            rows = self.index.probe(c, radius) if self.index else np.arange(len(self.ids))
+            rows = rows[self.ids[rows] != q]
             if len(rows):
-                score = np.sqrt(((x[rows] - v) ** 2).sum(1))
+                score = np.sqrt(((self.x[rows] - v) ** 2).sum(1))
                 if len(rows) > k:
                     edge = np.partition(score, k - 1)[k - 1]
                     rows, score = rows[score <= edge], score[score <= edge]
-                order = np.lexsort((ids[rows], score))[:k]
-                out.append((np.full(len(order), q), ids[rows[order]], score[order]))
+                order = np.lexsort((self.ids[rows], score))[:k]
+                out.append((np.full(len(order), q), self.ids[rows[order]], score[order]))
         return tuple(map(np.concatenate, zip(*out))) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
 
-    def searched(asked, radius):
+
+def search(vectors: DataFrame, queries: DataFrame, k: int = 10, train_rows: int = TRAIN_ROWS, block: int = BLOCK) -> DataFrame:
+    """``query_id``, ``rank``, ``vec_id`` and ``score`` (Euclidean distance) of the k nearest found of each query.
+
+    vectors and queries: (vec_id, embedding).
+    """
+    spark = vectors.sparkSession
+    vectors, queries = (usable(x.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))) for x in (vectors, queries))
+    queries = queries.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    out = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    size = F.size("embedding")
+    for row in queries.select(size.alias("d")).distinct().orderBy("d").collect():  # lengths of vectors
+        found = search_length(vectors.where(size == row.d), queries.where(size == row.d), row.d, k, train_rows, max(1, block // (8 * row.d)))
+        out = out.unionByName(found)
+    return out
+
+
+def search_length(vectors: DataFrame, queries: DataFrame, d: int, k: int, train_rows: int, block: int) -> DataFrame:
+    """``search`` among vectors of d components."""
+    spark = vectors.sparkSession
+    scratch = Scratch(spark, "nearest")
+    sample = bounded(vectors, train_rows, "vec_id", "embedding").toArrow()
+    codes = spark.sparkContext.broadcast(learn(matrix(sample.column("embedding").combine_chunks(), d)[1], k))  # bounded by train_rows
+
+    def searched(asked, probed: bool):
         def run(batches):
+            held, size = [], 0
+
+            def answer():
+                chunk = Chunk(*map(np.concatenate, zip(*held)), codes.value, probed)
+                found = chunk.nearest(*asked.value, codes.value.of(asked.value[1]), codes.value.radius, k)
+                return pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["query_id", "vec_id", "score"])
+
             for batch in batches:
                 rows, x = matrix(batch.column("embedding"), d)
-                if not len(rows):
-                    continue
-                ids = batch.column("vec_id").to_numpy()[rows]
-                found = nearest(ids, x, codes.value.of(x), *asked.value, codes.value.of(asked.value[1]), radius)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["query_id", "vec_id", "score"])
+                held.append((batch.column("vec_id").to_numpy()[rows], x))
+                size += x.nbytes
+                if size > INDEX:
+                    yield answer()
+                    held, size = [], 0
+            if size:
+                yield answer()
 
-        return vectors.where(own).mapInArrow(run, schema)
+        return vectors.mapInArrow(run, FOUND)
 
-    def in_blocks(queries, radius):
-        """All queries against all rows, some thousand queries at a time."""
-        found, held_ids, held = None, [], []
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
 
-        def flush(found):
-            asked = spark.sparkContext.broadcast((np.array(held_ids, np.int64), np.array(held).reshape(-1, d)))
-            part = searched(asked, radius)
-            return part if found is None else found.unionByName(part)
+    def in_blocks(queries, probed: bool, name: str) -> DataFrame:
+        """All queries against all rows, a block of queries at a time."""
+        parts: list[DataFrame] = []
+        held_ids, held = [], []
 
-        for row in queries.where(own).toLocalIterator(prefetchPartitions=False):
+        def flush() -> None:
+            asked = spark.sparkContext.broadcast((np.array(held_ids, np.int64), np.array(held).reshape(-1, d)))  # BLOCK bytes at most
+            ranked = searched(asked, probed).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            parts.append(scratch.cut(ranked, f"{name}-{len(parts)}"))
+            asked.destroy()
+            held_ids.clear()
+            held.clear()
+
+        for row in queries.toLocalIterator(prefetchPartitions=False):
             held_ids.append(row.vec_id)
             held.append(row.embedding)
             if len(held) >= block:
-                found, held_ids, held = flush(found), [], []
-        return flush(found) if held or found is None else found
+                flush()
+        if held or not parts:
+            flush()
+        return reduce(DataFrame.unionByName, parts)
 
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = lambda df: df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    scratch = Scratch(spark, "nearest")
-    found = scratch.cut(ranked(in_blocks(queries, codes.value.radius)), "found")
+    found = in_blocks(queries, True, "found")
     full = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
-    short = scratch.cut(queries.where(own).join(full, "vec_id", "left_anti"), "short")
+    short = scratch.cut(queries.join(full, "vec_id", "left_anti"), "short")
     out = found
     if not short.isEmpty():
-        out = found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(ranked(in_blocks(short, None)))
+        out = found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(in_blocks(short, False, "all"))
     return out.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 

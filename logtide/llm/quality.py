@@ -6,8 +6,8 @@ that the sample does not depend on partitioning), and flattened into arrays of f
 documents of a block descend together.
 
 Null and empty texts have zero statistics and get a score like any other text. Labels other than 0 and 1 are not learned
-from; a document with several labels counts once for each. With no labels, or one class only, every score is the share
-of label 1 (0.5 with no labels).
+from; a document with two labels counts once for each, and of documents that share an id one is learned from. With no labels, or one class only, every score is the share
+of label 1 (0.5 with no labels). A null doc_id is not held out and has no label.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.blocks import byte_values, flags, map_texts, prefix_hashes, range_hashes, word_spans
+from logtide.llm.blocks import Lanes, flags, lowered, map_texts, range_digests, word_spans
+from logtide.llm.samples import bounded
 
 TRAIN_ROWS = 20_000
 TREES, DEPTH, RATE, BINS, L2 = 60, 5, 0.15, 64, 1.0
@@ -82,12 +83,12 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     per = np.maximum(size, 1)
     text = np.repeat(np.arange(n), np.diff(offsets))
     shares = np.bincount(text * 14 + CLASS_OF[data], minlength=14 * n).reshape(n, 14)[:, 1:] / per[:, None]
-    h = prefix_hashes(data, byte_values(True))
+    lanes = Lanes(lowered(data))
     start, end, first = word_spans(data, offsets, flags("space"))
     words, length = np.diff(first).astype(np.float64), (end - start).astype(np.float64)
     each = np.maximum(words, 1)
     mean = _per_text(length, first) / each
-    distinct, top = _repeats(range_hashes(h, start, end), first)
+    distinct, top = _repeats(range_digests(lanes, start, end), first)
     marks = np.zeros(len(data) + 1, np.int64)
     np.cumsum(CLASSES["symbol"][data] | CLASSES["shout"][data] | CLASSES["bar"][data], out=marks[1:])
     dirty = marks[end] - marks[start]
@@ -95,7 +96,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     line[10] = False
     ls, le, lf = word_spans(data, offsets, line)
     lines, of_line = np.diff(lf).astype(np.float64), np.maximum(np.diff(lf), 1)
-    line_distinct, line_top = _repeats(range_hashes(h, ls, le), lf)
+    line_distinct, line_top = _repeats(range_digests(lanes, ls, le), lf)
     columns = [
         np.log1p(size), np.log1p(words), mean, np.sqrt(np.maximum(_per_text(length**2, first) / each - mean**2, 0)), _per_text(length, first, np.maximum),
         distinct / each, top / each, _per_text(CLASSES["upper"][data[start]] if len(start) else np.zeros(0), first) / each, _per_text((dirty > 0).astype(float), first) / each,
@@ -185,15 +186,18 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, ra
 
 def learnable(doc_id):
     """Labels may be learned from: the CRC-32 of the id as text, modulo 3, is not 1."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 3 != 1
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 != 1, F.lit(True))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
     """Learn ``labels.quality`` from documents whose id is learnable."""
-    marked = labels.where(F.col("quality").isin(0, 1) & learnable(F.col("doc_id"))).select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(rows)
-    texts = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id")  # at most ``rows`` ids
-    got = map_texts(texts, lambda: lambda data, offsets: [pa.array(list(statistics(data, offsets)), pa.list_(pa.float64()))], "x array<double>", ("doc_id", "quality"))
-    learned = got.select("row.doc_id", "row.quality", "x").toArrow().to_pydict()  # at most ``rows`` vectors of statistics
+    usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & learnable(F.col("doc_id")))
+    marked = bounded(usable.select("doc_id", "quality").distinct(), rows, "doc_id", "quality")
+    texts = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").withColumn("rank", F.xxhash64("text"))  # at most ``rows`` ids
+    got = map_texts(texts, lambda: lambda data, offsets: [pa.array(list(statistics(data, offsets)), pa.list_(pa.float64()))], "x array<double>", ("doc_id", "quality", "rank"))
+    # of documents that repeat an id, the one with the smallest hash of its text: at most ``rows`` vectors of statistics
+    one = got.groupBy("row.doc_id", "row.quality").agg(F.min(F.struct("row.rank", "x")).alias("first"))
+    learned = one.select("doc_id", "quality", "first.x").toArrow().to_pydict()
     order = np.lexsort((np.array(learned["quality"], float), np.array(learned["doc_id"], np.int64))) if learned["doc_id"] else []
     x = np.array([learned["x"][i] for i in order], np.float64).reshape(-1, len(NAMES))
     return fit(x, np.array([learned["quality"][i] for i in order], np.float64))

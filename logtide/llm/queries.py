@@ -36,11 +36,11 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN i USING (doc_id)
 """,
     "op7_jaccard_join": rf"""
-WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS MATERIALIZED (SELECT DISTINCT doc_id, hash(array_to_string(w[k : k + 4], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM d WHERE len(w) > 0)),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-links AS MATERIALIZED (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (h) WHERE x.doc_id <> y.doc_id GROUP BY ALL) p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
-reach(doc_id, other) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
-SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT r, hash(array_to_string(w[k : k + 4], ' ')) AS h FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+links AS MATERIALIZED (SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS c FROM s x JOIN s y USING (h) WHERE x.r <> y.r GROUP BY ALL) p JOIN n na ON na.r = a JOIN n nb ON nb.r = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+reach(r, other) AS (SELECT r, r FROM d UNION SELECT x.r, l.b FROM reach x JOIN links l ON l.a = x.other)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(o.doc_id) AS component_id FROM reach x JOIN d ON d.r = x.r JOIN d o ON o.r = x.other LEFT JOIN n ON n.r = x.r GROUP BY d.r, d.doc_id
 """,
 }

@@ -1,9 +1,10 @@
 """Secret scans: fixed patterns, and character Markov models for strings that no pattern describes.
 
-Two Markov models of second order (a character given the two before it) are trained on labelled samples, one on
-random strings and one on ordinary identifiers and words. A candidate string (20 or more of ``A-Za-z0-9+/_=-``, letters
-and digits among them) is a secret if the models' log-likelihood ratio exceeds ``RATIO`` per character. It adds spans of
-kind ``markov`` where no pattern has matched already.
+Two Markov models of second order (a character given the two before it) are trained on labelled samples, one on random
+strings and one on ordinary identifiers. These are made of words: frequent words of about ``SAMPLE_DOCS`` documents of the
+corpus itself, so that its languages and jargon count as ordinary, and some common ones. A candidate string (20 or more of
+``A-Za-z0-9+/_=-``, letters and digits among them, and no UUID, which is a name) is a secret if the models' log-likelihood
+ratio exceeds ``RATIO`` per character. It adds a span of kind ``markov``, unless spans of patterns cover the whole of it.
 
 Null texts are empty. Every text is scanned whole, in linear time; spans are code points, end exclusive.
 """
@@ -20,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtide.llm.blocks import continuation_counts, map_texts, ranges, word_spans
+from logtide.llm.decontamination import unions
+from logtide.llm.samples import bounded
 
 # The patterns of the result's contract, on UTF-8 bytes.
 ASSIGN = re.compile(rb"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -29,6 +32,18 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = string.ascii_letters + string.digits + "+/_=-"
 RATIO = 0.5
 LEAST = 20
+#: Documents whose words are learned from, and how many of their most frequent words.
+SAMPLE_DOCS, SAMPLE_WORDS = 2_000, 10_000
+UUID = re.compile(rb"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+#: Words that count as ordinary whatever the corpus holds.
+COMMON = """
+get set user name list item index value count total page time date file path data key map node tree parse read write open close start stop first last next state
+config option default class function return import export table column row query result number string object length size offset buffer stream message event handler
+request response server client version build test error warning info debug public private static final http www com net content style title header image download
+bericht datei einstellung benutzer verwaltung speicher konto rechnung kunde auftrag sprache schluessel zwischen ergebnis zeichen uebersicht anmeldung geschaeft verbindung
+utilisateur fichier dossier recherche compte commande produit adresse langue traduction resultat connexion paiement livraison nouveau
+usuario archivo carpeta busqueda cuenta pedido producto direccion idioma traduccion resultado conexion pago entrega nuevo
+""".split()
 
 
 def table(characters: str) -> np.ndarray:
@@ -47,16 +62,32 @@ CODE[list(ALPHABET.encode())] = np.arange(1, len(ALPHABET) + 1)
 N = len(ALPHABET) + 1
 
 
-def labelled_samples(seed: int = 7, count: int = 4000) -> list[tuple[str, int]]:
-    """Labelled strings: 1 for random ones over common alphabets, 0 for identifiers made of ordinary words."""
+def ordinary_words(docs: DataFrame, documents: int = SAMPLE_DOCS, words: int = SAMPLE_WORDS) -> list[tuple[str, int]]:
+    """Frequent words (letters only, between blanks or punctuation) of a sample of the documents, with their counts."""
+    texts = bounded(docs.select("doc_id", "text").where("text is not null"), documents, "doc_id", "text").select("text")
+    found = F.regexp_extract_all("text", F.lit(r"""(?<![^\s"'(])([A-Za-z]{3,24})(?![^\s.,;:!?"')])"""), 1)
+    counts = texts.select(F.explode(found).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return [(r.word, r.n) for r in counts.orderBy(F.desc("n"), "word").limit(words).collect()]  # at most ``words``
+
+
+def labelled_samples(words: list[tuple[str, int]] | None = None, seed: int = 7, count: int = 6000) -> list[tuple[str, int]]:
+    """Labelled strings: 1 for random ones over common alphabets, 0 for identifiers made of ordinary words.
+
+    words: (word, count); half of the identifiers are made of them, by their counts, the rest of common words.
+    """
     rng = random.Random(seed)
-    words = "get set user name list item index value count total page time date file path data key map node tree parse read write open close start stop first last next state config option default class function return import export table column row query result number string object array length size offset buffer stream message event handler request response server client version build test error warning info debug public private static final http www com org net content style title header footer image video download upload account order product price customer address street city country language translation introduction conclusion background information international development environment".split()
+    known, weights = [w for w, _ in words or []], [n for _, n in words or []]
     alphabets = (ALPHABET[:62], ALPHABET[:64], string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits, "0123456789abcdef", ALPHABET[:62] + "_-")
+    tails = (lambda: str(rng.randint(0, 9999)), lambda: f"v{rng.randint(1, 20)}", lambda: f"{rng.randint(1990, 2040)}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}", lambda: f"{rng.randint(1, 99):02d}")
     out = []
     for i in range(count):
         out.append(("".join(rng.choices(alphabets[i % len(alphabets)], k=rng.randint(20, 48))), 1))
-        parts = rng.choices(words, k=rng.randint(2, 6))
-        joined = ("_".join(parts), "-".join(parts), "".join(p.capitalize() for p in parts), "/".join(parts), "_".join(parts).upper(), "-".join(parts) + "-" + str(rng.randint(0, 9999)))[i % 6]
+        n = rng.randint(2, 6)
+        parts = rng.choices(known, weights, k=n) if known and i % 2 else rng.choices(COMMON, k=n)
+        if rng.random() < 0.4:
+            parts.insert(rng.randint(1, n), rng.choice(tails)())
+        style = i // 2 % 6
+        joined = ("_".join(parts), "-".join(parts), "".join(p.capitalize() for p in parts), "/".join(parts), "_".join(parts).upper(), "".join(parts))[style]
         out.append((joined, 0))
     return out
 
@@ -118,10 +149,13 @@ def find(data: np.ndarray, offsets: np.ndarray, model: np.ndarray) -> tuple[np.n
         one, two = np.roll(code, 1), np.roll(code, 2)
         one[heads] = two[heads] = two[heads + 1] = 0
         ratio = np.add.reduceat(model[two, one, code].astype(np.float64), heads) / lengths
-        # a base span that touches a candidate already reports it
-        order = np.argsort(base[:, 2], kind="stable")
-        reach = np.maximum.accumulate(np.append(0, base[order, 3]))[np.searchsorted(base[order, 2], end)]
-        keep = mixed & (ratio > RATIO) & (reach <= start)
+        keep = mixed & (ratio > RATIO)
+        _, low, high = unions(np.zeros(len(base), np.int64), base[:, 2], base[:, 3])
+        if len(low):  # spans of patterns that cover a candidate whole report all of it
+            over = np.maximum(np.searchsorted(low, start, side="right") - 1, 0)
+            keep &= ~((low[over] <= start) & (high[over] >= end))
+        for i in np.flatnonzero(keep & (lengths == 36)).tolist():
+            keep[i] = UUID.fullmatch(raw[start[i] : end[i]]) is None
         start, end = start[keep], end[keep]
         own = np.searchsorted(offsets, start, side="right") - 1
         base = np.concatenate([base, np.column_stack([own, np.full(len(start), 3), start, end])])
@@ -129,8 +163,11 @@ def find(data: np.ndarray, offsets: np.ndarray, model: np.ndarray) -> tuple[np.n
 
 
 def scan(docs: DataFrame, samples: list[tuple[str, int]] | None = None, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``row`` (the carried columns) and ``spans``, an array of (kind, start, end), for each document."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(samples or labelled_samples()))  # N x N x N ratios
+    """``row`` (the carried columns) and ``spans``, an array of (kind, start, end), for each document.
+
+    samples: labelled strings to train on; by default those made of the documents' own words.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(train(samples or labelled_samples(ordinary_words(docs))))  # N x N x N ratios
 
     def make():
         kinds = np.array(KINDS, object)

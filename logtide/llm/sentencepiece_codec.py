@@ -1,9 +1,11 @@
 """SentencePiece BPE encoding and decoding by vectorised merge rounds.
 
-Texts are cut where no piece can reach across: before each run of spaces, and around characters that no longer piece
-contains. Each distinct word is encoded once per task. A round works on flat symbol arrays of many words: it finds every
-word's smallest pair rank by a segmented minimum, merges all leftmost non-overlapping pairs of that rank at once and
-compacts the arrays, until no pair is left.
+Texts are cut where no piece can reach across: between two characters that stand side by side in no piece, such as any
+character and a space after it. Each distinct word is encoded once per task; words meet by hash and are compared byte by
+byte. A round works on flat symbol arrays of many words: it finds every word's smallest pair rank by a segmented minimum,
+merges all leftmost non-overlapping pairs of that rank at once and compacts the arrays, until no pair is left. A word of
+more than ``LONG`` symbols, for which many rounds over the whole word would be quadratic, keeps its pairs by rank instead:
+a round takes the smallest rank there is, merges its pairs and looks again only at their neighbours.
 
 Merging all pairs of one rank at once equals merging them one by one if no pair made by the merge has a smaller rank. The
 vocabulary says for which pieces that could happen ("unsafe" ones); of those, only the leftmost pair is merged in a round.
@@ -14,6 +16,7 @@ encoded like any other; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,12 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.blocks import U, byte_values, map_texts, prefix_hashes, range_hashes, ranges, strings
+from logtide.llm.blocks import Lanes, U, map_texts, range_digests, ranges, same_bytes, strings
 
 SPACE = "▁"
 NONE = np.iinfo(np.int32).max
-#: Distinct words that a task remembers before it starts anew.
-WORDS = 1 << 18
+#: Distinct words, and bytes of them, that a task remembers before it starts anew.
+WORDS, WORD_BYTES = 1 << 18, 8 << 20
+#: Symbols of a word from which on pairs are kept by rank.
+LONG = 256
 
 
 @dataclass
@@ -55,8 +60,10 @@ class Pieces:
         self.symbols = {s: i for i, (s, k) in enumerate(zip(self.pieces, self.kinds)) if k == "normal"}
         n = len(self.pieces)
         inner: set[str] = set()
+        beside: set[str] = set()
         for s in [s for s in self.symbols if len(s) > 1]:
             inner.update(s)
+            beside.update(s[k : k + 2] for k in range(len(s) - 1))
             if SPACE in s.lstrip(SPACE):
                 raise ValueError("a piece that has a space after another character")
         for c in sorted(inner - set(self.symbols)):
@@ -84,26 +91,103 @@ class Pieces:
             if len(s) == 1:
                 self.char[ord(s)] = i
         self.char[32] = self.char[ord(SPACE)]
-        self.alone = ord("\n") if "\n" not in inner else None
+        #: number of each character that is part of longer pieces (0: of none), and which stand side by side in one
+        self.number = np.zeros(0x110000, np.int32)
+        self.number[[ord(c) for c in sorted(inner)]] = np.arange(1, len(inner) + 1)
+        self.number[32] = self.number[ord(SPACE)]
+        self.joins = np.zeros((len(inner) + 1,) * 2, bool)
+        if beside:
+            self.joins[tuple(self.number[[ord(s[k]) for s in sorted(beside)]] for k in range(2))] = True
         raw = [bytes([int(s[3:5], 16)]) if k == "byte" else b"" if k == "control" else s.replace(SPACE, " ").encode() for s, k in zip(self.pieces, self.kinds)]
         self.piece_offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
         self.piece_bytes = np.frombuffer(b"".join(raw), np.uint8)
         first = [i for i, k in enumerate(self.kinds) if k == "byte"]
         self.byte_ids = np.array(sorted(first, key=lambda i: int(self.pieces[i][3:5], 16)), np.int64)
 
-    def pair_ranks(self, symbols: np.ndarray, words: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Rank of the piece that the symbols at ``at`` and ``at + 1`` make; NONE if they make none or a word ends there."""
-        x, y = symbols[at], symbols[np.minimum(at + 1, len(symbols) - 1)]
+    def rank_of(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Rank of the piece that two symbols make; NONE if they make none."""
+        if not len(self.pair_keys):
+            return np.full(len(x), NONE, np.int64)
         keys = x * self.n_symbols + y
         i = np.searchsorted(self.pair_keys, keys)
         i[i == len(self.pair_keys)] = 0
-        hit = (self.pair_keys[i] == keys) & (x < self.n_symbols) & (y < self.n_symbols) & (at + 1 < len(symbols))
-        hit &= words[at] == words[np.minimum(at + 1, len(symbols) - 1)]
+        hit = (self.pair_keys[i] == keys) & (x < self.n_symbols) & (y < self.n_symbols)
         return np.where(hit, self.rank[self.pair_to[i]], NONE)
 
+    def pair_ranks(self, symbols: np.ndarray, words: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Rank of the piece that the symbols at ``at`` and ``at + 1`` make; NONE if they make none or a word ends there."""
+        after = np.minimum(at + 1, len(symbols) - 1)
+        return np.where((at + 1 < len(symbols)) & (words[at] == words[after]), self.rank_of(symbols[at], symbols[after]), NONE)
+
+    def merge_long(self, symbols: np.ndarray) -> np.ndarray:
+        """Merge rounds over one word, whose pairs are kept by rank."""
+        n = len(symbols)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        ranks = np.append(self.rank_of(symbols[:-1], symbols[1:]), NONE)
+        waiting: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def wait(at: np.ndarray) -> None:
+            at = at[ranks[at] < NONE]
+            order = np.argsort(ranks[at], kind="stable")
+            at = at[order]
+            r = ranks[at]
+            cuts = np.flatnonzero(r[1:] != r[:-1]) + 1
+            for some in np.split(at, cuts) if len(at) else []:
+                k = int(ranks[some[0]])
+                if k not in waiting:
+                    waiting[k] = []
+                    heapq.heappush(heap, k)
+                waiting[k].append(some)
+
+        wait(np.arange(n))
+        while heap:
+            r = heapq.heappop(heap)
+            some = waiting.pop(r)
+            here = np.unique(np.concatenate(some)) if len(some) > 1 else some[0]
+            made = self.of_rank[r]
+            rest = here[:0]
+            if self.unsafe[made]:  # only the leftmost pair that is still there
+                live = 0
+                while live < len(here) and ranks[here[live]] != r:
+                    live += 1
+                here, rest = here[live : live + 1], here[live + 1 :]
+            here = here[ranks[here] == r]
+            if len(here) > 1:
+                run = np.concatenate([[True], here[1:] != after[here[:-1]]])
+                start = np.maximum.accumulate(np.where(run, np.arange(len(here)), 0))
+                here = here[(np.arange(len(here)) - start) % 2 == 0]
+            if len(here):
+                gone = after[here]
+                following = after[gone]
+                symbols[here], after[here] = made, following
+                ranks[gone] = NONE
+                symbols[gone] = -1
+                inside = following < n
+                before[following[inside]] = here[inside]
+                changed = np.unique(np.concatenate([here, before[here]]))
+                changed = changed[changed >= 0]
+                other = after[changed]
+                ranks[changed] = np.where(other < n, self.rank_of(symbols[changed], symbols[np.minimum(other, n - 1)]), NONE)
+                wait(changed)
+            if len(rest):
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(heap, r)
+                waiting[r].insert(0, rest)
+        return symbols[symbols >= 0]
+
     def merge(self, symbols: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merge rounds over flat symbols; words: non-decreasing word of each symbol."""
         done: list[tuple[np.ndarray, np.ndarray]] = []
+        sizes = np.bincount(words)
+        for w in np.flatnonzero(sizes > LONG).tolist():
+            at = np.searchsorted(words, [w, w + 1])
+            whole = self.merge_long(symbols[at[0] : at[1]].copy())
+            done.append((whole, np.full(len(whole), w)))
+        if done:
+            short = sizes[words] <= LONG
+            symbols, words = symbols[short], words[short]
         ranks = self.pair_ranks(symbols, words, np.arange(len(symbols)))
         while len(symbols):
             first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
@@ -163,12 +247,48 @@ class Encoder:
     """Encodes blocks of texts; keeps the words that a task has seen."""
 
     def __init__(self, pieces: Pieces):
-        self.p, self.table = pieces, byte_values(False)
+        self.p = pieces
         self.forget()
 
     def forget(self) -> None:
         self.known, self.place = np.zeros(0, U), np.zeros(0, np.int64)
         self.ids, self.offsets = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.words, self.at = Lanes(np.zeros(0, np.uint8)), np.zeros(1, np.int64)
+
+    def learn(self, hashes: np.ndarray, data: np.ndarray, lengths: np.ndarray) -> None:
+        """Encode words that are new: flat bytes, and the length of each."""
+        ids, offsets = self.p.encode_words(data, np.concatenate([[0], np.cumsum(lengths)]))
+        known, place = np.concatenate([self.known, hashes]), np.concatenate([self.place, len(self.place) + np.arange(len(hashes))])
+        order = np.argsort(known)
+        self.known, self.place = known[order], place[order]
+        self.ids, self.offsets = np.concatenate([self.ids, ids]), np.concatenate([self.offsets, self.offsets[-1] + offsets[1:]])
+        self.words, self.at = Lanes(np.concatenate([self.words.held[:-8], data])), np.concatenate([self.at, self.at[-1] + np.cumsum(lengths)])
+
+    def encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each word)."""
+        lanes, lengths = Lanes(data), ends - starts
+        hashes = range_digests(lanes, starts, ends)
+        distinct, first, word = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.known) > WORDS or len(self.words.held) > WORD_BYTES:
+            self.forget()
+        at = np.minimum(np.searchsorted(self.known, distinct), max(len(self.known) - 1, 0))
+        seen = self.known[at] == distinct if len(self.known) else np.zeros(len(distinct), bool)
+        if not seen.all():
+            new = first[~seen]
+            self.learn(distinct[~seen], data[ranges(starts[new], lengths[new])], lengths[new])
+            at = np.searchsorted(self.known, distinct)
+        place = self.place[at][word]
+        same = np.diff(self.at)[place] == lengths
+        same[same] = same_bytes(lanes, starts[same], lengths[same], self.words, self.at[place[same]])
+        counts = np.diff(self.offsets)[place]
+        if same.all():
+            return self.ids[ranges(self.offsets[place], counts)], counts
+        # words that share their hash with another one
+        odd = np.flatnonzero(~same)
+        ids, offsets = self.p.encode_words(data[ranges(starts[odd], lengths[odd])], np.concatenate([[0], np.cumsum(lengths[odd])]))
+        begin = self.offsets[place]
+        begin[odd], counts[odd] = len(self.ids) + offsets[:-1], np.diff(offsets)
+        return np.concatenate([self.ids, ids])[ranges(begin, counts)], counts
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets), with the begin and end ids."""
@@ -184,43 +304,20 @@ class Encoder:
         if not len(data):
             ids = np.tile(np.array([self.p.bos, self.p.eos], np.int32), n)
             return ids, np.arange(n + 1) * 2
-        space = data == 32
-        cut = space.copy()
-        cut[1:] &= ~space[:-1]
-        if self.p.alone is not None:
-            alone = data == self.p.alone
-            cut |= alone
-            cut[1:] |= alone[:-1]
+        heads = np.flatnonzero((data & 0xC0) != 0x80)
+        number = self.p.number[np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)]
+        cut = np.zeros(len(data), bool)
+        cut[heads[1:]] = ~self.p.joins[number[:-1], number[1:]]
         cut[offsets[:-1][filled]] = True
         starts = np.flatnonzero(cut)
-        ends = np.append(starts[1:], len(data))
-        hashes = range_hashes(prefix_hashes(data, self.table), starts, ends)
-        distinct, first, word = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) > WORDS:
-            self.forget()
-        at = np.searchsorted(self.known, distinct)
-        at[at == len(self.known)] = 0
-        seen = self.known[at] == distinct if len(self.known) else np.zeros(len(distinct), bool)
-        if not seen.all():
-            new = first[~seen]
-            lengths = ends[new] - starts[new]
-            ids, offs = self.p.encode_words(data[ranges(starts[new], lengths)], np.concatenate([[0], np.cumsum(lengths)]))
-            place = len(self.offsets) - 1 + np.arange(len(new))
-            self.ids, self.offsets = np.concatenate([self.ids, ids]), np.concatenate([self.offsets, self.offsets[-1] + offs[1:]])
-            known, places = np.concatenate([self.known, distinct[~seen]]), np.concatenate([self.place, place])
-            order = np.argsort(known)
-            self.known, self.place = known[order], places[order]
-            at = np.searchsorted(self.known, distinct)
-        place = self.place[at][word]
-        lengths = self.offsets[place + 1] - self.offsets[place]
-        total = np.concatenate([[0], np.cumsum(lengths)])
-        inner = total[np.searchsorted(starts, offsets)]  # ids before each text
-        out = np.empty(int(total[-1]) + 2 * n, np.int32)
-        ends_at = inner + 2 * np.arange(n + 1)
+        inner, lengths = self.encode(data, starts, np.append(starts[1:], len(data)))
+        total = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(starts, offsets)]  # ids before each text
+        out = np.empty(len(inner) + 2 * n, np.int32)
+        ends_at = total + 2 * np.arange(n + 1)
         edge = np.zeros(len(out), bool)
         edge[ends_at[:-1]] = edge[ends_at[1:] - 1] = True
         out[ends_at[:-1]], out[ends_at[1:] - 1] = self.p.bos, self.p.eos
-        out[~edge] = self.ids[ranges(self.offsets[place], lengths)]
+        out[~edge] = inner
         return out, ends_at
 
 
@@ -267,6 +364,23 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     return map_texts(encoded, make, "ids binary, decoded string", ("row",), "ids").select("row.row", "ids", "decoded")
 
 
+def round_trip(docs: DataFrame, model_path: str, carry: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """``row``, ``ids`` and ``decoded`` in one pass: what ``encode`` returns, and the text that ``decode`` makes of it."""
+    shared = docs.sparkSession.sparkContext.broadcast(Pieces.load(model_path))  # bounded by the vocabulary
+
+    def make():
+        encoder = Encoder(shared.value)
+
+        def work(data, offsets):
+            ids, at = encoder(data, offsets)
+            out, ends = decode_ids(shared.value, ids, at)
+            return [strings(ids.astype("<u4").view(np.uint8), at * 4, pa.binary()), strings(out, ends, pa.string())]
+
+        return work
+
+    return map_texts(docs, make, "ids binary, decoded string", carry, text)
+
+
 def model_path() -> str:
     import public_tokenizers
 
@@ -276,7 +390,7 @@ def model_path() -> str:
 def op4_sentencepiece(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = model_path()
-    out = decode(encode(docs, path), path)
+    out = round_trip(docs, path)
     return out.select(
         "row.doc_id",
         F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),

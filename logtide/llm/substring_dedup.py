@@ -5,43 +5,48 @@ suffix array, so suffixes first meet their likes:
 
 1. Each window of WIDTH bytes names an anchor: the K bytes within it with the smallest hash, leftmost if equal. Equal
    windows name equal anchors at equal offsets. Consecutive windows with one anchor form an atom, about 1 for 65 bytes. Atoms
-   are dealt out by anchor. Equal atoms (equal anchors, and equal hashes of their whole text and offset) form a class; a
-   class of two or more is repeated whole. Each task passes on one member of a class only, so that copies and hot passages
-   don't pile up.
+   are dealt out by anchor. Equal atoms (96 bits of a BLAKE2 digest of their text) form a class; a class of two or more is
+   repeated whole. Each block passes on one member of a class only, so that copies and hot passages don't pile up.
 2. Where one anchor has several classes, their texts overlap in part. One text of each class goes to the anchor's task,
    which builds prefix polynomial hashes over them. Windows whose hash no other window shares can't be repeated. The others
    are sorted as suffixes, anchor by anchor, by a bottom-up merge sort whose comparisons find the longest common extension
    by binary search over prefix hashes. Neighbours in that order share the longest extensions; their bytes are compared to
    rule out collisions, and extensions of WIDTH or more are repeats.
-3. The repeated windows meet the texts again and become removed runs.
+3. An anchor with more than ``HOT`` atoms (the edge of a passage that very many documents share) is not one task's: its
+   classes are dealt out by class, and each window of theirs then becomes an atom of its own, known by its own digest.
+4. The repeated windows meet the texts again and become removed runs.
 
-Atoms, requests and spans travel as packed arrays, some thousand to a row. Rows are told apart by a hash of doc_id and
-text, so that repeated rows are copies of each other like any two equal texts. Null texts are empty; texts shorter than
-WIDTH lose nothing.
+Atoms, requests and spans travel as packed arrays, some thousand to a row, and a task holds one bucket of them at a time. Rows
+are told apart by 96 bits of hashes of doc_id and text, so that repeated rows are copies of each other like any two equal
+texts. Null texts are empty; texts shorter than WIDTH lose nothing. Texts longer than ``PIECE`` are read in overlapping pieces.
 """
 
 from __future__ import annotations
 
-
+import hashlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.blocks import INVERSE, U, blocks, byte_values, mix, powers, prefix_hashes, range_hashes, ranges, strings, text_arrays
+from logtide.llm.blocks import INVERSE, U, blocks, mix, powers, prefix_hashes, ranges, strings, text_arrays
 from logtide.llm.decontamination import unions
-from logtide.llm.packed import PACKED, Outbox, joined, records, unpack
+from logtide.llm.packed import PACKED, Outbox, bucket_count, buckets, deal, records, unpack
 from logtide.scratch import Scratch
 
 WIDTH = 200
 K = 48
-#: Low bits of an anchor key hold the position; texts may have up to 2**30 bytes.
-PLACE = 30
-ATOM = np.dtype([("g", "<u8"), ("h", "<u8"), ("row", "<i8"), ("lo", "<u4"), ("n", "<u1"), ("known", "<u1")])
-REQUEST = np.dtype([("row", "<i8"), ("g", "<u8"), ("lo", "<u4"), ("n", "<u1"), ("known", "<u1")])
-SPAN = np.dtype([("row", "<i8"), ("lo", "<u4"), ("n", "<u4")])
-ATOMS, REQUESTS, SPANS = 0, 1, 2
+#: Low bits of an anchor key hold the position in a piece.
+PLACE = 26
+PIECE = 1 << 24
+#: Atoms of an anchor from which on its windows are told apart one by one, and the number of such anchors at most.
+HOT, MOST = 1 << 14, 1 << 16
+ATOM = np.dtype([("g", "<u8"), ("h", "<u8"), ("h2", "<u4"), ("row", "<i8"), ("check", "<u4"), ("lo", "<u4"), ("n", "<u1"), ("known", "<u1")])
+REQUEST = np.dtype([("row", "<i8"), ("check", "<u4"), ("g", "<u8"), ("lo", "<u4"), ("n", "<u1"), ("known", "<u1"), ("split", "<u1")])
+SPAN = np.dtype([("row", "<i8"), ("check", "<u4"), ("lo", "<u4"), ("n", "<u4")])
+COUNT = np.dtype([("g", "<u8"), ("n", "<i8")])
+ATOMS, REQUESTS, SPANS, COUNTS = 0, 1, 2, 3
 
 
 def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
@@ -53,11 +58,22 @@ def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
-def atoms(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, k: int = K) -> tuple[np.ndarray, ...]:
-    """(text, anchor hash, class hash, first window, windows) of all atoms of a block."""
+def window_digests(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """96 bits of a digest of each byte range."""
+    raw = memoryview(np.ascontiguousarray(data))
+    found = b"".join([hashlib.blake2b(raw[a:b], digest_size=12).digest() for a, b in zip(lo.tolist(), hi.tolist())])
+    both = np.frombuffer(found, np.dtype([("h", "<u8"), ("h2", "<u4")]))
+    return both["h"], both["h2"]
+
+
+def atoms(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, k: int = K, piece: int = PIECE) -> tuple[np.ndarray, ...]:
+    """(text, anchor hash, first window, windows) of all atoms of a block; one text only, if it is longer than a piece."""
     if len(data) < width:
-        return tuple(np.zeros(0, t) for t in (np.int64, U, U, np.int64, np.int64))
-    h = prefix_hashes(data, byte_values(False))
+        return tuple(np.zeros(0, t) for t in (np.int64, U, np.int64, np.int64))
+    if len(data) > piece and len(offsets) == 2:
+        parts = [(a, *atoms(some := data[a : a + piece + width - 1], np.array([0, len(some)]), width, k, piece + width)) for a in range(0, len(data) - width + 1, piece)]
+        return tuple(np.concatenate(x) for x in zip(*((t, g, lo + a, n) for a, t, g, lo, n in parts)))
+    h = prefix_hashes(data)
     m = len(data) - k + 1
     gram = (h[k:] - h[:-k]) * powers(INVERSE, m)
     order = gram ^ (gram >> U(29))
@@ -71,89 +87,147 @@ def atoms(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, k: int = K)
         return atoms(data[:0], offsets[:1])
     anchor, text = anchor[window], text[window]
     heads = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])]))
-    n = np.diff(np.append(heads, len(window)))
-    lo, text, anchor = window[heads], text[heads], anchor[heads]
-    whole = range_hashes(h, lo, lo + n + width - 1)
-    return text, mix(gram[anchor]), mix(whole ^ ((anchor - lo).astype(U) * U(0x9E3779B97F4A7C15))), lo, n
+    return text[heads], mix(gram[anchor[heads]]), window[heads], np.diff(np.append(heads, len(window)))
 
 
-def classes(g: np.ndarray, h: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sort by anchor and class: (order, first of each class, class of each, whether a class is repeated)."""
-    order = np.lexsort((h, g))
-    g, h = g[order], h[order]
-    new = np.concatenate([[True], (g[1:] != g[:-1]) | (h[1:] != h[:-1])]) if len(g) else np.zeros(0, bool)
+def classes(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sort atoms by anchor and class: (order, first of each class, class of each, whether a class is repeated)."""
+    order = np.lexsort((a["h2"], a["h"], a["g"]))
+    a = a[order]
+    new = np.ones(len(a), bool)
+    for field in ("g", "h", "h2"):
+        new[1:] &= a[field][1:] == a[field][:-1]
+    new[1:] = ~new[1:]
     first = np.flatnonzero(new)
-    repeated = np.diff(np.append(first, len(g))) > 1
+    repeated = np.diff(np.append(first, len(a))) > 1
     if len(first):
-        repeated |= np.logical_or.reduceat(known[order], first)
+        repeated |= np.logical_or.reduceat(a["known"].astype(bool), first)
     return order, first, np.cumsum(new) - 1, repeated
 
 
-def find_atoms(texts: DataFrame, parts: int) -> DataFrame:
-    """Packed atoms by anchor (one of each class and block), and spans of what is repeated within a block."""
+def checks(rows: pa.RecordBatch) -> np.ndarray:
+    return (rows.column("row2").to_numpy().view(U) & U(0xFFFFFFFF)).astype(np.uint32)
+
+
+def find_atoms(texts: DataFrame, count: int) -> DataFrame:
+    """Packed atoms by anchor (one of each class and block), spans of what is repeated within a block, and frequent anchors."""
 
     def run(batches):
-        out = Outbox(parts)
+        out = Outbox(count)
+        seen: list[np.ndarray] = []
+
+        def frequent():
+            g, n = np.unique(np.concatenate(seen), return_counts=True)
+            often = n >= 8
+            out.add(COUNTS, records(COUNT, g=g[often], n=n[often]), g[often])
+
         for batch in batches:
             for rows, data, offsets in blocks(batch, "text"):
-                text, g, h, lo, n = atoms(data, offsets)
-                order, first, _, repeated = classes(g, h, np.zeros(len(g), bool))
-                row = rows.column("row").to_numpy()[text]
-                start = lo - offsets[text]
-                head = order[first]
-                out.add(ATOMS, records(ATOM, g=g[head], h=h[head], row=row[head], lo=start[head], n=n[head], known=repeated), g[head])
+                text, g, lo, n = atoms(data, offsets)
+                h, h2 = window_digests(data, lo, lo + n + WIDTH - 1)
+                found = records(ATOM, g=g, h=h, h2=h2, row=rows.column("row").to_numpy()[text], check=checks(rows)[text], lo=lo - offsets[text], n=n)
+                order, first, _, repeated = classes(found)
+                head = found[order[first]]
+                head["known"] = repeated
+                out.add(ATOMS, head, head["g"])
+                seen.append(head["g"].copy())
                 twice = order[np.repeat(repeated, np.diff(np.append(first, len(order))))]
                 t, a, b = unions(text[twice], lo[twice], lo[twice] + n[twice])
                 at = rows.column("row").to_numpy()[t]
-                out.add(SPANS, records(SPAN, row=at, lo=a - offsets[t], n=b - a), at)
+                out.add(SPANS, records(SPAN, row=at, check=checks(rows)[t], lo=a - offsets[t], n=b - a), at)
+                if sum(map(len, seen)) > 1_000_000:
+                    frequent()
+                    seen = []
                 if out.full():
                     yield from out.flush()
+        if seen:
+            frequent()
         yield from out.flush()
 
     return texts.mapInArrow(run, PACKED)
 
 
-def match_classes(dealt: DataFrame, parts: int) -> DataFrame:
-    """Spans of atoms whose class is repeated, and requests for one text of each class of an anchor that has several."""
+def hot_anchors(found: DataFrame, parts: int, hot: int) -> np.ndarray:
+    """Anchors with more than ``hot`` atoms, the MOST frequent ones."""
 
     def run(batches):
-        held: list[np.ndarray] = []
+        for rows in buckets(batches):
+            c = unpack(rows, COUNTS, COUNT)
+            g, back = np.unique(c["g"], return_inverse=True)
+            n = np.bincount(back, c["n"], len(g)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(g[n > hot].view(np.int64)), pa.array(n[n > hot])], ["g", "n"])
+
+    counted = deal(found.where(F.col("kind") == COUNTS), parts).mapInArrow(run, "g bigint, n bigint")
+    return np.sort(counted.orderBy(F.desc("n"), "g").limit(MOST).toArrow().column("g").to_numpy().view(U))  # at most MOST
+
+
+def spread(found: DataFrame, hot, count: int) -> DataFrame:
+    """Atoms of hot anchors dealt out by class; everything else stays where it is."""
+
+    def run(batches):
+        out = Outbox(count)
         for batch in batches:
-            kinds = batch.column("kind").to_numpy()
-            passed = batch.filter(pa.array(kinds == SPANS))
-            if passed.num_rows:
-                yield passed
-            held += unpack(batch, ATOMS, ATOM)
-        a = joined(held, ATOM)
-        order, first, of, repeated = classes(a["g"], a["h"], a["known"].astype(bool))
-        a = a[order]
-        out = Outbox(parts)
-        twice = a[repeated[of] & (a["known"] == 0)]
-        out.add(SPANS, records(SPAN, row=twice["row"], lo=twice["lo"], n=twice["n"]), twice["row"])
-        head = a[first]
-        _, back, members = np.unique(head["g"], return_inverse=True, return_counts=True)
-        several = members[back] > 1
-        asked = head[several]
-        out.add(REQUESTS, records(REQUEST, row=asked["row"], g=asked["g"], lo=asked["lo"], n=asked["n"], known=repeated[several]), asked["row"])
+            own = batch.column("kind").to_numpy() == ATOMS
+            yield batch.filter(pa.array(~own))
+            if not own.any():
+                continue
+            some = batch.filter(pa.array(own))
+            data, offsets = text_arrays(some.column("payload"))
+            a = np.frombuffer(data, ATOM)
+            away = np.isin(a["g"], hot.value)
+            if not away.any():
+                yield some
+                continue
+            ends = np.concatenate([[0], np.cumsum(~away)])[offsets // ATOM.itemsize] * ATOM.itemsize
+            yield pa.RecordBatch.from_arrays([some.column("kind"), some.column("part"), strings(a[~away].view(np.uint8), ends, pa.binary())], some.schema.names)
+            out.add(ATOMS, a[away], a["h"][away])
+            yield from out.flush()
+
+    return found.where(F.col("kind").isin(ATOMS, SPANS)).mapInArrow(run, PACKED) if len(hot.value) else found.where(F.col("kind").isin(ATOMS, SPANS))
+
+
+def match_classes(dealt: DataFrame, hot, count: int, ask: bool = True) -> DataFrame:
+    """Spans of atoms whose class is repeated, and requests for one text of each class of an anchor that has several."""
+
+    def run(batches):
+        out = Outbox(count)
+        for rows in buckets(batches):
+            for batch in rows:
+                passed = batch.filter(pa.array(batch.column("kind").to_numpy() == SPANS))
+                if passed.num_rows:
+                    yield passed
+            a = unpack(rows, ATOMS, ATOM)
+            order, first, of, repeated = classes(a)
+            a = a[order]
+            twice = a[repeated[of] & (a["known"] == 0)]
+            out.add(SPANS, records(SPAN, row=twice["row"], check=twice["check"], lo=twice["lo"], n=twice["n"]), twice["row"])
+            if ask:
+                head = a[first]
+                _, back, members = np.unique(head["g"], return_inverse=True, return_counts=True)
+                split = np.isin(head["g"], hot.value)
+                several = (members[back] > 1) | split
+                asked = head[several]
+                out.add(REQUESTS, records(REQUEST, row=asked["row"], check=asked["check"], g=asked["g"], lo=asked["lo"], n=asked["n"], known=repeated[several], split=split[several]), asked["row"])
+            if out.full():
+                yield from out.flush()
         yield from out.flush()
 
     return dealt.mapInArrow(run, PACKED)
 
 
-TEXTS = "g bigint, row bigint, lo bigint, n int, known int, text binary"
+TEXTS = "kind int, part int, payload binary, g bigint, row bigint, row2 bigint, lo bigint, n int, known int, text binary"
 
 
-def meet(packed: DataFrame, kind: int, texts: DataFrame, parts: int, dtype: np.dtype, work, schema: str) -> DataFrame:
+def meet(packed: DataFrame, kind: int, texts: DataFrame, parts: int, count: int, dtype: np.dtype, work, schema: str) -> DataFrame:
     """Deal packed records and texts by row; ``work(row, data, offsets, records)`` gets each block of texts with its records.
 
-    Within a part the packed records come first; only they are held, the texts stream by.
+    Within a bucket the packed records come first; only they are held, the texts stream by.
     """
-    left = packed.where(F.col("kind") == kind).select("part", F.lit(0).alias("late"), "payload", F.lit(None).cast("bigint").alias("row"), F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("text"))
-    right = texts.select("part", F.lit(1).alias("late"), F.lit(None).cast("binary").alias("payload"), "row", "doc_id", "text")
-    dealt = left.unionByName(right).repartitionById(parts, "part").sortWithinPartitions("part", "late")
+    left = packed.where(F.col("kind") == kind).select("part", F.lit(0).alias("late"), "payload", *[F.lit(None).cast(t).alias(c) for c, t in (("row", "bigint"), ("row2", "bigint"), ("doc_id", "bigint"), ("text", "string"))])
+    right = texts.select(F.pmod("row", F.lit(count)).cast("int").alias("part"), F.lit(1).alias("late"), F.lit(None).cast("binary").alias("payload"), "row", "row2", "doc_id", "text")
 
     def run(batches):
-        held, of = np.zeros(0, dtype), None
+        held, waiting, of = np.zeros(0, dtype), [], None
         for batch in batches:
             part, late = batch.column("part").to_numpy(), batch.column("late").to_numpy()
             edges = np.flatnonzero(np.diff(part * 2 + late)) + 1
@@ -161,34 +235,58 @@ def meet(packed: DataFrame, kind: int, texts: DataFrame, parts: int, dtype: np.d
                 if a == b:
                     continue
                 if of != part[a]:
-                    held, of = np.zeros(0, dtype), part[a]
+                    held, waiting, of = np.zeros(0, dtype), [], part[a]
                 some = batch.slice(a, b - a)
                 if not late[a]:
-                    held = np.concatenate([held, *(np.frombuffer(x.as_py(), dtype) for x in some.column("payload"))])
-                    held = held[np.argsort(held["row"], kind="stable")]
+                    waiting.append(np.frombuffer(text_arrays(some.column("payload"))[0], dtype))
                     continue
+                if waiting:
+                    held = np.concatenate(waiting)
+                    held, waiting = held[np.argsort(held["row"], kind="stable")], []
                 for rows, data, offsets in blocks(some, "text"):
                     yield from work(rows, data, offsets, held)
 
-    return dealt.mapInArrow(run, schema)
+    return deal(left.unionByName(right), parts, "late").mapInArrow(run, schema)
 
 
-def of_rows(rows: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def of_rows(rows: pa.RecordBatch, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(index of the text, record) for each record that belongs to one of the rows; held is sorted by row."""
-    first, last = np.searchsorted(held["row"], rows), np.searchsorted(held["row"], rows, side="right")
-    return np.repeat(np.arange(len(rows)), last - first), held[ranges(first, last - first)]
-
+    row = rows.column("row").to_numpy()
+    first, last = np.searchsorted(held["row"], row), np.searchsorted(held["row"], row, side="right")
+    text, found = np.repeat(np.arange(len(row)), last - first), held[ranges(first, last - first)]
+    own = found["check"] == checks(rows)[text]
+    return text[own], found[own]
+
+
+def cut_out(count: int):
+    """The texts of requested classes; of split ones packed atoms, one for each window."""
+
+    def work(rows, data, offsets, held):
+        text, asked = of_rows(rows, held)
+        whole = asked["split"] == 0
+        out = Outbox(count)
+        if not whole.all():
+            t, some = text[~whole], asked[~whole]
+            windows = some["n"].astype(np.int64)
+            each, lo = np.repeat(np.arange(len(some)), windows), ranges(some["lo"].astype(np.int64), windows)
+            at = offsets[t][each] + lo
+            h, h2 = window_digests(data, at, at + WIDTH)
+            out.add(ATOMS, records(ATOM, g=h, h=h, h2=h2, row=some["row"][each], check=some["check"][each], lo=lo, n=np.ones(len(lo)), known=some["known"][each]), h)
+            for packed in out.flush():
+                empty = [pa.nulls(packed.num_rows, k) for k in (pa.int64(),) * 4 + (pa.int32(), pa.int32(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([*packed.columns, *empty], [f.split()[0] for f in TEXTS.split(", ")])
+        text, asked = text[whole], asked[whole]
+        if not len(asked):
+            return
+        n = len(asked)
+        lo = offsets[text] + asked["lo"]
+        length = asked["n"].astype(np.int64) + WIDTH - 1
+        body = strings(data[ranges(lo, length)], np.concatenate([[0], np.cumsum(length)]), pa.binary())
+        row2 = rows.column("row2").to_numpy()[text]
+        columns = [pa.array(asked["g"].view(np.int64)), pa.array(asked["row"]), pa.array(row2), pa.array(asked["lo"].astype(np.int64)), pa.array(asked["n"].astype(np.int32)), pa.array(asked["known"].astype(np.int32)), body]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, REQUESTS, np.int32)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), *columns], [f.split()[0] for f in TEXTS.split(", ")])
 
-def cut_out(rows, data, offsets, held):
-    """The texts of requested classes."""
-    text, asked = of_rows(rows.column("row").to_numpy(), held)
-    if not len(asked):
-        return
-    lo = offsets[text] + asked["lo"]
-    length = asked["n"].astype(np.int64) + WIDTH - 1
-    body = strings(data[ranges(lo, length)], np.concatenate([[0], np.cumsum(length)]), pa.binary())
-    columns = [pa.array(asked["g"].view(np.int64)), pa.array(asked["row"]), pa.array(asked["lo"].astype(np.int64)), pa.array(asked["n"].astype(np.int32)), pa.array(asked["known"].astype(np.int32)), body]
-    yield pa.RecordBatch.from_arrays(columns, ["g", "row", "lo", "n", "known", "text"])
+    return work
 
 
 class Suffixes:
@@ -196,7 +294,7 @@ class Suffixes:
 
     def __init__(self, data: np.ndarray):
         self.data = data
-        self.h = prefix_hashes(data, byte_values(False))
+        self.h = prefix_hashes(data)
         self.inverse = powers(INVERSE, len(data) + 1)
 
     def extension(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -301,76 +399,89 @@ def verified(data: np.ndarray, a: np.ndarray, b: np.ndarray, common: np.ndarray,
     return out
 
 
-def compare_texts(dealt: DataFrame, parts: int) -> DataFrame:
-    """Spans of windows that recur in another class of their anchor."""
+def compare_texts(sorted_texts: DataFrame, count: int, limit: int = 2 << 20) -> DataFrame:
+    """Spans of windows that recur in another class of their anchor; texts sorted by anchor within partitions."""
 
-    def run(batches):
-        held = pa.Table.from_batches(batches) if (batches := list(batches)) else None
-        if held is None or not held.num_rows:
-            return
+    def compared(held: pa.Table, out: Outbox) -> None:
         held = held.combine_chunks()
-        g = held.column("g").to_numpy()
-        held = held.take(pa.array(np.argsort(g, kind="stable")))
-        out = Outbox(parts)
-        g, row, lo, n, known = (held.column(c).to_numpy() for c in ("g", "row", "lo", "n", "known"))
+        g, row, row2, lo, n, known = (held.column(c).to_numpy() for c in ("g", "row", "row2", "lo", "n", "known"))
         group = np.cumsum(np.concatenate([[0], np.diff(g) != 0]))
         data, offsets = text_arrays(held.column("text").cast(pa.large_binary()))
-        # groups in turn, some MB of text at a time
-        edges = np.append(np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])), len(group))
-        i = 0
-        while i < len(edges) - 1:
-            j = max(i + 1, int(np.searchsorted(offsets[edges], offsets[edges[i]] + (2 << 20), side="right")) - 1)
-            a, b = edges[i], edges[j]
-            text, window = repeated_windows(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], n[a:b].astype(np.int64), group[a:b])
-            text = text + a
-            new = known[text] == 0
-            text, window = text[new], window[new]
-            t, x, y = unions(text, window, window + 1)
-            out.add(SPANS, records(SPAN, row=row[t], lo=lo[t] + x, n=y - x), row[t])
-            i = j
+        text, window = repeated_windows(data, offsets, n.astype(np.int64), group)
+        new = known[text] == 0
+        t, x, y = unions(text[new], window[new], window[new] + 1)
+        out.add(SPANS, records(SPAN, row=row[t], check=row2[t].view(U) & U(0xFFFFFFFF), lo=lo[t] + x, n=y - x), row[t])
+
+    def run(batches):
+        out = Outbox(count)
+        held: list[pa.RecordBatch] = []
+        size, last = 0, None
+        for batch in batches:
+            g = batch.column("g").to_numpy()
+            starts = np.concatenate([[0], np.cumsum(batch.column("n").to_numpy() + WIDTH - 1)])
+            heads = np.flatnonzero(np.concatenate([[last is None or g[0] != last], g[1:] != g[:-1]])) if len(g) else []
+            at = 0
+            for edge in heads:  # groups in turn, some MB of text at a time
+                if size + starts[edge] - starts[at] > limit:
+                    held.append(batch.slice(at, edge - at))
+                    compared(pa.Table.from_batches(held), out)
+                    held, size, at = [], 0, edge
+                    if out.full():
+                        yield from out.flush()
+            if len(g):
+                held.append(batch.slice(at))
+                size += starts[-1] - starts[at]
+                last = g[-1]
+        if held:
+            compared(pa.Table.from_batches(held), out)
         yield from out.flush()
 
-    return dealt.mapInArrow(run, PACKED)
+    return sorted_texts.mapInArrow(run, PACKED)
 
 
-KEPT = "doc_id bigint, kept binary, removed binary"
+KEPT = "doc_id bigint, kept binary, removed binary, n_removed bigint"
 
 
 def strip(rows, data, offsets, held):
     """Texts without the bytes of repeated windows; ``removed``: maximal runs as pairs of 64-bit integers."""
-    text, span = of_rows(rows.column("row").to_numpy(), held)
+    text, span = of_rows(rows, held)
     lo = offsets[text] + span["lo"]
     t, a, b = unions(text, lo, lo + span["n"] + WIDTH - 1)
     gone = np.zeros(len(data) + 1, np.int64)
     gone[ranges(a, b - a)] = 1
-    at = offsets - np.concatenate([[0], np.cumsum(gone[:-1])])[offsets]
+    before = np.concatenate([[0], np.cumsum(gone[:-1])])[offsets]
     runs = np.column_stack([a - offsets[t], b - offsets[t]]).astype("<i8").ravel().view(np.uint8)
     where = np.searchsorted(t, np.arange(len(offsets))) * 16
-    yield pa.RecordBatch.from_arrays([rows.column("doc_id"), strings(data[gone[:-1] == 0], at, pa.binary()), strings(runs, where, pa.binary())], ["doc_id", "kept", "removed"])
+    yield pa.RecordBatch.from_arrays([rows.column("doc_id"), strings(data[gone[:-1] == 0], offsets - before, pa.binary()), strings(runs, where, pa.binary()), pa.array(np.diff(before))], ["doc_id", "kept", "removed", "n_removed"])
 
 
-def dedup(docs: DataFrame, parts: int | None = None) -> DataFrame:
-    """``doc_id``, ``kept`` (the remaining bytes) and ``removed`` (runs of removed bytes) of each document."""
+def dedup(docs: DataFrame, parts: int | None = None, hot: int = HOT) -> DataFrame:
+    """``doc_id``, ``kept`` (the remaining bytes), ``removed`` (runs of removed bytes) and ``n_removed`` of each document."""
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     scratch = Scratch(spark, "substrings")
-    row = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("row", row)
-
-    placed = texts.withColumn("part", F.pmod("row", F.lit(parts)).cast("int"))
-    found = scratch.cut(match_classes(find_atoms(texts.select("row", "text"), parts).repartitionById(parts, "part"), parts), "classes")
-    cut = meet(found, REQUESTS, placed, parts, REQUEST, cut_out, TEXTS)
-    more = scratch.cut(compare_texts(cut.repartition(parts, "g"), parts), "suffixes")
-    return meet(found.unionByName(more), SPANS, placed, parts, SPAN, strip, KEPT)
+    key = [F.col("doc_id"), F.coalesce("text", F.lit(""))]
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumns({"row": F.xxhash64(*key), "row2": F.xxhash64(F.lit(1), *key)})
+    size = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    count = bucket_count(size // 50, parts)
+
+    held = scratch.cut(find_atoms(texts.select("row", "row2", "text"), count), "atoms")
+    hottest = spark.sparkContext.broadcast(hot_anchors(held, parts, hot))  # at most MOST
+    found = scratch.cut(match_classes(deal(spread(held, hottest, count), parts), hottest, count), "classes")
+    scratch.drop("atoms")
+    cut = meet(found, REQUESTS, texts, parts, count, REQUEST, cut_out(count), TEXTS)
+    if len(hottest.value):
+        cut = scratch.cut(cut, "requested")
+    several = cut.where(F.col("kind") == REQUESTS).drop("kind", "part", "payload").repartition(parts, "g").sortWithinPartitions("g")
+    more = scratch.cut(compare_texts(several, count), "suffixes")
+    if len(hottest.value):
+        windows = cut.where(F.col("kind") == ATOMS).select("kind", "part", "payload")
+        more = more.unionByName(scratch.cut(match_classes(deal(windows, parts), hottest, count, ask=False), "windows"))
+        scratch.drop("requested")
+    return meet(found.unionByName(more), SPANS, texts, parts, count, SPAN, strip, KEPT)
 
 
 def op10_substring_dedup(spark, sf_dir: str) -> DataFrame:
     out = dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     n_kept = F.octet_length("kept").cast("bigint")
-
-    @F.pandas_udf("bigint")
-    def covered(runs):
-        return runs.map(lambda b: int((np.frombuffer(b, "<i8").reshape(-1, 2) @ np.array([-1, 1])).sum()))
-
-    out = out.withColumn("n_removed", covered("removed"))
     return out.select("doc_id", (n_kept + F.col("n_removed")).alias("n_bytes"), "n_removed", F.expr("cast(octet_length(removed) div 16 as bigint)").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -14,6 +14,12 @@ def words(rng, n, vocabulary=300):
     return " ".join("w%d" % rng.randrange(vocabulary) for _ in range(n))
 
 
+def complements(k):
+    """A word of 2**k letters a and b, and the one with the letters exchanged: polynomials modulo 2**64 can't tell them apart from k = 10 on."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1 << k))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
 def odd_texts(seed=1):
     rng = random.Random(seed)
     base = words(rng, 120)

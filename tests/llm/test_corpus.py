@@ -4,7 +4,9 @@ import hashlib
 import json
 import random
 import re
+import time
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from logtide.llm import chat_format, jaccard_join, nearest, substring_dedup, url_filters
 
-from .common import WORD, documents, lower, odd_texts, words
+from .common import WORD, complements, documents, lower, odd_texts, words
 
 
 def test_urls(spark):
@@ -38,7 +40,52 @@ def test_mined_rules(spark):
     assert all(out[i] == ("block" if i % 4 == 0 else "allow") for i in range(400)) and out[None] == "allow"
     assert url_filters.mine(pages, labels.limit(0)) == [] and url_filters.judge(pages.limit(0), mined).count() == 0
     items = F.split(F.lit("a b c"), " ")
-    assert [spark.range(1).select(url_filters.blocked(items, r)).first()[0] for r in ([["a", "c"]], [["a", "d"], ["e"]], [])] == [True, False, False]
+    assert [spark.range(1).select(url_filters.blocked(items, r)).first()[0] for r in ([["a", "c"]], [["a", "d"], ["e"]], [], [["c"], ["x", "y"]])] == [True, False, False, True]
+
+
+def plain_rules(baskets, support, confidence):
+    """All minimal rules of up to three tokens, by counting every combination; tokens of the same pages are one."""
+    least = max(url_filters.LEAST, -(-len(baskets) * support // 1))
+    pages = defaultdict(frozenset)
+    for i, (items, _) in enumerate(baskets):
+        for t in items:
+            pages[t] |= {i}
+    first = {}
+    for t in sorted(pages):
+        first.setdefault(pages[t], t)
+    bad = {i for i, (_, b) in enumerate(baskets) if b}
+    out = []
+    for size in (1, 2, 3):
+        for rule in combinations(sorted(first.values()), size):
+            held = frozenset.intersection(*(pages[t] for t in rule))
+            if len(held & bad) >= least and len(held & bad) >= confidence * len(held) and not any(set(r) <= set(rule) for r in out):
+                out.append(list(rule))
+    return sorted(out)
+
+
+def test_mined_rules_against_all_combinations(spark):
+    rng = random.Random(7)
+    rows, baskets, labels = [], [], []
+    for i in range(300):
+        path = sorted(rng.sample("abcdefg", rng.randint(1, 5)))
+        bad = {"a", "b"} <= set(path) or {"c", "d", "e"} <= set(path) or rng.random() < 0.1
+        rows.append((i, f"http://z.net/{'/'.join(x * 2 for x in path)}"))
+        labels.append((i, int(not bad), 0))
+        baskets.append((["h:net", "h:z", *(f"p:{x * 2}" for x in path)], bad))
+    pages, marks = spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    mined = url_filters.mine(pages, marks)
+    assert mined == plain_rules(baskets, url_filters.SUPPORT, url_filters.CONFIDENCE) and ["p:aa", "p:bb"] in mined
+
+
+def test_mining_long_paths_ends(spark):
+    rng = random.Random(3)
+    long = "/".join("abcdefghij"[i % 10] * (2 + i // 10) for i in range(60))
+    rows = [(i, f"http://a.com/{'/'.join(x for x in long.split('/') if rng.random() > 0.03)}" if i % 2 else f"http://b.com/{i}") for i in range(20)]
+    pages, labels = spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame([(i, int(i % 2 == 0), 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    began = time.time()
+    mined = url_filters.mine(pages, labels)
+    assert time.time() - began < 30 and ["h:a"] in mined
+    assert {r.page_id: r.verdict for r in url_filters.judge(pages, mined).collect()} == {i: "block" if i % 2 else "allow" for i in range(20)}
 
 
 def test_url_plan_has_no_python(spark, sf_dir):
@@ -73,13 +120,19 @@ def test_nearest_with_few_vectors(spark):
     out = [(r.query_id, r.rank, r.vec_id) for r in nearest.search(few, few.where("vec_id % 100 = 0")).orderBy("query_id", "rank").collect()]
     assert out == [(0, 1, 100), (0, 2, 3), (100, 1, 0), (100, 2, 3)]
     assert nearest.search(few.limit(0), few).count() == 0
+    mixed = few.union(spark.createDataFrame([(200, [1.0, 2.0, 3.0]), (7, [1.0, 2.0, 4.0])], few.schema))
+    out = sorted((r.query_id, r.rank, r.vec_id) for r in nearest.search(mixed, mixed.where("vec_id % 100 = 0"), block=16).collect())
+    assert out == [(0, 1, 100), (0, 2, 3), (100, 1, 0), (100, 2, 3), (200, 1, 7)]
 
 
 def test_probing_finds_every_code_within_the_radius():
     rng = np.random.default_rng(2)
-    code = rng.integers(0, 1 << 16, size=(500, 4))
+    code = rng.integers(0, 1 << 16, size=(500, nearest.PARTS)).astype(np.uint16)
+    code[:60] = code[7]
+    code[np.arange(60), rng.integers(0, nearest.PARTS, 60)] ^= rng.integers(0, 1 << 16, 60).astype(np.uint16)
     index = nearest.Index(code)
-    for r in (0, 9, 22, 30):
+    assert all(sum(bin(int(x) ^ int(y)).count("1") for x, y in zip(code[i], code[7])) == nearest.distance(code, code[7])[i] for i in range(90))
+    for r in (0, 9, 22, 110, 130):
         assert set(index.probe(code[7], r)) == set(np.flatnonzero(nearest.distance(code, code[7]) <= r))
 
 
@@ -122,6 +175,33 @@ def test_jaccard_join_against_all_pairs(spark):
     assert got == classes(ids, texts)
 
 
+def test_lists_in_parts(spark):
+    texts = near_copies(6) + [f"{'the same passage of some ten words in each of them'} {words(random.Random(i), 4)}" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n, r.component) for r in jaccard_join.classes_of(docs, split=3).collect()}
+    assert got == classes(list(range(len(texts))), texts)
+
+
+@pytest.mark.parametrize("k", [10, 12])
+def test_jaccard_join_tells_words_apart_that_polynomials_confuse(spark, k):
+    a, b = complements(k)
+    docs = spark.createDataFrame([(0, f"{a} one two three four five"), (1, f"{b} one two three four five"), (2, f"{a} one two three four five")], "doc_id long, text string")
+    got = {r.doc_id: (r.n, r.component) for r in jaccard_join.classes_of(docs).collect()}
+    assert got == {0: (2, 0), 1: (2, 1), 2: (2, 0)}
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    a, b = "a b c d e f", "u v w x y z"
+    docs = spark.createDataFrame([(3, a), (5, a), (5, b), (9, b)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.component) for r in jaccard_join.classes_of(docs).collect()) == [(3, 3), (5, 3), (5, 5), (9, 5)]
+
+
+def test_members_of_one_hash_are_told_apart():
+    digests = np.array([[7, 1], [7, 2], [8, 3], [7, 1]])
+    ids = jaccard_join.member_ids(digests, np.array([7])).tolist()
+    assert ids[0] == ids[3] != ids[1] and ids[2] == 8
+
+
 def test_jaccard_join_on_odd_inputs(spark):
     docs = documents(spark, odd_texts())
     got = jaccard_join.classes_of(docs).collect()
@@ -140,6 +220,15 @@ def test_one_of_each_class_stays(spark):
     assert sorted(map(str, out.collect())) == sorted(map(str, [docs.collect()[i] for i in (0, 3, 4, 5)]))
 
 
+def test_repeated_rows(spark):
+    wordless = [(1, "", "x"), (1, "", "x"), (1, None, "x"), (1, None, "x")]
+    rows = [*wordless, (7, "some words", "b"), (7, "some words", "a"), (7, "some words", "a"), (8, "other", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = sorted(map(str, [*(r for r in docs.collect() if not r.text), *(r for r in docs.distinct().collect() if r.text and r.lang != "b")]))
+    assert sorted(map(str, jaccard_join.keep_one(docs).collect())) == want
+    assert jaccard_join.keep_one(docs.where("text is null or text = ''")).count() == 4
+
+
 def test_prefixes_never_miss_a_pair():
     rng = random.Random(8)
     for _ in range(300):
@@ -218,7 +307,8 @@ def stripped(texts):
     return out
 
 
-def test_substring_dedup_against_all_windows(spark):
+@pytest.mark.parametrize("hot", [substring_dedup.HOT, 0, 20])
+def test_substring_dedup_against_all_windows(spark, hot):
     rng = random.Random(5)
     word = lambda n: " ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 8))) for _ in range(n))
     base, passages = word(300), [word(60) for _ in range(4)]
@@ -230,10 +320,27 @@ def test_substring_dedup_against_all_windows(spark):
         texts.append(" ".join(own[rng.randint(0, 50) : rng.randint(200, 300)]))
     texts += [f"{word(rng.randint(0, 50))} {rng.choice(passages)[rng.randint(0, 150):]}{word(rng.randint(0, 50))}{rng.choice(passages)}" for _ in range(25)]
     docs = spark.createDataFrame([(i, t, "r") for i, t in enumerate(texts)], "doc_id long, text string, row string")
+    got = {r.doc_id: (bytes(r.kept), len(r.removed) // 16) for r in substring_dedup.dedup(docs, hot=hot).collect()}
+    assert got == dict(enumerate(stripped(texts)))
+
+
+@pytest.mark.parametrize("k", [8, 10, 12])
+def test_substring_dedup_tells_texts_apart_that_polynomials_confuse(spark, k):
+    texts = [x + y for x in complements(k) for y in ("", "c")] + [f"{'z' * 300}{x}" for x in complements(k)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (bytes(r.kept), len(r.removed) // 16) for r in substring_dedup.dedup(docs).collect()}
     assert got == dict(enumerate(stripped(texts)))
 
 
+def test_atoms_of_long_texts_in_pieces():
+    rng = np.random.default_rng(4)
+    data = rng.integers(97, 100, 5000).astype(np.uint8)
+    text, g, lo, n = substring_dedup.atoms(data, np.array([0, 5000]), piece=700)
+    assert not text.any() and lo[0] == 0 and np.array_equal(lo[1:], (lo + n)[:-1]) and lo[-1] + n[-1] == 4801 and n.max() <= 153
+    _, other, at, m = substring_dedup.atoms(data, np.array([0, 5000]))
+    assert np.array_equal(np.repeat(g, n), np.repeat(other, m))
+
+
 def test_substring_dedup_on_odd_inputs(spark):
     docs = documents(spark, odd_texts())
     assert substring_dedup.dedup(docs).count() == docs.count() and substring_dedup.dedup(docs.limit(0)).count() == 0

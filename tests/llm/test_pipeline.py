@@ -14,6 +14,16 @@ from .test_corpus import classes
 from .test_texts import ASSIGN, WORDS
 
 
+def united(spans):
+    out = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def plain(spark, sf_dir):
     import sentencepiece
 
@@ -49,12 +59,14 @@ def plain(spark, sf_dir):
         return hit and 20 * len(hit) >= len(w)
 
     docs = [d for d in docs if not contaminated(d[1])]
-    ratios = secret_scan.train(secret_scan.labelled_samples())
+    words = secret_scan.ordinary_words(spark.createDataFrame(docs, "doc_id long, text string"))
+    ratios = secret_scan.train(secret_scan.labelled_samples(words))
 
     def masked(text):
         spans = [m.span() for m in ASSIGN.finditer(text) if len(m[2]) >= 6] + [m.span() for m in re.finditer(r"AKIA[A-Z0-9]{16,}", text)] + [m.span() for m in re.finditer(r"[0-9a-f]{24,}", text)]
+        base = united(spans)
         for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
-            if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and not any(a < m.end() and m.start() < b for a, b in spans):
+            if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and not any(a <= m.start() and m.end() <= b for a, b in base) and not re.fullmatch("[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}", m[0]):
                 c = [0, 0, *(int(secret_scan.CODE[ord(x)]) for x in m[0])]
                 if np.mean([ratios[c[i], c[i + 1], c[i + 2]] for i in range(len(m[0]))], dtype=np.float64) > secret_scan.RATIO:
                     spans.append(m.span())

@@ -101,22 +101,24 @@ def decode(data: bytes) -> tuple[list[str], list[str], list[tuple[int, int | Non
     return keys, hash_keys, entries
 
 
-@F.pandas_udf(T.BinaryType())
-def encode_entries(entries):
+@F.arrow_udf(T.BinaryType())
+def encode_entries(entries: pa.Array) -> pa.Array:
     """Column function: an array of (partition_key, data), in order, to an aggregated record; keys stand once for each entry's first use."""
-
-    def one(rows) -> bytes:
+    flat = entries.flatten()
+    keys, data = flat.field(0).to_pylist(), flat.field(1).to_pylist()
+    out, at = [], 0
+    for n in entries.value_lengths().to_pylist():
         table: dict[str, int] = {}
-        packed = [(table.setdefault(r["partition_key"], len(table)), bytes(r["data"])) for r in rows]
-        return encode(list(table), packed, [FILLER] * len(packed))
-
-    return entries.map(one)
+        packed = [(table.setdefault(k, len(table)), b) for k, b in zip(keys[at : at + n], data[at : at + n])]
+        out.append(encode(list(table), packed, [FILLER] * len(packed)))
+        at += n
+    return pa.array(out, pa.binary())
 
 
 def aggregate(batched: DataFrame, shard: str, order: str, timestamp: str | None = None) -> DataFrame:
     """One aggregated record for each (shard, batch): key, timestamp and position of its first entry, number of entries, data."""
     entry = F.struct(F.col(order).alias("at"), "partition_key", "data")
-    first = [F.min_by("partition_key", order).alias("partition_key"), F.min(order).alias("first_position"), F.count("*").alias("aggregate_count")]
+    first = [F.min_by("partition_key", order).alias("partition_key"), F.min(order).alias("first_position"), F.max(order).alias("last_position"), F.count("*").alias("aggregate_count")]
     if timestamp:
         first.append(F.min_by(timestamp, order).alias(timestamp))
     # a batch is bounded by the bytes of one record

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logtide.operators.batching import ranged
+
 
 def histogram(df: DataFrame, keys: list[str], value: str, weight: str | None = None) -> DataFrame:
     """Occurrences of each value: exact, and merged by adding counts."""
@@ -16,28 +18,55 @@ def merge_histograms(parts: DataFrame, keys: list[str], value: str) -> DataFrame
     return parts.groupBy(*keys, value).agg(F.sum("n").cast("bigint").alias("n"))
 
 
-def producer_metrics(attempts: DataFrame, keys: list[str], interval_ms: int) -> DataFrame:
-    """Metrics of produce attempts, for each interval of the keys.
+#: Sums of a metrics row, and what they are made of.
+SUMS = {
+    "published": "published", "failures": "failed", "calls": "1", "latency_sum": "if(published > 0, latency_ms * published, 0)", "second_attempts": "if(published > 0 and attempts = 2, published, 0)",
+    "payload_sum": "payload_bytes", "record_sum": "record_bytes", "prediction_errors": "cast(shard_mismatch as int)",
+}
+
+
+def partial_metrics(attempts: DataFrame, keys: list[str]) -> DataFrame:
+    """Mergeable metrics rows: sums, the most attempts, and the latencies of successes with how often each occurred.
 
     attempts: (published: records of a success, 0 for a failure; failed: failures; attempts, latency_ms: of a success;
-    payload_bytes, record_bytes; shard_mismatch). Percentiles are exact, from value counts; an aggregate counts its records.
+    payload_bytes, record_bytes; shard_mismatch). An aggregate counts its records.
     """
-    ok = F.col("published") > 0
-    published, failed = F.sum("published"), F.sum("failed")
-    out = attempts.groupBy(*keys).agg(
-        published.cast("bigint").alias("published"),
-        failed.cast("bigint").alias("failures"),
-        F.count("*").alias("calls"),
-        F.sum(F.when(ok, F.col("latency_ms") * F.col("published"))).alias("latency_sum"),
-        F.expr("percentile_disc(0.95) within group (order by case when published > 0 then latency_ms end)").alias("latency_p95"),
-        F.min(F.when(ok, F.col("latency_ms"))).alias("latency_min"),
-        F.sum(F.when(ok & (F.col("attempts") == 2), F.col("published")).otherwise(0)).cast("bigint").alias("second_attempts"),
-        F.max(F.when(ok, F.col("attempts"))).alias("max_attempts"),
-        F.sum("payload_bytes").cast("bigint").alias("payload_sum"),
-        F.sum("record_bytes").cast("bigint").alias("record_sum"),
-        F.sum(F.col("shard_mismatch").cast("int")).cast("bigint").alias("prediction_errors"),
-    )
-    return out.select(*keys, *derived(interval_ms))
+    latency = F.when(F.col("published") > 0, F.col("latency_ms"))
+    sums = [F.sum(F.expr(x)).cast("bigint").alias(name) for name, x in SUMS.items()]
+    per = attempts.groupBy(*keys, latency.alias("latency")).agg(*sums, F.max(F.when(F.col("published") > 0, F.col("attempts"))).alias("max_attempts"), F.count("*").alias("n"))
+    return _gathered(per, keys)
+
+
+def _gathered(per: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each of the keys from rows for each of their latencies."""
+    pair = F.when(F.col("latency").isNotNull(), F.struct("latency", "n"))
+    return per.groupBy(*keys).agg(*(F.sum(name).alias(name) for name in SUMS), F.max("max_attempts").alias("max_attempts"), F.array_sort(F.collect_list(pair)).alias("latencies"))
+
+
+def merge_metrics(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Metrics rows of several intervals as rows of the keys: sums are added, histograms united."""
+    held = parts.groupBy(*keys).agg(*(F.sum(name).alias(name) for name in SUMS), F.max("max_attempts").alias("max_attempts"))
+    one = parts.select(*keys, F.explode("latencies").alias("x")).groupBy(*keys, "x.latency").agg(F.sum("x.n").alias("n"))
+    lists = one.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("latency", "n"))).alias("latencies"))
+    return held.join(lists, keys, "left").withColumn("latencies", F.coalesce("latencies", F.expr("filter(array(named_struct('latency', cast(null as bigint), 'n', 0L)), x -> false)").cast(lists.schema["latencies"].dataType)))
+
+
+def finished_metrics(parts: DataFrame, keys: list[str], interval_ms: int) -> DataFrame:
+    """Rates, means and the exact 95th percentile of metrics rows."""
+    total = F.aggregate("latencies", F.lit(0).cast("bigint"), lambda acc, x: acc + x["n"])
+    # the first latency at which 95 of 100 occurrences have been seen
+    found = F.aggregate(
+        "latencies",
+        F.struct(F.lit(0).cast("bigint").alias("seen"), F.get("latencies", F.lit(0))["latency"].alias("at"), F.lit(False).alias("done")),
+        lambda acc, x: F.when(acc["done"], acc).otherwise(F.struct((acc["seen"] + x["n"]).alias("seen"), x["latency"].alias("at"), ((acc["seen"] + x["n"]) * 100 >= F.col("total") * 95).alias("done"))),
+    )["at"]
+    out = parts.withColumn("total", total).withColumn("latency_p95", found).withColumn("latency_min", F.get("latencies", F.lit(0))["latency"])
+    return out.withColumn("latency_sum", F.when(F.col("total") > 0, F.col("latency_sum"))).select(*keys, *derived(interval_ms))
+
+
+def producer_metrics(attempts: DataFrame, keys: list[str], interval_ms: int) -> DataFrame:
+    """Metrics of produce attempts, for each interval of the keys."""
+    return finished_metrics(partial_metrics(attempts, keys), keys, interval_ms)
 
 
 def derived(interval_ms: int) -> list[Column]:
@@ -83,7 +112,7 @@ def upload_batches(data: DataFrame, order: list[str], size: int = 20) -> DataFra
 
     Rows are numbered in ranges of the order's first column, so that no task holds them all; the order's columns identify a row.
     """
-    spread = data.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
+    spread = ranged(data, order).withColumn("__part", F.spark_partition_id())  # partitions that stay, whatever is lost
     numbered = spread.withColumn("__nr", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
     counts = numbered.groupBy("__part").agg(F.count("*").alias("__n"))
     starts = counts.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__start"))  # a row for each partition

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from logtide.operators.batching import fold_sorted
+
 #: Error rate that the producer allows before it slows down.
 ALLOWED_ERROR = 0.05
 
@@ -12,22 +16,31 @@ ALLOWED_ERROR = 0.05
 def throughput_factors(counts: DataFrame, shard: str = "shard_id", allowed_error: float = ALLOWED_ERROR) -> DataFrame:
     """Adds the factor after each period: r <- min(1, r * s + allowed), s the period's share of successes (1 without any attempt).
 
-    counts: (shard, period, successes, failures). The recurrence folds over a shard's periods, which are few: an array for
-    each shard.
+    counts: (shard, period, successes, failures). The recurrence folds along a shard's periods as they stream by.
+    """
+
+    def step(factor, rows):
+        factor = 1.0 if factor is None else factor
+        good, bad = (rows.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("successes", "failures"))
+        share = np.divide(good, good + bad, out=np.ones(len(good)), where=good + bad > 0)
+        out = np.empty(len(share))
+        for i, s in enumerate(share.tolist()):
+            factor = out[i] = min(1.0, factor * s + allowed_error)
+        return factor, [pa.array(out)]
+
+    return fold_sorted(counts.select(shard, "period", "successes", "failures"), shard, ["period"], "factor double", step).select(shard, "period", "factor")
+
+
+def release_seconds(requests: DataFrame, shard: str, order: list[str], size: str, max_records: int, max_bytes: int, factors: DataFrame | None = None) -> DataFrame:
+    """Adds the second in which each request leaves its shard, as an admission plan: both running sums stay within their limit for each second.
+
+    factors: (shard, factor), the throughput factors of shards (a row for each at most); costs are divided by them.
     """
-    one = F.struct("period", "successes", "failures")
-    step = lambda acc, x: F.concat(
-        acc,
-        F.array(F.least(F.lit(1.0), F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(1.0)) * F.when(x["successes"] + x["failures"] > 0, x["successes"] / (x["successes"] + x["failures"])).otherwise(1.0) + F.lit(allowed_error))),
-    )
-    folded = counts.groupBy(shard).agg(F.array_sort(F.collect_list(one)).alias("x")).select(shard, "x", F.aggregate("x", F.array().cast("array<double>"), step).alias("factors"))
-    zipped = folded.select(shard, F.explode(F.arrays_zip("x", "factors")).alias("z"))
-    return zipped.select(shard, F.col("z.x.period").alias("period"), F.col("z.factors").alias("factor"))
-
-
-def release_seconds(requests: DataFrame, shard: str, order: list[str], size: str, max_records: int, max_bytes: int) -> DataFrame:
-    """Adds the second in which each request leaves its shard, as an admission plan: both running sums stay within their limit for each second."""
     w = Window.partitionBy(shard).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     records, held = F.coalesce(F.count("*").over(w), F.lit(0)), F.coalesce(F.sum(size).over(w), F.lit(0))
-    second = lambda x, limit: F.floor(x / F.lit(limit))
-    return requests.withColumn("release_second", F.greatest(second(records, max_records), second(held, max_bytes)).cast("bigint"))
+    factor = F.lit(1.0)
+    if factors is not None:
+        requests = requests.join(F.broadcast(factors.select(shard, F.col("factor").alias("\x00factor"))), shard, "left")
+        factor = F.coalesce("\x00factor", F.lit(1.0))
+    second = lambda x, limit: F.floor(x / factor / F.lit(limit))
+    return requests.withColumn("release_second", F.greatest(second(records, max_records), second(held, max_bytes)).cast("bigint")).drop("\x00factor")

@@ -11,6 +11,8 @@ from logtide.operators import batching, checkpoints
 from logtide.plans.registry import query
 from logtide.plans.relations import SHARDED_SQL, SHARDS, sharded, stream, table
 from logtide.scratch import shared_root
+from logtide.settings import PollingSettings
+from logtide.sources import shardlog
 from logtide.streaming import consume, staging
 
 
@@ -158,7 +160,21 @@ def partitioned_checkpoints(spark, sf_dir):
     return out.groupBy("shard_id", "segment").agg(F.min("position").alias("first_position"), F.max("position").alias("last_position"))
 
 
-@query()
+@query("""
+WITH RECURSIVE e AS MATERIALIZED (SELECT CAST(user_id AS VARCHAR) AS shard_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn, CASE WHEN event_id % 7 IN (0, 1, 3) THEN event_id END AS position,
+  CASE event_id % 7 WHEN 0 THEN 'stage' WHEN 3 THEN 'stage' WHEN 1 THEN 'seen' WHEN 2 THEN 'checkpoint' WHEN 4 THEN 'refused' WHEN 5 THEN 'end' ELSE 'release' END AS kind FROM events),
+f(shard_id, rn, event_id, kind, staged, last, greatest, ended, written) AS (
+  SELECT DISTINCT shard_id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), false, CAST(NULL AS VARCHAR) FROM e
+  UNION ALL SELECT e.shard_id, e.rn, e.event_id, e.kind,
+    CASE WHEN e.kind = 'stage' THEN e.position WHEN e.kind IN ('checkpoint', 'release') THEN NULL ELSE f.staged END,
+    CASE WHEN e.kind IN ('checkpoint', 'release') AND f.staged IS NOT NULL THEN CASE WHEN NOT (f.ended AND f.greatest IS NOT DISTINCT FROM f.staged) THEN f.staged END ELSE f.last END,
+    CASE WHEN e.kind = 'seen' THEN e.position ELSE f.greatest END, f.ended OR e.kind = 'end',
+    CASE WHEN e.kind NOT IN ('checkpoint', 'release') THEN NULL
+         WHEN f.staged IS NOT NULL THEN CASE WHEN f.ended AND f.greatest IS NOT DISTINCT FROM f.staged THEN 'SHARD_END' ELSE CAST(f.staged AS VARCHAR) END
+         WHEN e.kind = 'release' THEN CASE WHEN f.ended AND (f.greatest IS NULL AND f.last IS NULL OR coalesce(f.last = f.greatest, false)) THEN 'SHARD_END' ELSE 'RELEASE' END END
+  FROM f JOIN e ON e.shard_id = f.shard_id AND e.rn = f.rn + 1)
+SELECT shard_id, event_id, kind, written FROM f WHERE written IS NOT NULL
+""")
 def checkpoint_staging(spark, sf_dir):
     """Checkpoints that the staging rules write, for a stream of stage, seen, end, flush and release events by user."""
     nr = F.col("event_id") % 7
@@ -199,3 +215,32 @@ def dedupe_redelivery(spark, sf_dir):
     records = sharded(spark, sf_dir).select("shard_id", "position", "partition_key", positions.padded(F.col("position")).alias("sequence_number"), F.lit(0).cast("bigint").alias("sub_sequence_number"))
     twice = records.unionByName(records.where("position % 3 = 0"))
     return checkpoints.without_redelivery(twice).select("shard_id", "position", "partition_key")
+
+
+CHILD_SQL = "CASE WHEN {half} THEN CASE WHEN h < '80000000000000000000000000000000' THEN 'shard-000' ELSE 'shard-001' END WHEN h < '40000000000000000000000000000000' THEN 'shard-002' WHEN h < '80000000000000000000000000000000' THEN 'shard-003' ELSE 'shard-001' END"
+
+
+@query(f"""
+SELECT shard_id, count(*) AS records, count(DISTINCT h) AS keys, min(event_id % 2 = 0 AND shard_id IN ('shard-002', 'shard-003')) AS early FROM (
+  SELECT {CHILD_SQL.format(half='event_id % 2 = 0')} AS shard_id, h, event_id FROM (SELECT md5(CAST(user_id AS VARCHAR)) AS h, event_id FROM events)) GROUP BY shard_id
+""")
+def reshard_consumption(spark, sf_dir):
+    """Half of the events written to two shards, the first of which is then split; the rest written; all consumed by polls.
+
+    ``early``: whether a child's records came in a poll with those of its parent, or before.
+    """
+    path, work = f"{shared_root(spark)}/log-{uuid.uuid4().hex}", f"{shared_root(spark)}/reshard-{uuid.uuid4().hex}"
+    rows = stream(spark, sf_dir)
+    half = lambda n: rows.where(F.col("event_id") % 2 == n).select("partition_key", "data")
+    consume.produce(half(0), path, 2)
+    shardlog.split(consume.qualified(spark, path), "shard-000")
+    consume.produce(half(1), path)
+
+    def process(batch, number):
+        batch.groupBy("shard_id", "partition_key").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{work}/out/batch={number}")
+
+    consume.drain(spark, path, process, f"{work}/state", PollingSettings(batch_size=100_000_000))
+    back = spark.read.parquet(f"{work}/out")
+    ended = back.where("shard_id = 'shard-000'").agg(F.max("batch")).first()[0]
+    child = F.col("shard_id").isin("shard-002", "shard-003")
+    return back.groupBy("shard_id").agg(F.sum("n").cast("bigint").alias("records"), F.countDistinct("partition_key").alias("keys"), F.min(child & (F.col("batch") <= ended)).alias("early"))

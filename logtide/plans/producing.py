@@ -11,6 +11,7 @@ from logtide.operators import aggregation, batching, checkpoints, metrics, produ
 from logtide.plans.registry import query
 from logtide.plans.relations import PRODUCED_SQL, SHARDED_SQL, SHARDS, greedy_sql, produced, shard_sql, sharded, stream, table, values_sql
 from logtide.scratch import shared_root
+from logtide.settings import ProducerSettings
 from logtide.streaming import consume
 
 KEY = "CAST(user_id AS VARCHAR)"
@@ -93,24 +94,19 @@ def deaggregate_roundtrip(spark, sf_dir):
     return out.select("shard_id", "event_id", "partition_key", F.md5("data").alias("data_md5"), "sub_sequence_number", "aggregated")
 
 
-DOCUMENT_ROWS = f"SELECT {shard_sql('CAST(doc_id AS VARCHAR)')} AS shard, doc_id AS ord, CAST(strlen(CAST(doc_id AS VARCHAR)) + strlen(coalesce(text, '')) AS BIGINT) AS size FROM documents"
-
-
-def _documents(spark, sf_dir):
-    key = F.col("doc_id").cast("string")
-    rows = table(spark, sf_dir, "documents").select("doc_id", key.alias("partition_key"), keys.entry_size(key, F.coalesce("text", F.lit(""))).alias("size"))
-    return routing.predict_shards(rows, routing.shard_map(spark, SHARDS), into="shard")
+DOCUMENT_ROWS = "SELECT 0 AS shard, doc_id AS ord, CAST(strlen(CAST(doc_id AS VARCHAR)) + strlen(coalesce(text, '')) AS BIGINT) AS size FROM documents"
 
 
 @query(f"""
 WITH RECURSIVE {greedy_sql(DOCUMENT_ROWS, 50_000, 500)}
-SELECT b.shard, b.batch, count(*) AS records, CAST(sum(r.size) AS BIGINT) AS bytes, min(r.ord) AS first_position, max(r.size) > 50000 AS oversized
-FROM batches b JOIN rows r ON r.shard = b.shard AND r.rn BETWEEN b.st AND b.en GROUP BY b.shard, b.batch
+SELECT b.batch, count(*) AS records, CAST(sum(r.size) AS BIGINT) AS bytes, min(r.ord) AS first_position, max(r.size) > 50000 AS oversized
+FROM batches b JOIN rows r ON r.shard = b.shard AND r.rn BETWEEN b.st AND b.en GROUP BY b.batch
 """)
 def put_records_batches(spark, sf_dir):
-    """Requests over documents, of at most 50 000 bytes and 500 records."""
-    out = batching.greedy_batches(_documents(spark, sf_dir), "shard", ["doc_id"], "size", 50_000, keys.RECORDS_PER_REQUEST)
-    return batching.batch_summary(out, "shard", "size", "doc_id")
+    """Requests over the documents of all shards in one order, of at most 50 000 bytes and 500 records."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", keys.entry_size(F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))).alias("size"))
+    out = batching.greedy_batches(rows, None, ["doc_id"], "size", 50_000, keys.RECORDS_PER_REQUEST)
+    return batching.batch_summary(out, None, "size", "doc_id")
 
 
 PRODUCED_ROWS = f"SELECT {shard_sql('partition_key')} AS shard, position AS ord, CAST(strlen(partition_key) + strlen(data) AS BIGINT) AS size FROM ({PRODUCED_SQL})"
@@ -128,23 +124,42 @@ def aggregated_batches(spark, sf_dir):
     return batching.batch_summary(batching.aggregate_batches(rows.select("shard", "position", "size"), "shard", ["position", "size"], "size", 20_000), "shard", "size", "position")
 
 
-REQUEST_ROWS = f"""
-SELECT {shard_sql('partition_key')} AS shard, position * 4 + attempt AS ord, CAST(strlen(partition_key) + strlen(data) AS BIGINT) AS size FROM (
-  SELECT partition_key, data, position, 1 AS attempt FROM ({PRODUCED_SQL}) UNION ALL SELECT partition_key, data, position, 2 FROM ({PRODUCED_SQL}) WHERE l_returnflag = 'R')
+FACTORS = {"shard-001": 0.5, "shard-002": 0.25}
+FACTOR_SQL = " ".join(f"WHEN '{s}' THEN {f}" for s, f in FACTORS.items())
+TIMED_SQL = f"""
+SELECT *, CAST(greatest(floor((row_number() OVER w - 1) / factor / 1000), floor((sum(size) OVER w - size) / factor / 1048576)) AS BIGINT) AS release FROM (
+  SELECT *, CASE shard WHEN 'x' THEN 1.0 {FACTOR_SQL} ELSE 1.0 END AS factor FROM (
+    SELECT {shard_sql('partition_key')} AS shard, position, attempt, CAST(strlen(partition_key) + strlen(data) AS BIGINT) AS size, partition_key FROM (
+      SELECT partition_key, data, position, 1 AS attempt FROM ({PRODUCED_SQL}) UNION ALL SELECT partition_key, data, position, 2 FROM ({PRODUCED_SQL}) WHERE l_returnflag = 'R')))
+WINDOW w AS (PARTITION BY shard ORDER BY position, attempt, size, partition_key ROWS UNBOUNDED PRECEDING)
 """
+LINE_SQL = f"SELECT 0 AS shard, row_number() OVER (ORDER BY release, position, attempt, size, partition_key) AS ord, size, shard AS of, position, release FROM ({TIMED_SQL})"
 
 
 @query(f"""
-WITH RECURSIVE {greedy_sql(REQUEST_ROWS, 5_242_880, 500)}
-SELECT b.shard AS predicted_shard, b.batch, count(*) AS records, CAST(sum(r.size) AS BIGINT) AS bytes, min(r.ord // 4) AS first_position,
-       CAST(max(greatest((r.rn - 1) // 1000, r.before // 1048576)) AS BIGINT) AS release_second
-FROM batches b JOIN rows r ON r.shard = b.shard AND r.rn BETWEEN b.st AND b.en GROUP BY b.shard, b.batch
+WITH RECURSIVE line AS MATERIALIZED ({LINE_SQL}), {greedy_sql("SELECT shard, ord, size FROM line", 5_242_880, 500)}
+SELECT b.batch, count(*) AS records, CAST(sum(r.size) AS BIGINT) AS bytes, min(l.position) AS first_position, max(l.release) AS release_second, count(DISTINCT l.of) AS shards
+FROM batches b JOIN rows r ON r.rn BETWEEN b.st AND b.en JOIN line l ON l.ord = r.ord GROUP BY b.batch
 """)
 def produce_pipeline(spark, sf_dir):
-    """New records and retries, routed, throttled and batched under the service's limits."""
+    """New records and retries, routed, throttled by shard, and batched over all shards under the service's limits."""
+    new = produced(spark, sf_dir)
+    factors = spark.createDataFrame(list(FACTORS.items()), "predicted_shard string, factor double")
+    planned = produce.plan(new, new.where("l_returnflag = 'R'"), routing.shard_map(spark, SHARDS), factors=factors)
+    return planned.groupBy("batch").agg(F.count("*").alias("records"), F.sum("payload_bytes").alias("bytes"), F.min("position").alias("first_position"), F.max("release_second").alias("release_second"), F.countDistinct("predicted_shard").alias("shards"))
+
+
+@query(f"""
+SELECT {shard_sql('partition_key')} AS shard_id, partition_key, md5(data) AS data_md5, count(*) AS records, true AS within FROM ({PRODUCED_SQL}) GROUP BY ALL
+""")
+def produce_aggregated(spark, sf_dir):
+    """The plan with aggregation: what its aggregated records hold, and whether these and their requests are within the limits."""
     new = produced(spark, sf_dir)
-    planned = produce.plan(new, new.where("l_returnflag = 'R'"), routing.shard_map(spark, SHARDS))
-    return planned.groupBy("predicted_shard", "batch").agg(F.count("*").alias("records"), F.sum("payload_bytes").alias("bytes"), F.min("position").alias("first_position"), F.max("release_second").alias("release_second"))
+    planned = produce.plan(new, new.limit(0), routing.shard_map(spark, SHARDS), ProducerSettings(aggregate=True), max_record_bytes=20_000)
+    fits = planned.groupBy("batch").agg(((F.sum("payload_bytes") <= keys.BYTES_PER_REQUEST) & (F.count("*") <= keys.RECORDS_PER_REQUEST)).alias("fits"))
+    within = (F.octet_length("data") <= 20_000) & F.col("fits")
+    sent = planned.join(fits, "batch").select("data", "partition_key", F.col("predicted_shard").alias("shard_id"), F.lit(None).cast("string").alias("explicit_hash_key"), within.alias("within"))
+    return aggregation.deaggregate(sent).groupBy("shard_id", "partition_key", F.md5("data").alias("data_md5")).agg(F.count("*").alias("records"), F.min("within").alias("within"))
 
 
 CODE_SQL = "CASE l_returnflag WHEN 'R' THEN CASE l_linestatus WHEN 'F' THEN 'InternalFailure' ELSE 'ProvisionedThroughputExceededException' END WHEN 'A' THEN 'ValidationException' END"
@@ -252,11 +267,12 @@ def producer_metrics(spark, sf_dir):
     return metrics.producer_metrics(_attempts(spark, sf_dir), ["period"], 30_000)
 
 
-@query(f"SELECT latency_ms, CAST(sum(published) AS BIGINT) AS n, max(period) AS last_period FROM ({ATTEMPTS_SQL}) WHERE published > 0 GROUP BY latency_ms")
+@query(METRICS_SQL.format(key="period // 4 AS period,", rows=ATTEMPTS_SQL, group="GROUP BY period // 4"))
 def producer_metrics_merge(spark, sf_dir):
-    """Histograms of each interval, merged."""
-    per = metrics.histogram(_attempts(spark, sf_dir).where("published > 0"), ["period"], "latency_ms", "published")
-    return per.groupBy("latency_ms").agg(F.sum("n").cast("bigint").alias("n"), F.max("period").alias("last_period"))
+    """Metrics rows of intervals, four merged into one."""
+    parts = metrics.partial_metrics(_attempts(spark, sf_dir), ["period"])
+    merged = metrics.merge_metrics(parts.withColumn("period", F.expr("period div 4")), ["period"])
+    return metrics.finished_metrics(merged, ["period"], 30_000)
 
 
 @query(f"SELECT attempts, latency_ms, CAST(sum(published) AS BIGINT) AS n FROM ({ATTEMPTS_SQL}) WHERE published > 0 GROUP BY attempts, latency_ms")

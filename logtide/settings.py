@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -22,17 +22,11 @@ class Backoff:
 
 @dataclass(frozen=True)
 class PollingSettings:
-    """Reading by polls; commits_per_batch is for timed triggers only (0: all there is)."""
+    """Reading by polls of at most ``batch_size`` records; failed polls are tried again as ``retry`` says."""
 
     batch_size: int = 1000
     interval_s: float = 1.0
-    buffered_batches: int = 2
-    throttled: Backoff = Backoff(5, 30)
-    retry: Backoff = Backoff(1, 60)
-    commits_per_batch: int = 0
-
-    def options(self) -> dict[str, str]:
-        return {"maxCommitsPerBatch": str(self.commits_per_batch)} if self.commits_per_batch else {}
+    retry: Backoff = Backoff(1, 60, 2.0, 0)
 
     def trigger(self, caught_up: bool) -> dict[str, object]:
         """Drain what is left behind at once, then poll in intervals."""
@@ -41,12 +35,9 @@ class PollingSettings:
 
 @dataclass(frozen=True)
 class ProducerSettings:
-    buffer_size: int = 8192
-    parallel_requests: int = 24
+    """What ``produce.plan`` does with records; ``backoff`` is that of ``observe.Client`` when a write fails."""
+
     backoff: Backoff = Backoff(0.5, 60, 2.0, 5)
-    failed_delay_s: float = 0.1
-    metrics_interval_s: float = 30
-    shard_map_interval_s: float = 30
     aggregate: bool = False
     predict_shards: bool = True
     throttle: bool = True
@@ -63,20 +54,20 @@ class ProducerSettings:
 
 @dataclass(frozen=True)
 class LeaseSettings:
-    renew_interval_s: float = 3
-    refresh_interval_s: float = 20
+    """When leases are renewed and when they expire, for ``strategies.Coordinator``."""
+
+    renew_interval_s: int = 3
     expiration_s: int = 10
-    parallel_renewals: int = 10
-    parallel_acquisitions: int = 10
-    release_timeout_s: float = 10
-    renew_retry: Backoff = field(default_factory=lambda: Backoff(3, 30, 2.0, 3))
+
+    def __post_init__(self) -> None:
+        if self.renew_interval_s >= self.expiration_s:
+            raise ValueError("leases have to be renewed before they expire")
 
 
 @dataclass(frozen=True)
 class CheckpointSettings:
-    """When a consumer checkpoints: after so many records, or so much time."""
+    """When a consumer checkpoints, and how many records of a shard it processes at a time, those of one key in order."""
 
     batch_size: int = 200
-    interval_s: float = 300
     parallelism: int = 1
     one_key_at_a_time: bool = False  # a checkpoint between two records of one key

@@ -5,12 +5,20 @@
     spark.read.format("shardlog").load(path)
     spark.readStream.format("shardlog").option("startingPosition", "LATEST").load(path)
 
-The folder must be one that the driver and all executors share. Each task writes a file for each shard under a name of its
-own; the driver's commit lists the files in ``_commits/<n>.json``, by which they become visible, all at once. A streaming
-commit carries its batch id and is skipped if it is there already, so that a repeated batch changes nothing. Sequence
-numbers are made of commit, task and row, so that they grow along each shard without any coordination.
-
-A stream's offset is the number of commits that it has read: a reader gets whole commits, one partition for each file.
+The folder must be one that the driver and all executors share; a path without a scheme is local (``consume`` resolves it by
+the session's default file system). Each task writes a file for each shard under a name of its own; the driver's commit lists
+the files and their rows in ``_commits/<n>.json``, by which they become visible, all at once. A commit's number is claimed by
+creating that file, which only one writer can; another one takes the next number. A streaming commit carries its batch id and
+is skipped if it is there already, so that a repeated batch changes nothing. Sequence numbers are made of commit, task and
+row, so that they grow along each shard without any coordination.
+
+Shards are ranges of the hash key space. The first writer makes ``shards`` equal ones; ``split`` and ``merge`` end shards and
+begin others by a commit of their own, and later writers route by the new map. Records of children therefore always come in
+later commits than those of their parents.
+
+A stream's offset is a commit and a row in it: a reader gets one partition for each file, or part of one. With the options
+``resumeAt`` (the offset that the query has reached) and ``maxRecordsPerBatch``, a batch ends after so many records, and
+before a commit that ended shards, so that children are withheld until their parents have been processed.
 """
 
 from __future__ import annotations
@@ -22,13 +30,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
-from pyspark.sql.datasource import DataSource, DataSourceStreamReader, DataSourceStreamWriter, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamArrowWriter, DataSourceStreamReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 from logtide.schema import DIGITS, RECORD
 
 _COMMIT, _TASK = 10**24, 10**12
+_SPACE = 1 << 128
 _ARROW = pa.schema([
     ("shard_id", pa.string()), ("sequence_number", pa.string()), ("approximate_arrival_timestamp", pa.timestamp("us", "UTC")), ("data", pa.binary()), ("partition_key", pa.string()),
     ("encryption_type", pa.string()), ("sub_sequence_number", pa.int64()), ("explicit_hash_key", pa.string()), ("aggregated", pa.bool_()),
@@ -46,46 +56,137 @@ class Folder:
         from pyarrow import fs
 
         path = _plain(path)
-        self.fs, self.root = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), os.path.abspath(path))
+        self.local = "://" not in path
+        self.fs, self.root = (fs.LocalFileSystem(), os.path.abspath(path)) if self.local else fs.FileSystem.from_uri(path)
+        self._read: dict[str, dict] = {}
 
     def at(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
-    def commits(self) -> list[dict]:
-        """All commits in order."""
+    def names(self, folder: str) -> list[str]:
         from pyarrow import fs
 
-        found = self.fs.get_file_info(fs.FileSelector(self.at("_commits"), allow_not_found=True))
-        names = sorted(x.path for x in found if x.path.endswith(".json"))
-        out = []
+        found = self.fs.get_file_info(fs.FileSelector(self.at(folder), allow_not_found=True))
+        return sorted(x.path for x in found if x.path.endswith(".json"))
+
+    def create(self, name: str, value: dict) -> bool:
+        """Create a file of JSON, whole or not at all; False if another one has made it."""
+        folder = name.rpartition("/")[0]
+        self.fs.create_dir(self.at(folder), recursive=True)
+        part, whole = self.at(folder, f".{uuid.uuid4().hex}"), self.at(name)
+        with self.fs.open_output_stream(part) as f:
+            f.write(json.dumps(value | {"nonce": part}).encode())
+        if self.local:
+            try:
+                os.link(part, whole)  # fails if the name is taken
+            except FileExistsError:
+                return False
+            finally:
+                os.unlink(part)
+            return True
+        try:
+            if self.fs.get_file_info(whole).is_file:
+                return False
+            self.fs.move(part, whole)  # stores with a real rename refuse a name that is taken
+        except OSError:
+            if not self.fs.get_file_info(whole).is_file:
+                raise
+        return self.load(whole)["nonce"] == part  # of stores without one, the last to write has it
+
+    def load(self, path: str) -> dict:
+        with self.fs.open_input_stream(path) as f:
+            return json.loads(f.read())
+
+    def commits(self) -> list[dict]:
+        """All commits in order; each is read once."""
+        names = self.names("_commits")
         for name in names:
-            with self.fs.open_input_stream(name) as f:
-                out.append(json.loads(f.read()))
+            if name not in self._read:
+                self._read[name] = self.load(name)
+        return [self._read[n] for n in names]
+
+    def commit(self, files: list[dict], key: str, reshard: dict | None = None, after: int | None = None) -> bool:
+        """Make files visible, or change the shard map; nothing happens if the key has been committed before.
+
+        after: the number of commits that the caller has seen and relies on; with more of them, False is returned.
+        """
+        while True:
+            done = self.commits()
+            if any(c["key"] == key for c in done):
+                return True
+            if after is not None and len(done) != after:
+                return False
+            if self.create(f"_commits/{len(done):012d}.json", {"key": key, "files": files} | ({"reshard": reshard} if reshard else {})):
+                return True
+
+    def shards(self) -> dict[str, dict]:
+        """All shards: lo and hi (32 hex digits), parents, and whether they have ended."""
+        out: dict[str, dict] = {}
+        for c in self.commits():
+            change = c.get("reshard", {"end": [], "new": []})
+            for s in change["end"]:
+                out[s]["ended"] = True
+            for s in change["new"]:
+                out[s["shard_id"]] = {**s, "ended": False}
         return out
 
-    def commit(self, files: list[dict], key: str) -> None:
-        """Make files visible; nothing happens if the key has been committed before."""
-        done = self.commits()
-        if any(c["key"] == key for c in done):
-            return
-        self.fs.create_dir(self.at("_commits"), recursive=True)
-        name, part = self.at("_commits", f"{len(done):012d}.json"), self.at("_commits", f".{uuid.uuid4().hex}")
-        with self.fs.open_output_stream(part) as f:
-            f.write(json.dumps({"key": key, "files": files}).encode())
-        self.fs.move(part, name)
+    def open_shards(self, count: int) -> list[tuple[int, str]]:
+        """(highest hash key, shard) of the open shards, in order; a log without shards gets ``count`` equal ones."""
+        if not self.shards():
+            edges = [_SPACE * i // count for i in range(count + 1)]
+            new = [{"shard_id": f"shard-{i:03d}", "lo": f"{a:032x}", "hi": f"{b - 1:032x}", "parents": []} for i, (a, b) in enumerate(zip(edges, edges[1:]))]
+            self.commit([], "first shards", {"end": [], "new": new})
+        return sorted((int(s["hi"], 16), k) for k, s in self.shards().items() if not s["ended"])
+
+    def change_shards(self, make) -> list[str]:
+        """Commit ``make(shards) -> (ended, [(lo, hi)])``; returns the ids of the new shards."""
+        while True:
+            seen = len(self.commits())
+            shards = self.shards()
+            ended, spans = make(shards)
+            if any(shards[s]["ended"] for s in ended):
+                raise ValueError("a shard that has ended")
+            new = [{"shard_id": f"shard-{len(shards) + i:03d}", "lo": f"{lo:032x}", "hi": f"{hi:032x}", "parents": ended} for i, (lo, hi) in enumerate(spans)]
+            if self.commit([], uuid.uuid4().hex, {"end": ended, "new": new}, after=seen):
+                return [s["shard_id"] for s in new]
+
+
+def split(path: str, shard: str) -> list[str]:
+    """End a shard; two halves of its range begin."""
+
+    def make(shards):
+        lo, hi = (int(shards[shard][k], 16) for k in ("lo", "hi"))
+        middle = (lo + hi) // 2
+        return [shard], [(lo, middle), (middle + 1, hi)]
+
+    return Folder(path).change_shards(make)
+
+
+def merge(path: str, one: str, other: str) -> list[str]:
+    """End two neighbouring shards; one of both ranges begins."""
+
+    def make(shards):
+        spans = sorted((int(shards[s]["lo"], 16), int(shards[s]["hi"], 16)) for s in (one, other))
+        if spans[0][1] + 1 != spans[1][0]:
+            raise ValueError("only neighbours can be merged")
+        return [one, other], [(spans[0][0], spans[1][1])]
+
+    return Folder(path).change_shards(make)
 
 
 @dataclass
 class Part(InputPartition):
-    """A file of a commit."""
+    """Rows of a file of a commit."""
 
     file: str
     shard: str
     commit: int
     task: int
+    first: int
+    last: int
 
-    def __init__(self, file: str, shard: str, commit: int, task: int):
-        self.file, self.shard, self.commit, self.task = file, shard, commit, task
+    def __init__(self, file: str, shard: str, commit: int, task: int, first: int, last: int):
+        self.file, self.shard, self.commit, self.task, self.first, self.last = file, shard, commit, task, first, last
 
 
 @dataclass
@@ -93,118 +194,192 @@ class Written(WriterCommitMessage):
     files: list
 
 
+NOTHING = Part("", "", 0, 0, 0, 0)
+POSITIONS = ("TRIM_HORIZON", "LATEST", "AT_TIMESTAMP")
+
+
 class _Reading:
     def __init__(self, options: dict):
         self.folder = Folder(options["path"])
         self.shards = set(filter(None, options.get("shardids", "").split(",")))
-
-    def parts(self, first: int, last: int) -> list[Part]:
-        """Parts of the commits from first up to last; only assigned shards if the option shardIds names some."""
+        self.position = options.get("startingposition", "TRIM_HORIZON").upper()
+        if self.position not in POSITIONS:
+            raise ValueError(f"startingPosition is one of {POSITIONS}")
+        self.since = None
+        if self.position == "AT_TIMESTAMP":
+            from datetime import datetime, timezone
+
+            at = datetime.fromisoformat(options["startingtimestamp"])
+            self.since = at if at.tzinfo else at.replace(tzinfo=timezone.utc)
+        #: {shard: padded sequence number} after which a shard is read
+        self.after = json.loads(options.get("startafter", "{}"))
+
+    def parts(self, start: tuple[int, int], end: tuple[int, int]) -> list[Part]:
+        """Parts between two offsets; only assigned shards if the option shardIds names some."""
         out = []
-        for n, commit in enumerate(self.folder.commits()[first:last], first):
-            out += [Part(f["file"], f["shard"], n, f["task"]) for f in commit["files"] if not self.shards or f["shard"] in self.shards]
+        commits = self.folder.commits()
+        for n in range(start[0], min(end[0] + 1, len(commits))):
+            low, high = start[1] if n == start[0] else 0, end[1] if n == end[0] else 1 << 62
+            row = 0
+            for f in commits[n]["files"]:
+                a, b = max(low - row, 0), min(high - row, f["rows"])
+                row += f["rows"]
+                if a < b and (not self.shards or f["shard"] in self.shards):
+                    out.append(Part(f["file"], f["shard"], n, f["task"], a, b))
         return out
 
     def read(self, part: Part) -> Iterator[pa.RecordBatch]:
-        at = part.commit * _COMMIT + part.task * _TASK
+        if not part.file:
+            return
+        row, begin = 0, part.commit * _COMMIT + part.task * _TASK
         with self.folder.fs.open_input_file(self.folder.at(part.file)) as f:
             for batch in pq.ParquetFile(f).iter_batches():
-                n = batch.num_rows
-                made = {"shard_id": pa.array([part.shard] * n), "sequence_number": pa.array([str(at + i).zfill(DIGITS) for i in range(n)])}
-                at += n
-                yield pa.RecordBatch.from_arrays([made[x.name].cast(x.type) if x.name in made else batch.column(x.name).cast(x.type) if x.name in batch.schema.names else pa.nulls(n, x.type) for x in _ARROW], schema=_ARROW)
+                a, b = max(part.first - row, 0), min(part.last - row, batch.num_rows)
+                at, row = begin + row + a, row + batch.num_rows
+                if a < b:
+                    n = b - a
+                    batch = batch.slice(a, n)
+                    made = {"shard_id": pa.array([part.shard] * n), "sequence_number": pa.array([str(at + i).zfill(DIGITS) for i in range(n)])}
+                    whole = pa.RecordBatch.from_arrays([made[x.name].cast(x.type) if x.name in made else batch.column(x.name).cast(x.type) if x.name in batch.schema.names else pa.nulls(n, x.type) for x in _ARROW], schema=_ARROW)
+                    if self.since is not None:
+                        whole = whole.filter(pc.greater_equal(whole.column("approximate_arrival_timestamp"), pa.scalar(self.since, pa.timestamp("us", "UTC"))))
+                    if part.shard in self.after:
+                        whole = whole.filter(pc.greater(whole.column("sequence_number"), self.after[part.shard]))
+                    if whole.num_rows:
+                        yield whole
+                if row >= part.last:
+                    return
 
 
 class BatchReader(_Reading, DataSourceReader):
-    def partitions(self):
-        return self.parts(0, len(self.folder.commits())) or [Part("", "", 0, 0)]
+    """The options of a stream hold here, too; LATEST reads nothing that is there."""
 
-    def read(self, partition):
-        return super().read(partition) if partition.file else iter(())
+    def partitions(self):
+        commits = len(self.folder.commits())
+        return self.parts((commits if self.position == "LATEST" else 0, 0), (commits, 0)) or [NOTHING]
 
 
 class StreamReader(_Reading, DataSourceStreamReader):
-    """Options: startingPosition (TRIM_HORIZON or LATEST), maxCommitsPerBatch (for timed triggers only)."""
+    """Options: startingPosition (TRIM_HORIZON, LATEST, or AT_TIMESTAMP with startingTimestamp), startAfter, resumeAt, maxRecordsPerBatch."""
 
     def __init__(self, options: dict):
         super().__init__(options)
-        self.latest = options.get("startingposition", "TRIM_HORIZON").upper() == "LATEST"
-        self.most = int(options.get("maxcommitsperbatch", 0))
-        self.at = 0
+        self.most = int(options.get("maxrecordsperbatch", 0))
+        resume = json.loads(options.get("resumeat", "null"))
+        self.bounded = "resumeat" in options
+        self.at = self._of(resume) if resume else None
+
+    @staticmethod
+    def _of(offset: dict) -> tuple[int, int]:
+        return offset["commits"], offset.get("rows", 0)
 
     def initialOffset(self) -> dict:
-        return {"commits": len(self.folder.commits()) if self.latest else 0}
+        return {"commits": len(self.folder.commits()) if self.position == "LATEST" else 0, "rows": 0}
 
     def latestOffset(self) -> dict:
-        end = len(self.folder.commits())
-        # a stream that reads what there is and stops asks once only: it must be given the end
-        self.at = min(end, self.at + self.most) if self.most else end
-        return {"commits": self.at}
+        commits = self.folder.commits()
+        if not self.bounded:  # nobody has said where the query stands: all there is
+            return {"commits": len(commits), "rows": 0}
+        n, row = self.at if self.at is not None else self._of(self.initialOffset())
+        admitted = 0
+        while n < len(commits):
+            if admitted and commits[n].get("reshard", {"end": []})["end"]:
+                break
+            left = sum(f["rows"] for f in commits[n]["files"]) - row
+            if self.most and admitted + left > self.most:
+                row += self.most - admitted
+                break
+            admitted, n, row = admitted + left, n + 1, 0
+            if self.most and admitted == self.most:
+                break
+        self.at = (n, row)
+        return {"commits": n, "rows": row}
 
     def partitions(self, start: dict, end: dict):
-        return self.parts(start["commits"], end["commits"]) or [Part("", "", 0, 0)]
-
-    def read(self, partition):
-        return super().read(partition) if partition.file else iter(())
+        return self.parts(self._of(start), self._of(end)) or [NOTHING]
 
     def commit(self, end: dict) -> None:
-        self.at = max(self.at, end["commits"])
+        pass
 
 
 class _Writing:
     """Rows have partition_key and data, optionally approximate_arrival_timestamp and the other fields of a record.
 
-    The shard comes from a column shard_id, or else from the hash of the key among ``shards`` equal ranges.
+    The shard comes from a column shard_id, or else from the hash of the key among the log's open shards.
     """
 
-    #: Rows of a shard that a task holds before it writes them.
-    HELD = 50_000
+    #: Bytes that a task holds before it writes them.
+    HELD = 16 << 20
 
     def __init__(self, schema: StructType, options: dict):
         if not {"partition_key", "data"} <= set(schema.names):
             raise ValueError("columns partition_key and data are needed")
-        self.folder, self.n = Folder(options["path"]), int(options.get("shards", 1))
+        self.folder = Folder(options["path"])
+        self.open = self.folder.open_shards(int(options.get("shards", 1)))
         self.fields = [x for x in _ARROW if x.name not in ("shard_id", "sequence_number")]
 
-    def write(self, iterator):
+    def shards_of(self, keys: pa.Array) -> pa.Array:
+        import bisect
         import hashlib
+
+        codes = keys.dictionary_encode()
+        edges = [edge for edge, _ in self.open]
+        found = [self.open[bisect.bisect_left(edges, int(hashlib.md5(k.encode()).hexdigest(), 16))][1] for k in codes.dictionary.to_pylist()]
+        return pa.array(found, pa.string()).take(codes.indices)
+
+    def write(self, iterator):
         from datetime import datetime, timezone
 
         from pyspark import TaskContext
 
         task, now = TaskContext.get().partitionId(), datetime.now(timezone.utc)
-        held: dict[str, list] = {}
+        schema = pa.schema(self.fields)
+        held: dict[str, list[pa.RecordBatch]] = {}
         writers: dict[str, tuple] = {}
-        tag = uuid.uuid4().hex
-
-        def flush(shard: str) -> None:
-            rows = held.pop(shard)
-            if shard not in writers:
-                self.folder.fs.create_dir(self.folder.at(shard), recursive=True)
-                name = f"{shard}/{task:06d}-{tag}.parquet"
-                stream = self.folder.fs.open_output_stream(self.folder.at(name))
-                writers[shard] = (name, stream, pq.ParquetWriter(stream, pa.schema(self.fields)))
-            columns = [pa.array([r.get(x.name) for r in rows], x.type) for x in self.fields]
-            writers[shard][2].write_batch(pa.RecordBatch.from_arrays(columns, schema=pa.schema(self.fields)))
-
-        for row in iterator:
-            r = row.asDict()
-            shard = r.get("shard_id")
-            if shard is None:
-                shard = f"shard-{int(hashlib.md5(r['partition_key'].encode()).hexdigest(), 16) * self.n >> 128:03d}"
-            stamp = r.get("approximate_arrival_timestamp")
-            r["approximate_arrival_timestamp"] = now if stamp is None else stamp.astimezone(timezone.utc)  # without a zone: local time
-            r["aggregated"] = bool(r.get("aggregated"))
-            mine = held.setdefault(shard, [])
-            mine.append(r)
-            if len(mine) >= self.HELD:
-                flush(shard)
-        for shard in list(held):
-            flush(shard)
+        rows: dict[str, int] = {}
+        tag, size = uuid.uuid4().hex, 0
+
+        def flush() -> None:
+            for shard, parts in held.items():
+                if shard not in writers:
+                    self.folder.fs.create_dir(self.folder.at(shard), recursive=True)
+                    name = f"{shard}/{task:06d}-{tag}.parquet"
+                    stream = self.folder.fs.open_output_stream(self.folder.at(name))
+                    writers[shard] = (name, stream, pq.ParquetWriter(stream, schema))
+                for part in parts:
+                    writers[shard][2].write_batch(part)
+            held.clear()
+
+        for batch in iterator:
+            n = batch.num_rows
+            columns = {}
+            for x in self.fields:
+                found = batch.column(x.name) if x.name in batch.schema.names else pa.nulls(n, x.type)
+                if x.name == "approximate_arrival_timestamp":
+                    if pa.types.is_timestamp(found.type) and found.type.tz is None:
+                        found = found.cast(pa.timestamp("us")).cast(x.type)  # without a zone: UTC
+                    found = pc.fill_null(found.cast(x.type), pa.scalar(now, x.type))
+                elif x.name == "aggregated":
+                    found = pc.fill_null(found.cast(x.type), False)
+                columns[x.name] = found.cast(x.type)
+            made = pa.RecordBatch.from_arrays([columns[x.name] for x in self.fields], schema=schema)
+            shard = self.shards_of(batch.column("partition_key").cast(pa.string()))
+            if "shard_id" in batch.schema.names:
+                shard = pc.coalesce(batch.column("shard_id").cast(pa.string()), shard)
+            codes = shard.dictionary_encode()
+            for i, s in enumerate(codes.dictionary.to_pylist()):
+                own = made.filter(pc.equal(codes.indices, i))
+                held.setdefault(s, []).append(own)
+                rows[s] = rows.get(s, 0) + own.num_rows
+            size += made.nbytes
+            if size > self.HELD:
+                flush()
+                size = 0
+        flush()
         for _, stream, writer in writers.values():
             writer.close()
             stream.close()
-        return Written([{"shard": s, "file": name, "task": task} for s, (name, _, _) in writers.items()])
+        return Written([{"shard": s, "file": name, "task": task, "rows": rows[s]} for s, (name, _, _) in writers.items()])
 
     def _files(self, messages) -> list[dict]:
         return sorted((f for m in messages if m for f in m.files), key=lambda f: (f["shard"], f["task"]))
@@ -214,7 +389,7 @@ class _Writing:
             self.folder.fs.delete_file(self.folder.at(f["file"]))
 
 
-class BatchWriter(_Writing, DataSourceWriter):
+class BatchWriter(_Writing, DataSourceArrowWriter):
     def __init__(self, schema, options):
         super().__init__(schema, options)
         self.key = uuid.uuid4().hex
@@ -226,7 +401,7 @@ class BatchWriter(_Writing, DataSourceWriter):
         self._discard(messages)
 
 
-class StreamWriter(_Writing, DataSourceStreamWriter):
+class StreamWriter(_Writing, DataSourceStreamArrowWriter):
     def __init__(self, schema, options):
         super().__init__(schema, options)
         self.sink = options.get("sinkid", "stream")

@@ -1,36 +1,42 @@
-"""Consuming a shard log: a function for each micro-batch, with the engine's checkpoints."""
+"""Consuming a shard log: micro-batches or single records, with the engine's checkpoints."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import time
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from logtide.operators.aggregation import deaggregate
+from logtide.settings import Backoff, CheckpointSettings, PollingSettings
 from logtide.sources import shardlog
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, by the session's default file system."""
+    if path.startswith("file:"):
+        return path
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+
+
+def read_log(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """All committed records, aggregated ones unpacked."""
     shardlog.register(spark)
-    return deaggregate(spark.read.format("shardlog").load(path))
+    return deaggregate(spark.read.format("shardlog").options(**options).load(qualified(spark, path)))
 
 
 def read_log_from(spark: SparkSession, path: str, position: str, timestamp: str | None = None) -> DataFrame:
     """Records from an initial position: TRIM_HORIZON, LATEST (none that are there) or AT_TIMESTAMP."""
-    records = read_log(spark, path)
-    if position == "AT_TIMESTAMP":
-        return records.where(F.col("approximate_arrival_timestamp") >= F.lit(timestamp).cast("timestamp"))
-    return records.where(F.lit(position == "TRIM_HORIZON"))
+    return read_log(spark, path, startingPosition=position, **({"startingTimestamp": timestamp} if timestamp else {}))
 
 
 def stream_log(spark: SparkSession, path: str, **options: str) -> DataFrame:
     shardlog.register(spark)
-    reader = spark.readStream.format("shardlog")
-    for name, value in options.items():
-        reader = reader.option(name, value)
-    return deaggregate(reader.load(path))
+    return deaggregate(spark.readStream.format("shardlog").options(**options).load(qualified(spark, path)))
 
 
 def consume_with(records: DataFrame, process: Callable[[DataFrame, int], None], checkpoint_dir: str, interval: str | None = None):
@@ -42,11 +48,134 @@ def consume_with(records: DataFrame, process: Callable[[DataFrame, int], None],
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
+def reached(spark: SparkSession, checkpoint_dir: str) -> dict | None:
+    """The offset that a query has planned up to, from its checkpoint folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir}/offsets")
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(at):
+        return None
+    found = [x.getPath().getName() for x in files.listStatus(at)]
+    numbers = [int(x) for x in found if x.isdigit()]
+    if not numbers:
+        return None
+    lines = [r.value for r in spark.read.text(f"{checkpoint_dir}/offsets/{max(numbers)}").collect()]  # three lines
+    return json.loads(lines[-1])
+
+
+def drain(spark: SparkSession, path: str, process: Callable[[DataFrame, int], None], checkpoint_dir: str, polling: PollingSettings = PollingSettings(), stop: Callable[[], bool] = lambda: False, emit: Callable[[dict], None] | None = None, **options: str) -> int:
+    """Process all there is, some records at a time, children of a reshard only after their parents; returns the batches.
+
+    Each poll takes ``polling.batch_size`` records at most and is checkpointed; failures are tried again as
+    ``polling.retry`` says. ``stop`` is asked between polls: what has been read is then processed and checkpointed.
+    """
+    folder = shardlog.Folder(qualified(spark, path))
+    polls, failures, told = 0, 0, set()
+    quiet, emit = emit is None, emit or (lambda event: None)
+    emit({"event_type": "WorkerJoined", "worker_id": checkpoint_dir})
+    while not stop():
+        at = reached(spark, checkpoint_dir)
+        shards = folder.shards()
+        for s in sorted(shards.keys() - told):
+            emit({"event_type": "NewShardDetected", "shard_id": s})
+        told |= shards.keys()
+        resume = {"resumeAt": json.dumps(at)} if at else {"resumeAt": "null"}
+        records = stream_log(spark, path, maxRecordsPerBatch=str(polling.batch_size), **resume, **options)
+        seen: list[dict] = []
+
+        def watched(batch: DataFrame, number: int) -> None:
+            process(batch, number)
+            if quiet:
+                return
+            counts = batch.groupBy("shard_id").agg(F.count("*").alias("n"), F.max("sequence_number").alias("last")).collect()  # a row for each shard
+            seen.extend({"shard_id": r.shard_id, "nr_records": r.n, "checkpoint": r.last} for r in counts)
+
+        began = time.time()
+        query = consume_with(records, watched, checkpoint_dir)
+        try:
+            query.awaitTermination()
+        except Exception:
+            delays = polling.retry.delays(failures + 1)
+            if len(delays) <= failures:
+                raise
+            time.sleep(delays[failures])
+            failures += 1
+            continue
+        failures = 0
+        now = reached(spark, checkpoint_dir)
+        commits = folder.commits()
+        behind = sum(f["rows"] for c in commits[now["commits"] :] for f in c["files"]) - now["rows"] if now else 0
+        for x in seen:
+            emit({"event_type": "PollComplete", "shard_id": x["shard_id"], "nr_records": x["nr_records"], "behind_records": behind, "duration_ms": round(1000 * (time.time() - began))})
+            emit({"event_type": "Checkpoint", "shard_id": x["shard_id"], "checkpoint": x["checkpoint"]})
+        if now == at or now is None:
+            break
+        polls += 1
+        for c in commits[(at or {"commits": 0})["commits"] : now["commits"]]:
+            for s in c.get("reshard", {"end": []})["end"]:
+                emit({"event_type": "ShardEnded", "shard_id": s})
+        if now["commits"] >= len(commits):
+            break
+    emit({"event_type": "WorkerLeft", "worker_id": checkpoint_dir})
+    return polls
+
+
+def in_order(rows: Iterable[Row], process: Callable[[Row], None], settings: CheckpointSettings, retry: Backoff) -> None:
+    """Process the records of one shard: one after the other, or ``parallelism`` at a time, those of one key in order."""
+
+    def one(row: Row) -> None:
+        delays = retry.delays(retry.retries or 0)
+        for n in range(len(delays) + 1):
+            try:
+                return process(row)
+            except Exception:
+                if n == len(delays):
+                    raise
+                time.sleep(delays[n])
+
+    if settings.parallelism <= 1:
+        for row in rows:
+            one(row)
+        return
+    # each thread has keys of its own; some rows of every thread at a time, so that a slow one holds back the others
+    with ThreadPoolExecutor(settings.parallelism) as pool:
+
+        def some(held: list[list[Row]]) -> None:
+            for done in [pool.submit(lambda own: [one(r) for r in own], own) for own in held if own]:
+                done.result()
+
+        held: list[list[Row]] = [[] for _ in range(settings.parallelism)]
+        for n, row in enumerate(rows, 1):
+            held[hash(row.partition_key) % settings.parallelism].append(row)
+            if n % settings.batch_size == 0:
+                some(held)
+                held = [[] for _ in range(settings.parallelism)]
+        some(held)
+
+
+def consume_records(spark: SparkSession, path: str, process: Callable[[Row], None], checkpoint_dir: str, settings: CheckpointSettings = CheckpointSettings(), polling: PollingSettings = PollingSettings(), retry: Backoff = Backoff(1, 60, 2.0, 0), **more) -> int:
+    """Run a function for each record, on the executors: shards in parallel, each in order; at least once.
+
+    A checkpoint comes after ``settings.batch_size`` records of all shards, and at the end of what there is.
+    """
+
+    def batch(records: DataFrame, number: int) -> None:
+        rows = records.repartition("shard_id").sortWithinPartitions("shard_id", "sequence_number", "sub_sequence_number")
+
+        def run(part: Iterable[Row]) -> None:
+            in_order(part, process, settings, retry)
+
+        rows.foreachPartition(run)
+
+    return drain(spark, path, batch, checkpoint_dir, PollingSettings(batch_size=settings.batch_size, retry=polling.retry), **more)
+
+
 def produce(records: DataFrame, path: str, shards: int = 1) -> None:
-    shardlog.register(records.sparkSession)
-    records.write.format("shardlog").option("shards", str(shards)).mode("append").save(path)
+    spark = records.sparkSession
+    shardlog.register(spark)
+    records.write.format("shardlog").option("shards", str(shards)).mode("append").save(qualified(spark, path))
 
 
 def produce_stream(records: DataFrame, path: str, checkpoint_dir: str, shards: int = 1, sink_id: str = "stream"):
-    shardlog.register(records.sparkSession)
-    return records.writeStream.format("shardlog").option("shards", str(shards)).option("sinkId", sink_id).option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start(path)
+    spark = records.sparkSession
+    shardlog.register(spark)
+    return records.writeStream.format("shardlog").option("shards", str(shards)).option("sinkId", sink_id).option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start(qualified(spark, path))

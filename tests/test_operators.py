@@ -1,10 +1,12 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from logtide.operators import aggregation, assignment, batching, checkpoints, leases, metrics, produce, throttle
+from logtide.operators import aggregation, assignment, batching, checkpoints, leases, metrics, produce, routing, throttle
+from logtide.settings import ProducerSettings
 from logtide.streaming.staging import Checkpointer
 
 
@@ -30,9 +32,51 @@ def test_greedy_batches_against_a_loop(spark):
         assert all(r["oversized"] == (r["size"] > 100) for r in own)
 
 
+@pytest.mark.parametrize("n, sizes, limit, most", [(4000, (1, 5, 40, 90, 130), 100, 7), (4000, (1, 2, 3), 5000, 100_000), (300, (200,), 100, 9), (2000, (0, 1), 3, 2), (0, (1,), 1, 1)])
+def test_batches_over_all_keys_against_a_loop(spark, n, sizes, limit, most):
+    rng = random.Random(n + limit)
+    rows = [(f"s{rng.randrange(3)}", i, rng.choice(sizes)) for i in range(n)]
+    out = batching.greedy_batches(spark.createDataFrame(rows, "shard string, at int, size int").repartition(5), None, ["at"], "size", limit, most).collect()
+    out.sort(key=lambda r: r["at"])
+    assert [r["batch"] for r in out] == fold([r["size"] for r in out], limit, most)
+
+
+def test_ranges_answer_for_every_border():
+    rng = random.Random(5)
+    for _ in range(300):
+        sizes = [rng.choice([0, 1, 4, 9, 30]) for _ in range(rng.randint(1, 60))]
+        limit, most, cut = rng.choice([20, 50, 500]), rng.choice([2, 5, 100]), rng.randint(0, 60)
+        state = (-1, 0, 0)
+        for part in (sizes[:cut], sizes[cut:]):
+            if part:
+                state = batching.after(state, batching.Range(np.array(part), limit, most).answers(), limit, most)
+        assert state == batching.walk(np.array(sizes), (-1, 0, 0), limit, most)[1]
+
+
+def test_plans_follow_the_settings(spark):
+    rows = spark.createDataFrame([(f"k{i % 50}", bytes(900), i) for i in range(3000)], "partition_key string, data binary, position long")
+    shards = routing.shard_map(spark, 4)
+    plain = produce.plan(rows, rows.limit(0), shards, ProducerSettings(throttle=False, predict_shards=False)).select("predicted_shard", "release_second", "batch").distinct().collect()
+    assert {(r.predicted_shard, r.release_second) for r in plain} == {(None, 0)} and len(plain) == 6
+    whole = produce.plan(rows, rows.limit(0), shards, ProducerSettings(throttle=False)).groupBy("batch").agg(F.countDistinct("predicted_shard").alias("n")).collect()
+    assert len(whole) == 6 and max(r.n for r in whole) == 4  # a request mixes shards
+    packed = produce.plan(rows, rows.where("position < 5"), shards, ProducerSettings(aggregate=True)).collect()
+    assert sum(r.records for r in packed) == 3005 and sum(r.attempt == 2 for r in packed) == 5 and len(packed) < 20
+    slow = spark.createDataFrame([(r.predicted_shard, 0.1) for r in packed], "predicted_shard string, factor double").distinct()
+    seconds = lambda f: produce.plan(rows, rows.limit(0), shards, factors=f).agg(F.max("release_second")).first()[0]
+    assert seconds(slow) > 5 and seconds(None) == 0
+
+
+def test_error_codes_and_rerouting(spark):
+    rows = spark.createDataFrame([(1, i, f"k{i}", "retry" if i % 2 else "ok", "InternalFailure" if i % 2 else None, "old") for i in range(40)], "batch int, pos int, partition_key string, outcome string, error_code string, predicted_shard string")
+    assert [r.pos for r in produce.error_codes(rows).collect()] == list(range(1, 20, 2))
+    again = produce.rerouted(rows, routing.shard_map(spark, 8)).collect()
+    assert len(again) == 20 and {r.predicted_shard for r in again} <= {f"shard-{i:03d}" for i in range(8)}
+
+
 def test_a_hundred_thousand_records_stay_within_limits(spark):
     rows = spark.range(100_000).select(F.lit("s").alias("shard"), "id", (F.octet_length(F.concat(F.lit("message"), F.col("id").cast("string"))) + 36).alias("size"))
-    out = batching.put_batches(rows, "shard", ["id"], "size").groupBy("batch").agg(F.count("*").alias("n"), F.sum("size").alias("b")).agg(F.max("n"), F.max("b"), F.count("*")).first()
+    out = batching.put_batches(rows, None, ["id"], "size").groupBy("batch").agg(F.count("*").alias("n"), F.sum("size").alias("b")).agg(F.max("n"), F.max("b"), F.count("*")).first()
     assert out[0] <= 500 and out[1] <= 5_242_880 and out[2] == 200
 
 
@@ -41,6 +85,19 @@ def test_locked_segments(spark):
     assert [r.segment for r in batching.locked_segments(rows, "shard", "key", ["at"], 200).orderBy("at").collect()] == [0, 0, 1]
 
 
+def test_locked_segments_against_a_loop(spark):
+    rng = random.Random(2)
+    rows = [("s", i, rng.choice("abcdefghijklmnop") if rng.random() < 0.9 else f"u{i}") for i in range(20_000)]
+    want, seen, number = [], set(), 0
+    for _, _, k in rows:
+        if k in seen or len(seen) >= 9:
+            number, seen = number + 1, set()
+        seen.add(k)
+        want.append(number)
+    out = batching.locked_segments(spark.createDataFrame(rows, "shard string, at int, key string"), "shard", "key", ["at"], 9)
+    assert [r.segment for r in out.orderBy("at").collect()] == want
+
+
 def test_codec_round_trip():
     data = aggregation.encode(["key1", "ké"], [(0, b"this is the payload"), (1, b""), (0, bytes(300))], ["0", "0", "0"])
     keys, hashed, entries = aggregation.decode(data)

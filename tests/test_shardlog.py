@@ -1,7 +1,12 @@
+import hashlib
+import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+import pytest
 from pyspark.sql import functions as F
 
+from logtide.settings import Backoff, CheckpointSettings, PollingSettings
 from logtide.sources import shardlog
 from logtide.streaming import consume, staging
 
@@ -49,11 +54,91 @@ def test_stream_resumes_after_failure(spark, tmp_path):
 
 def test_a_repeated_commit_changes_nothing(tmp_path):
     log = shardlog.Folder(str(tmp_path))
-    log.commit([{"shard": "a", "file": "a/1", "task": 0}], "s-0")
-    log.commit([{"shard": "a", "file": "a/2", "task": 0}], "s-0")
+    log.commit([{"shard": "a", "file": "a/1", "task": 0, "rows": 1}], "s-0")
+    log.commit([{"shard": "a", "file": "a/2", "task": 0, "rows": 1}], "s-0")
     assert [c["files"][0]["file"] for c in log.commits()] == ["a/1"]
 
 
+def test_writers_at_once_lose_no_commit(tmp_path):
+    def write(i):
+        log = shardlog.Folder(str(tmp_path))
+        for k in range(10):
+            log.commit([{"shard": "a", "file": f"a/{i}-{k}", "task": 0, "rows": 1}], f"{i}-{k}")
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(write, range(8)))
+    assert sorted(c["files"][0]["file"] for c in shardlog.Folder(str(tmp_path)).commits()) == sorted(f"a/{i}-{k}" for i in range(8) for k in range(10))
+
+
+def test_polls_are_bounded_by_records(spark, tmp_path):
+    path, seen, events = str(tmp_path / "log"), [], []
+    consume.produce(records(spark, 0, 50), path, 2)
+    consume.produce(records(spark, 50, 5), path)
+    n = consume.drain(spark, path, lambda batch, number: seen.append(sorted(bytes(r.data).decode() for r in batch.collect())), str(tmp_path / "state"), PollingSettings(batch_size=20), emit=events.append)
+    assert n == 3 and [len(s) for s in seen] == [20, 20, 15] and sorted(sum(seen, [])) == sorted(f"msg{i}" for i in range(55))
+    kinds = [e["event_type"] for e in events]
+    assert kinds[0] == "WorkerJoined" and kinds[-1] == "WorkerLeft" and {"NewShardDetected", "PollComplete", "Checkpoint"} <= set(kinds)
+    assert [e["behind_records"] for e in events if e["event_type"] == "PollComplete"][-1] == 0
+    consume.produce(records(spark, 55, 1), path)
+    assert consume.drain(spark, path, lambda batch, number: seen.append([bytes(r.data).decode() for r in batch.collect()]), str(tmp_path / "state")) == 1 and seen[-1] == ["msg55"]
+
+
+def test_children_wait_for_their_parents(spark, tmp_path):
+    path, seen, events = str(tmp_path / "log"), [], []
+    consume.produce(records(spark, 0, 40), path, 2)
+    assert shardlog.split(path, "shard-000") == ["shard-002", "shard-003"]
+    consume.produce(records(spark, 40, 40), path, 2)
+    assert shardlog.merge(path, "shard-003", "shard-001") == ["shard-004"]
+    consume.produce(records(spark, 80, 40), path, 2)
+    for wrong in (lambda: shardlog.merge(path, "shard-002", "shard-002"), lambda: shardlog.split(path, "shard-000")):
+        try:
+            wrong()
+        except ValueError:
+            continue
+        raise AssertionError
+    consume.drain(spark, path, lambda batch, number: seen.append({r.shard_id for r in batch.select("shard_id").distinct().collect()}), str(tmp_path / "state"), emit=events.append)
+    assert seen == [{"shard-000", "shard-001"}, {"shard-001", "shard-002", "shard-003"}, {"shard-002", "shard-004"}]
+    assert [e["shard_id"] for e in events if e["event_type"] == "ShardEnded"] == ["shard-000", "shard-003", "shard-001"]
+    where = {r.partition_key: r.shard_id for r in consume.read_log(spark, path).collect()}
+    shards = shardlog.Folder(path).shards()
+    assert all(shards[s]["lo"] <= hashlib.md5(k.encode()).hexdigest() <= shards[s]["hi"] for k, s in where.items())
+
+
+def test_starting_positions(spark, tmp_path):
+    path = str(tmp_path / "log")
+    stamped = records(spark, 0, 10).withColumn("approximate_arrival_timestamp", F.timestamp_micros(F.substring("data", 4, 1).cast("string").cast("bigint") * 1_000_000))
+    consume.produce(stamped, path)
+    of = lambda **options: sorted(bytes(r.data).decode() for r in consume.read_log(spark, path, **options).collect())
+    assert of(startingPosition="AT_TIMESTAMP", startingTimestamp="1970-01-01T00:00:07+00:00") == ["msg7", "msg8", "msg9"]
+    first = consume.read_log(spark, path).orderBy("sequence_number").collect()
+    assert len(of(startAfter=json.dumps({"shard-000": first[3].sequence_number}))) == 6
+    with pytest.raises(Exception, match="startingPosition"):
+        of(startingPosition="SOMEWHERE")
+    seen = []
+    consume.consume_with(consume.stream_log(spark, path, startingPosition="AT_TIMESTAMP", startingTimestamp="1970-01-01T00:00:08"), lambda batch, n: seen.append(batch.count()), str(tmp_path / "state")).awaitTermination()
+    assert seen == [2]
+
+
+def test_records_one_by_one(spark, tmp_path):
+    path, out = str(tmp_path / "log"), tmp_path / "out"
+    out.mkdir()
+    consume.produce(records(spark, 0, 60), path, 2)
+
+    def process(row):
+        n = int(bytes(row.data)[3:])
+        if n == 7 and not (out / "failed").exists():
+            (out / "failed").touch()
+            raise RuntimeError("once")
+        with open(out / row.shard_id, "a") as f:
+            f.write(f"{row.sequence_number}\n")
+
+    polls = consume.consume_records(spark, path, process, str(tmp_path / "state"), CheckpointSettings(batch_size=25), retry=Backoff(0.01, 1, 2.0, 2))
+    got = {s: (out / s).read_text().split() for s in ("shard-000", "shard-001")}
+    assert polls == 3 and sum(map(len, got.values())) == 60 and all(x == sorted(x) for x in got.values())
+    consume.consume_records(spark, path, process, str(tmp_path / "other"), CheckpointSettings(batch_size=25, parallelism=3))
+    assert sum(len((out / s).read_text().split()) for s in got) == 120
+
+
 def test_streamed_staging_equals_batch(spark, tmp_path):
     rows = [("a", 1, "stage", 5), ("a", 2, "checkpoint", None), ("b", 3, "end", None), ("b", 4, "release", None), ("a", 5, "seen", 6), ("a", 6, "stage", 6), ("a", 7, "end", None), ("a", 8, "release", None)]
     schema = "shard_id string, event_id long, kind string, position long"

@@ -553,7 +553,8 @@ def classes_of(docs: DataFrame, split: int = SPLIT) -> DataFrame:
     else:
         labelled = documents.join(classes.select(F.col("node").alias("set"), F.col("component").alias("of")), "set", "left").withColumn("class", F.coalesce("of", "set"))
     labelled = labelled.select("row", "row2", "doc_id", "n", F.when(F.col("n") > 0, F.col("class")).alias("class"))
-    smallest = labelled.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("component"))
+    # a table of its own, so that the join by class may split a large one
+    smallest = scratch.cut(labelled.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("component")), "smallest")
     full = labelled.where("n > 0").join(smallest, "class").select("row", "row2", "doc_id", "n", "class", "component")
     return full.unionByName(labelled.where("n = 0").select("row", "row2", "doc_id", "n", "class", F.col("doc_id").alias("component")))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from logtide.llm import chat_format, decontamination, jaccard_join, nearest, quality, secret_scan, sentencepiece_codec, sharding, substring_dedup, url_filters
 
 QUERIES = {
@@ -22,7 +24,53 @@ QUERIES = {
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def escaped_sql(text: str) -> str:
+    """What ``chat_format.escape`` makes of a text; the control strings don't overlap."""
+    for c in chat_format.CONTROL:
+        text = rf"regexp_replace({text}, '({re.escape(c[0])})(\\*{re.escape(c[1:])})', '\1\\\2', 'g')"
+    return text
+
+
+def fits_sql(rule: str) -> str:
+    domain, _, rest = rule.partition("/")
+    return f"(host = '{domain}' OR ends_with(host, '.{domain}')) AND starts_with(path, '/{rest}')"
+
+
+RULES = sorted(url_filters.RULES, key=lambda r: -len(r[0]))
+CONTROLLED = f"'{chat_format.START}' || " + escaped_sql("replace(replace(role, '%', '%25'), chr(10), '%0A')") + " || chr(10) || " + escaped_sql("text") + f" || '{chat_format.END}' || chr(10)"
+
 ORACLES: dict[str, str] = {
+    # rules of up to three tokens, each counted over all labelled pages; no page of the test tables has more tokens than mining looks at
+    "op3_url_filters": rf"""
+WITH p AS MATERIALIZED (SELECT page_id, url, translate(coalesce(regexp_extract(url, '(?s)\A.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '(?s)\A.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+u AS MATERIALIZED (SELECT DISTINCT host, path, x AS token FROM (SELECT host, path, unnest(list_concat(list_transform(string_split(host, '.'), lambda x: 'h:' || x), list_transform(regexp_split_to_array(path, '[/._-]+'), lambda x: 'p:' || regexp_replace(x, '[0-9]+', '#', 'g')))) AS x FROM (SELECT DISTINCT host, path FROM p)) WHERE length(x) > 2),
+m AS (SELECT doc_id, coalesce(max(toxic = 1 OR quality = 0), false) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+s AS MATERIALIZED (SELECT row_number() OVER () AS page, host, path, bad FROM (SELECT DISTINCT page_id, url, host, path, bad FROM p JOIN m ON p.page_id = m.doc_id WHERE url IS NOT NULL)),
+least AS (SELECT greatest({url_filters.LEAST}, CAST(ceil(round(count(*) * {url_filters.SUPPORT}, 6)) AS BIGINT)) AS least FROM s),
+t AS MATERIALIZED (SELECT page, bad, token FROM s JOIN u USING (host, path)),
+c AS (SELECT token, count(*) AS n, count(*) FILTER (bad) AS n_bad, string_agg(CAST(page AS VARCHAR), ',' ORDER BY page) AS held FROM t GROUP BY token),
+i AS MATERIALIZED (SELECT min(token) AS token, any_value(n_bad) >= {url_filters.CONFIDENCE} * any_value(n) AS alone FROM c, least WHERE n_bad >= least.least GROUP BY held),
+r AS MATERIALIZED (SELECT page, bad, token FROM t JOIN i USING (token) WHERE NOT alone),
+two AS MATERIALIZED (SELECT a.token AS x, b.token AS y FROM r a JOIN r b ON a.page = b.page AND a.token < b.token, least GROUP BY ALL HAVING count(*) FILTER (a.bad) >= any_value(least) AND count(*) FILTER (a.bad) >= {url_filters.CONFIDENCE} * count(*)),
+three AS (SELECT a.token AS x, b.token AS y, c.token AS z FROM r a JOIN r b ON a.page = b.page AND a.token < b.token JOIN r c ON a.page = c.page AND b.token < c.token, least GROUP BY ALL HAVING count(*) FILTER (a.bad) >= any_value(least) AND count(*) FILTER (a.bad) >= {url_filters.CONFIDENCE} * count(*)),
+blocked AS (
+  SELECT host, path FROM u JOIN i USING (token) WHERE alone
+  UNION SELECT a.host, a.path FROM two JOIN u a ON a.token = x JOIN u b ON b.token = y AND b.host = a.host AND b.path = a.path
+  UNION SELECT a.host, a.path FROM three JOIN u a ON a.token = x JOIN u b ON b.token = y AND b.host = a.host AND b.path = a.path JOIN u c ON c.token = z AND c.host = a.host AND c.path = a.path)
+SELECT page_id, p.host, p.path, CASE {" ".join(f"WHEN {fits_sql(r).replace('host', 'p.host').replace('path', 'p.path')} THEN '{r}'" for r, _ in RULES)} END AS rule,
+  CASE {" ".join(f"WHEN {fits_sql(r).replace('host', 'p.host').replace('path', 'p.path')} THEN '{v}'" for r, v in RULES)} WHEN b.host IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM p LEFT JOIN blocked b ON b.host = p.host AND b.path = p.path
+""",
+    "op9_chat_format": f"""
+WITH t AS (SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+f AS (SELECT *, {CONTROLLED} AS formatted FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, formatted)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, formatted) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(sum(length(formatted)) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id
+""",
     "op6_decontamination": rf"""
 WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),

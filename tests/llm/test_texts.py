@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from logtide.llm import decontamination, quality, secret_scan, sentencepiece_codec, sharding
 from logtide.llm.blocks import blocks, text_arrays
@@ -61,6 +62,9 @@ def test_op1(spark, tmp_path):
     shard_of = {}
     for r in out:
         assert shard_of.setdefault((r.text_crc32, r["size"]), r.shard) == r.shard
+    groups = {r.key: r.n for r in docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), (F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("n")).groupBy("key").agg(F.sum("n").alias("n")).collect()}
+    load = {s: sum(r["size"] for r in out if r.shard == s) for s in set(shard_of.values())}
+    assert max(load.values()) == smallest_capacity([groups[k] for k in sorted(groups)], 16)
     for s in set(shard_of.values()):
         assert sorted(r.slot for r in out if r.shard == s) == list(range(sum(r.shard == s for r in out)))
 

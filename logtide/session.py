@@ -8,20 +8,19 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
-#: Rows and bytes of an Arrow batch: a Python worker holds a few batches and their temporaries, whatever the rows' size.
-BATCH_ROWS, BATCH_BYTES = 4096, 2 << 20
+#: Bytes of an Arrow batch: a Python worker holds a few batches and their temporaries, whatever the rows' size.
+BATCH_BYTES = 2 << 20
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
     """Send the package's source to the executors, once for each application, so that Python code there can import it.
 
-    Arrow batches are bounded by bytes, unless the session has been given bounds of its own.
+    Arrow batches are bounded to BATCH_BYTES, unless the session has been given a bound of its own.
     """
-    for key, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
-        name = f"spark.sql.execution.arrow.{key}"
-        if spark.conf.get(name) in ("10000", "64MB", str(64 << 20), f"{64 << 20}b"):
-            spark.conf.set(name, str(value))
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) in ("64MB", str(64 << 20), f"{64 << 20}b"):
+        spark.conf.set(name, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = os.path.dirname(os.path.abspath(__file__))

@@ -40,7 +40,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, token ids (packed, 32 bits each), their number, and whether decoding restores the text."""
     ship(spark)
     path = sentencepiece_codec.model_path()
-    out = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, path, carry=("doc_id", "lang", "source", "text")), path)
+    out = sentencepiece_codec.round_trip(docs, path, carry=("doc_id", "lang", "source", "text"))
     restored = F.col("decoded") == F.translate(F.coalesce("row.text", F.lit("")), "▁", " ")
     return out.select("row.doc_id", "row.lang", "row.source", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"), "ids", restored.alias("restored"))
 

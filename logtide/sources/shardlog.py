@@ -130,6 +130,10 @@ class Folder:
                 out[s["shard_id"]] = {**s, "ended": False}
         return out
 
+    def end(self) -> str:
+        """The sequence number before which all records stand that are there."""
+        return str(len(self.commits()) * _COMMIT).zfill(DIGITS)
+
     def open_shards(self, count: int) -> list[tuple[int, str]]:
         """(highest hash key, shard) of the open shards, in order; a log without shards gets ``count`` equal ones."""
         if not self.shards():
@@ -211,8 +215,8 @@ class _Reading:
 
             at = datetime.fromisoformat(options["startingtimestamp"])
             self.since = at if at.tzinfo else at.replace(tzinfo=timezone.utc)
-        #: {shard: padded sequence number} after which a shard is read
-        self.after = json.loads(options.get("startafter", "{}"))
+        #: {shard: padded sequence number} at which a shard is begun
+        self.first = json.loads(options.get("startat", "{}"))
 
     def parts(self, start: tuple[int, int], end: tuple[int, int]) -> list[Part]:
         """Parts between two offsets; only assigned shards if the option shardIds names some."""
@@ -243,8 +247,8 @@ class _Reading:
                     whole = pa.RecordBatch.from_arrays([made[x.name].cast(x.type) if x.name in made else batch.column(x.name).cast(x.type) if x.name in batch.schema.names else pa.nulls(n, x.type) for x in _ARROW], schema=_ARROW)
                     if self.since is not None:
                         whole = whole.filter(pc.greater_equal(whole.column("approximate_arrival_timestamp"), pa.scalar(self.since, pa.timestamp("us", "UTC"))))
-                    if part.shard in self.after:
-                        whole = whole.filter(pc.greater(whole.column("sequence_number"), self.after[part.shard]))
+                    if part.shard in self.first:
+                        whole = whole.filter(pc.greater_equal(whole.column("sequence_number"), self.first[part.shard]))
                     if whole.num_rows:
                         yield whole
                 if row >= part.last:
@@ -260,7 +264,7 @@ class BatchReader(_Reading, DataSourceReader):
 
 
 class StreamReader(_Reading, DataSourceStreamReader):
-    """Options: startingPosition (TRIM_HORIZON, LATEST, or AT_TIMESTAMP with startingTimestamp), startAfter, resumeAt, maxRecordsPerBatch."""
+    """Options: startingPosition (TRIM_HORIZON, LATEST, or AT_TIMESTAMP with startingTimestamp), startAt, resumeAt, maxRecordsPerBatch."""
 
     def __init__(self, options: dict):
         super().__init__(options)

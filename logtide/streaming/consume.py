@@ -6,11 +6,15 @@ import json
 import time
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from logtide.operators import checkpoints
 from logtide.operators.aggregation import deaggregate
+from logtide.operators.strategies import Coordinator
+from logtide.scratch import Scratch
 from logtide.settings import Backoff, CheckpointSettings, PollingSettings
 from logtide.sources import shardlog
 
@@ -169,6 +173,45 @@ def consume_records(spark: SparkSession, path: str, process: Callable[[Row], Non
     return drain(spark, path, batch, checkpoint_dir, PollingSettings(batch_size=settings.batch_size, retry=polling.retry), **more)
 
 
+def work(spark: SparkSession, path: str, coordinator: Coordinator, process: Callable[[DataFrame], None], now: datetime, polling: PollingSettings = PollingSettings()) -> int:
+    """One cycle of a worker that shares a log with others; returns how many records it has processed.
+
+    It takes its share of the shards that may be read, processes at most ``polling.batch_size`` records of each after its
+    checkpoint, and stores the new checkpoints with the leases; a lease lost meanwhile stays as its new owner has it, who
+    reads those records again. A shard that has ended and is read to its end is checkpointed as such, which lets its
+    children begin.
+    """
+    folder = shardlog.Folder(qualified(spark, path))
+    shards = folder.shards()
+    listed = spark.createDataFrame([(k, s["parents"]) for k, s in shards.items()], "shard_id string, parent_shard_ids array<string>")
+    held = coordinator.take(listed, now)
+    coordinator.renew(now)
+    end = folder.end()
+    table = coordinator.repository.leases().where(F.col("lease_key").isin(*held, "")).collect()  # a row for each shard
+    for r in table:
+        if r.special == "LATEST":
+            coordinator.checkpoint(r.lease_key, seq=end, now=now)
+    known = [(r.lease_key, None, end, None) if r.special == "LATEST" else (r.lease_key, r.special, r.seq, r.sub_seq) for r in table if r.lease_key in coordinator.held and r.special != "SHARD_END"]
+    if not known:
+        return 0
+    starts = spark.createDataFrame(known, "shard_id string, special string, seq string, sub_seq bigint")
+    records = read_log(spark, path, shardIds=",".join(k for k, *_ in known), startAt=json.dumps({k: seq for k, _, seq, _ in known if seq}))
+    after = checkpoints.resume(records, starts)
+    position = F.struct("sequence_number", F.coalesce("sub_sequence_number", F.lit(0).cast("bigint")).alias("sub"))
+    polled = checkpoints.numbered(after, "shard_id", ["sequence_number", "sub_sequence_number"], "__nr").where(F.col("__nr") <= polling.batch_size).drop("__nr")
+    scratch = Scratch(spark, "poll")
+    batch = scratch.cut(polled, "records")
+    process(batch)
+    read = {r.shard_id: r for r in batch.groupBy("shard_id").agg(F.max(position).alias("last"), F.count("*").alias("n")).collect()}  # a row for each shard
+    for shard, r in sorted(read.items()):
+        coordinator.checkpoint(shard, seq=r.last.sequence_number, sub_seq=r.last.sub, now=now)
+    for shard, *_ in known:
+        if shards[shard]["ended"] and (shard not in read or read[shard].n < polling.batch_size):
+            coordinator.checkpoint(shard, special="SHARD_END", release=True, now=now)
+    scratch.drop("records")
+    return sum(r.n for r in read.values())
+
+
 def produce(records: DataFrame, path: str, shards: int = 1) -> None:
     spark = records.sparkSession
     shardlog.register(spark)

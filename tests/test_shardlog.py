@@ -2,10 +2,12 @@ import hashlib
 import json
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from logtide.operators.strategies import Coordinator, LeaseTable
 from logtide.settings import Backoff, CheckpointSettings, PollingSettings
 from logtide.sources import shardlog
 from logtide.streaming import consume, staging
@@ -111,7 +113,7 @@ def test_starting_positions(spark, tmp_path):
     of = lambda **options: sorted(bytes(r.data).decode() for r in consume.read_log(spark, path, **options).collect())
     assert of(startingPosition="AT_TIMESTAMP", startingTimestamp="1970-01-01T00:00:07+00:00") == ["msg7", "msg8", "msg9"]
     first = consume.read_log(spark, path).orderBy("sequence_number").collect()
-    assert len(of(startAfter=json.dumps({"shard-000": first[3].sequence_number}))) == 6
+    assert len(of(startAt=json.dumps({"shard-000": first[3].sequence_number}))) == 7
     with pytest.raises(Exception, match="startingPosition"):
         of(startingPosition="SOMEWHERE")
     seen = []
@@ -139,6 +141,36 @@ def test_records_one_by_one(spark, tmp_path):
     assert sum(len((out / s).read_text().split()) for s in got) == 120
 
 
+def test_workers_share_a_log_until_its_end(spark, tmp_path):
+    path, seen = str(tmp_path / "log"), []
+    table = LeaseTable(spark, str(tmp_path / "leases"))
+    consume.produce(records(spark, 0, 40), path, 2)
+    shardlog.split(path, "shard-000")
+    consume.produce(records(spark, 40, 40), path)
+    events: list[tuple] = []
+    one, two = (Coordinator(table, w, emit=lambda e, w=w: events.append((w, e["event_type"], e.get("shard_id")))) for w in ("w1", "w2"))
+    now = datetime(2024, 1, 1)
+
+    def process(worker):
+        return lambda batch: seen.extend((worker, r.shard_id, bytes(r.data).decode()) for r in batch.collect())
+
+    for cycle in range(5):
+        for worker, name in ((one, "w1"), (two, "w2")):
+            now += timedelta(seconds=1)
+            consume.work(spark, path, worker, process(name), now, PollingSettings(batch_size=25))
+    assert sorted(x[2] for x in seen) == sorted(f"msg{i}" for i in range(80))  # each record once, by whatever worker
+    assert {w for w, _, _ in seen} == {"w1", "w2"}
+    last = max(i for i, x in enumerate(seen) if x[1] == "shard-000")
+    assert all(i > last for i, x in enumerate(seen) if x[1] in ("shard-002", "shard-003"))
+    assert [k for _, k, s in events if s == "shard-000" and k == "ShardEnded"] == ["ShardEnded"]
+    # a worker that stops gives up its leases; another one goes on where it has been
+    one.release()
+    consume.produce(records(spark, 80, 10), path)
+    now += timedelta(seconds=1)
+    consume.work(spark, path, two, process("w2"), now, PollingSettings(batch_size=100))
+    assert sorted(x[2] for x in seen) == sorted(f"msg{i}" for i in range(90)) and set(two.held) == {"shard-001", "shard-002", "shard-003"}
+
+
 def test_streamed_staging_equals_batch(spark, tmp_path):
     rows = [("a", 1, "stage", 5), ("a", 2, "checkpoint", None), ("b", 3, "end", None), ("b", 4, "release", None), ("a", 5, "seen", 6), ("a", 6, "stage", 6), ("a", 7, "end", None), ("a", 8, "release", None)]
     schema = "shard_id string, event_id long, kind string, position long"

@@ -2,7 +2,7 @@
 
 A record's fingerprint is a hash of its sorted nested field paths. It selects a declarative mapping that says where turns,
 roles and texts stand, so that prompt, instruction and message layouts all become canonical turns (conversation, position,
-role, text). The fingerprint of a table of typed columns is taken from its schema; records in JSON text have one each.
+role, text). A record with further fields has the fingerprint of the fields that a mapping names, the largest that fits. The fingerprint of a table of typed columns is taken from its schema; records in JSON text have one each.
 
 The template writes each turn as ``<|im_start|>role\\ntext<|im_end|>\\n``. A control string inside a text gets a backslash
 after its first character, one more for each that stands there already, which undoing takes off again: the marks of a
@@ -123,11 +123,39 @@ def _list_paths(fields: tuple[str, ...]) -> set[str]:
 REGISTRY = {fingerprint({""} | {f".{f}" for f in _list_paths(m.fields)}): m for m in MAPPINGS}
 
 
+def restricted(record: dict, mapping: Mapping) -> dict | None:
+    """The part of a record that a mapping speaks of; None if some of it is missing."""
+    names = dict.fromkeys(f.split(".")[0].removesuffix("[]") for f in mapping.fields)
+    if not names.keys() <= record.keys():
+        return None
+    body = {n: record[n] for n in names}
+    if not mapping.turns:
+        return body
+    turns = body[mapping.turns]
+    if not isinstance(turns, list) or not all(isinstance(e, dict) and {mapping.role, mapping.text} <= e.keys() for e in turns):
+        return None
+    # an empty list says nothing of its elements
+    return {mapping.turns: [{k: e[k] for k in (mapping.role, mapping.text)} for e in turns] or [{mapping.role: None, mapping.text: None}]}
+
+
+def mapping_of(record: dict) -> Mapping | None:
+    """The mapping of a record's fingerprint; else the one of most fields whose fingerprint the record has without its other fields."""
+    exact = REGISTRY.get(fingerprint(json_paths(record)))
+    if exact is not None:
+        return exact
+    parts = [(m, restricted(record, m)) for m in MAPPINGS]
+    fitting = [m for m, part in parts if part is not None and REGISTRY.get(fingerprint(json_paths(part))) is m]
+    return max(fitting, key=lambda m: (len(m.fields), m.name), default=None)
+
+
 def record_turns(record: dict, ignore: frozenset[str]) -> list[tuple[str, str]] | None:
-    """Canonical (role, text) turns of a record, or None for a layout that is not registered."""
+    """Canonical (role, text) turns of a record, or None for a layout that is not registered.
+
+    Fields that no mapping names are set aside; an empty list of turns gives no turns.
+    """
     body = {k: v for k, v in record.items() if k not in ignore}
-    mapping = REGISTRY.get(fingerprint(json_paths(body)))
-    if mapping is None:
+    mapping = mapping_of(body)
+    if mapping is None or mapping.name == "turn rows":
         return None
     if mapping.turns:
         return [(ROLES.get(r, r), t) for e in body[mapping.turns] for r, t in [(str(e[mapping.role] or ""), str(e[mapping.text] or ""))]]

@@ -6,6 +6,7 @@ import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +97,58 @@ def test_classifier_on_odd_inputs(spark):
     assert kept.columns == docs.columns
 
 
+def plain_statistics(text):
+    """The statistics of one text, straight from their names."""
+    raw = text.encode()
+    n = max(len(raw), 1)
+    kinds = {
+        "upper": lambda c: 65 <= c <= 90, "lower": lambda c: 97 <= c <= 122, "digit": lambda c: 48 <= c <= 57, "blank": lambda c: c in (9, 32), "newline": lambda c: c == 10, "stop": lambda c: c in b".?",
+        "comma": lambda c: c in b",;:", "shout": lambda c: c == 33, "symbol": lambda c: c in b"#$%&*@^~+=_", "bar": lambda c: c in b"|<>{}[]\\/", "quote": lambda c: c in b"\"'()-", "control": lambda c: c < 32 and c not in (9, 10) or c == 127, "wide": lambda c: c >= 128,
+    }
+    out = [sum(map(k, raw)) / n for k in kinds.values()]
+    words, lines = re.findall(rb"[^\x20\x09-\x0D]+", raw), re.findall(rb"[^\n]+", raw)
+    low = lambda xs: [x.lower() for x in xs]
+    w, k = max(len(words), 1), max(len(lines), 1)
+    sizes = [len(x) for x in words]
+    mean = sum(sizes) / w
+    odd = [sum(kinds["symbol"](c) or kinds["shout"](c) or kinds["bar"](c) for c in x) for x in words]
+    out += [np.log1p(len(raw)), np.log1p(len(words)), mean, np.sqrt(max(sum(x * x for x in sizes) / w - mean**2, 0)), max(sizes, default=0), len(set(low(words))) / w, max(Counter(low(words)).values(), default=0) / w]
+    out += [sum(65 <= x[0] <= 90 for x in words) / w, sum(x > 0 for x in odd) / w, np.log1p(len(lines)), np.log1p(sum(map(len, lines)) / k), len(set(low(lines))) / k, max(Counter(low(lines)).values(), default=0) / k, sum(x > 1 for x in odd) / w]
+    return out
+
+
+def test_statistics_against_plain_ones():
+    texts = [t for t in odd_texts() if t is not None] + ["Hello, WORLD! a_b\nhello, world! a_b\n\n  x=1 {y} \x07 é\t$$", "A\nb\nA\n" * 9]
+    got = quality.statistics(*text_arrays(pa.array(texts)))
+    for text, row in zip(texts, got):
+        assert np.allclose(row, plain_statistics(text)), (text[:60], dict(zip(quality.NAMES, zip(row, plain_statistics(text)))))
+
+
+def test_boosting_lowers_the_loss_round_by_round():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 5))
+    y = (x[:, 0] * x[:, 1] + 0.3 * rng.normal(size=400) > 0).astype(float)
+    loss = lambda m: -np.mean(y * np.log(m.score(x)) + (1 - y) * np.log(1 - m.score(x)))
+    losses = [loss(quality.fit(x, y, trees=k)) for k in (1, 3, 9, 27)]
+    assert losses == sorted(losses, reverse=True) and losses[-1] < 0.3 < losses[0]
+    # the first split of a single feature is the best one that bins allow
+    one = quality.fit(np.arange(100.0)[:, None], (np.arange(100) >= 40).astype(float), trees=1, depth=1)
+    assert 38 <= one.threshold[one.roots[0]] < 41  # bins are 100 / 64 wide
+
+
+def test_documents_without_an_id_are_not_held_out(spark, tmp_path):
+    spark.createDataFrame([(None, "a b"), (1, "c d")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(None, 1, 0), (None, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    out = {r.doc_id: (r.held_out, r.score) for r in quality.op2_quality(spark, str(tmp_path)).collect()}
+    assert out == {None: (False, 0.5), 1: (zlib.crc32(b"1") % 3 == 1, 0.5)}
+
+
+def test_documents_that_share_an_id_bound_what_is_learned(spark):
+    docs = spark.createDataFrame([(i % 6, f"text {i}") for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(6)], "doc_id long, quality int, toxic int")
+    assert quality.train(docs, labels).base == quality.train(docs.limit(300), labels, rows=50).base
+
+
 def test_trees_equal_a_plain_traversal():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(600, 4))
@@ -236,6 +289,25 @@ def test_secrets_against_plain_patterns(spark, sf_dir):
         assert r.text == (want + t[at:] if spans[r.doc_id] else t)
 
 
+def test_markov_spans_against_a_plain_model(spark):
+    rng = random.Random(12)
+    samples = secret_scan.labelled_samples(seed=5, count=500)
+    ratios = secret_scan.train(samples)
+    pool = [s for s, _ in secret_scan.labelled_samples(seed=6, count=300)] + ["AKIA" + "Q" * 20, "deadbeef" * 4, "token=abcdef123"]
+    texts = [" ".join(rng.choice(pool) + rng.choice(["", ".", "é"]) for _ in range(rng.randint(1, 6))) for _ in range(200)]
+    out = {r.row.doc_id: r.spans for r in secret_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), samples).collect()}
+    for i, text in enumerate(texts):
+        base = [(s["start"], s["end"]) for s in out[i] if s["kind"] != "markov"]
+        covered = {k for a, b in base for k in range(a, b)}
+        want = []
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+            if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and not covered >= set(range(*m.span())):
+                c = [0, 0, *(secret_scan.ALPHABET.index(x) + 1 for x in m[0])]
+                if sum(float(ratios[c[k], c[k + 1], c[k + 2]]) for k in range(len(m[0]))) / len(m[0]) > secret_scan.RATIO:
+                    want.append(m.span())
+        assert [(s["start"], s["end"]) for s in out[i] if s["kind"] == "markov"] == want
+
+
 # strings that the generator of samples has not made
 ORDINARY = """
 zwischenspeicherverwaltung-2024 benutzerkontoverwaltung_v2_prod 550e8400-e29b-41d4-a716-446655440000 spring-boot-starter-data-jpa-3 org/apache/commons/lang3/StringUtils

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -46,6 +47,11 @@ class Scratch:
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def settle(self) -> None:
+        """Let Spark delete the shuffle files of plans that are done; it does so when the driver collects its garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, name: str) -> None:
         """Delete a table that no later plan reads."""
         path, files = self._at(f"{self.root}/{name}")

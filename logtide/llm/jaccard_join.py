@@ -528,6 +528,7 @@ def classes_of(docs: DataFrame, split: int = SPLIT) -> DataFrame:
     postings = documents.agg(F.sum(F.expr(f"n * {100 - PERCENT} div 100 + {LONGEST + 1}"))).first()[0] or 0
     count = bucket_count(postings, parts)
     lists = scratch.cut(find_lists(deal(find_postings(texts, frequent, moved, count), parts), frequent, count), "lists")
+    scratch.settle()
 
     # the texts of members that share a token with another one
     def members(batches):
@@ -537,17 +538,20 @@ def classes_of(docs: DataFrame, split: int = SPLIT) -> DataFrame:
     active = deal(lists.where(F.col("kind") == ACTIVE), parts).mapInArrow(members, "set bigint")
     rows = documents.where("n > 0").groupBy("set").agg(F.min(F.struct("row", "row2")).alias("r")).join(active, "set").select("set", "r.row", "r.row2")
     known = scratch.cut(texts.select("row", "row2", "text").join(rows, ["row", "row2"]).groupBy("set").agg(F.first("text").alias("text")), "texts")
+    scratch.settle()
     links: DataFrame | None = None
     classes: DataFrame | None = None
     for n, last in enumerate((False, False, True)):
         pairs = propose(place(lists, classes, frequent, parts, count, last), last, parts, count)
         new = scratch.cut(verify(pairs, known), f"links-{n}")
+        scratch.settle()
         if new.isEmpty():
             continue
         links = new if links is None else links.unionByName(new)
         classes = components(links, scratch, f"classes-{n}")
     for name in ("lists", "texts"):
         scratch.drop(name)
+    scratch.settle()
     if classes is None:
         labelled = documents.withColumn("class", F.col("set"))
     else:
@@ -572,6 +576,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "keep-one")
     found = scratch.cut(classes_of(docs).where("class is not null").select("row", "row2", "doc_id", "class"), "classes")
+    scratch.settle()
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row", "row2"))
     key = ["\x00row", "\x00row2"]
     # rows of one key: their number tells whether any has to be told from another

@@ -469,11 +469,14 @@ def dedup(docs: DataFrame, parts: int | None = None, hot: int = HOT) -> DataFram
     hottest = spark.sparkContext.broadcast(hot_anchors(held, parts, hot))  # at most MOST
     found = scratch.cut(match_classes(deal(spread(held, hottest, count), parts), hottest, count), "classes")
     scratch.drop("atoms")
+    scratch.settle()
     cut = meet(found, REQUESTS, texts, parts, count, REQUEST, cut_out(count), TEXTS)
     if len(hottest.value):
         cut = scratch.cut(cut, "requested")
+        scratch.settle()
     several = cut.where(F.col("kind") == REQUESTS).drop("kind", "part", "payload").repartition(parts, "g").sortWithinPartitions("g")
     more = scratch.cut(compare_texts(several, count), "suffixes")
+    scratch.settle()
     if len(hottest.value):
         windows = cut.where(F.col("kind") == ATOMS).select("kind", "part", "payload")
         more = more.unionByName(scratch.cut(match_classes(deal(windows, parts), hottest, count, ask=False), "windows"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logtide.functions.keys import BYTES_PER_RECORD, BYTES_PER_REQUEST, CHECKSUM_BYTES, RECORDS_PER_REQUEST
-from logtide.scratch import shared_root
+from logtide.scratch import gone_at_exit, shared_root
 
 
 def fold_sorted(df: DataFrame, key: str, order: list[str], fields: str, step: Callable) -> DataFrame:
@@ -51,6 +51,7 @@ def fold_sorted(df: DataFrame, key: str, order: list[str], fields: str, step: Ca
 def ranged(df: DataFrame, order: list[str]) -> DataFrame:
     """The rows sorted by ranges of the order, as partitions that stay the same however often they are read."""
     shared_root(df.sparkSession)
+    gone_at_exit(df.sparkSession, df.sparkSession.sparkContext.getCheckpointDir())  # this application's own folder
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartitionByRange(parts, *order).sortWithinPartitions(*order).checkpoint()
 

@@ -25,6 +25,14 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def gone_at_exit(spark: SparkSession, folder: str) -> None:
+    """Delete a folder when the application ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+
+
 class Scratch:
     """Writes tables that cut lineage, so that a lost executor costs a re-read and not a re-run of the whole plan.
 
@@ -34,13 +42,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-        path, files = self._at(self.root)
-        files.mkdirs(path)
-        files.deleteOnExit(path)
-
-    def _at(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        gone_at_exit(spark, self.root)
 
     def cut(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -54,5 +56,5 @@ class Scratch:
 
     def drop(self, name: str) -> None:
         """Delete a table that no later plan reads."""
-        path, files = self._at(f"{self.root}/{name}")
-        files.delete(path, True)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -33,6 +33,10 @@ def gone_at_exit(spark: SparkSession, folder: str) -> None:
     files.deleteOnExit(path)
 
 
+#: Rows of a small table's file.
+FILE_ROWS = 200_000
+
+
 class Scratch:
     """Writes tables that cut lineage, so that a lost executor costs a re-read and not a re-run of the whole plan.
 
@@ -44,8 +48,11 @@ class Scratch:
         self.root = f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
         gone_at_exit(spark, self.root)
 
-    def cut(self, df: DataFrame, name: str) -> DataFrame:
+    def cut(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """Write a table and read it back; ``rows``: how many there are at most, where that is known, so that a small table is few files."""
         path = f"{self.root}/{name}"
+        if rows is not None:
+            df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from logtide.llm.blocks import Lanes, U, blocks, flags, lowered, mix, range_digests, ranges, same_bytes, text_arrays, word_spans
 from logtide.llm.components import components
 from logtide.llm.packed import PACKED, Outbox, bucket_count, buckets, deal, records, unpack
+from logtide.llm.samples import most_frequent
 from logtide.scratch import Scratch
 
 WORDS = 5
@@ -511,7 +512,7 @@ def classes_of(docs: DataFrame, split: int = SPLIT) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = row_keys(docs).select(F.col("\x00row").alias("row"), F.col("\x00row2").alias("row2"), F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     told = scratch.cut(describe(texts), "described")
-    top = told.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(MOST).toArrow()  # at most MOST
+    top = most_frequent(scratch.cut(told.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")), "frequent"), "n", MOST).toArrow()  # at most MOST
     shared = spark.sparkContext.broadcast
     frequent = shared(Frequent(top.column("key").to_numpy().view(U), top.column("n").to_numpy(), split))  # at most MOST tokens
     # first halves of digests that different digests share: squares of the members over 2 ** 65, some dozens at 10 ** 10

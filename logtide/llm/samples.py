@@ -1,4 +1,4 @@
-"""Bounded samples for fitting: chosen by hashes of the rows, so that they do not depend on partitioning."""
+"""Bounded samples and lists of what is most frequent, without sending more than them to one task."""
 
 from __future__ import annotations
 
@@ -17,3 +17,15 @@ def bounded(df: DataFrame, rows: int, *key: str | Column) -> DataFrame:
     if n > 4 * rows:
         df = df.where(F.pmod(hashed, F.lit(1 << 40)) < int((1 << 40) * 2 * rows / n))
     return df.orderBy(F.pmod(hashed, F.lit(1 << 40)), *key).limit(rows)
+
+
+def most_frequent(counted: DataFrame, count: str, rows: int) -> DataFrame:
+    """The rows with the largest counts, at most ``rows``: all down to some count, by eighths of powers of two."""
+    step = F.floor(F.log2(F.col(count).cast("double")) * 8)
+    left, least = rows, None
+    for r in counted.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():  # some hundred rows
+        left -= r["count"]
+        if left < 0:
+            break
+        least = r.step
+    return counted.where(step >= least) if least is not None else counted.where(F.lit(False))

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from logtide.llm.blocks import INVERSE, U, blocks, mix, powers, prefix_hashes, ranges, strings, text_arrays
 from logtide.llm.decontamination import unions
 from logtide.llm.packed import PACKED, Outbox, bucket_count, buckets, deal, records, unpack
+from logtide.llm.samples import most_frequent
 from logtide.scratch import Scratch
 
 WIDTH = 200
@@ -147,8 +148,8 @@ def find_atoms(texts: DataFrame, count: int) -> DataFrame:
     return texts.mapInArrow(run, PACKED)
 
 
-def hot_anchors(found: DataFrame, parts: int, hot: int) -> np.ndarray:
-    """Anchors with more than ``hot`` atoms, the MOST frequent ones."""
+def hot_anchors(found: DataFrame, parts: int, hot: int, scratch: Scratch) -> np.ndarray:
+    """Anchors with more than ``hot`` atoms, the most frequent ones, at most MOST."""
 
     def run(batches):
         for rows in buckets(batches):
@@ -157,8 +158,8 @@ def hot_anchors(found: DataFrame, parts: int, hot: int) -> np.ndarray:
             n = np.bincount(back, c["n"], len(g)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(g[n > hot].view(np.int64)), pa.array(n[n > hot])], ["g", "n"])
 
-    counted = deal(found.where(F.col("kind") == COUNTS), parts).mapInArrow(run, "g bigint, n bigint")
-    return np.sort(counted.orderBy(F.desc("n"), "g").limit(MOST).toArrow().column("g").to_numpy().view(U))  # at most MOST
+    counted = scratch.cut(deal(found.where(F.col("kind") == COUNTS), parts).mapInArrow(run, "g bigint, n bigint"), "hot")
+    return np.sort(most_frequent(counted, "n", MOST).toArrow().column("g").to_numpy().view(U))  # at most MOST
 
 
 def spread(found: DataFrame, hot, count: int) -> DataFrame:
@@ -466,7 +467,7 @@ def dedup(docs: DataFrame, parts: int | None = None, hot: int = HOT) -> DataFram
     count = bucket_count(size // 50, parts)
 
     held = scratch.cut(find_atoms(texts.select("row", "row2", "text"), count), "atoms")
-    hottest = spark.sparkContext.broadcast(hot_anchors(held, parts, hot))  # at most MOST
+    hottest = spark.sparkContext.broadcast(hot_anchors(held, parts, hot, scratch))  # at most MOST
     found = scratch.cut(match_classes(deal(spread(held, hottest, count), parts), hottest, count), "classes")
     scratch.drop("atoms")
     scratch.settle()

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from logtide.llm import chat_format, jaccard_join, nearest, substring_dedup, url_filters
+from logtide.llm import chat_format, jaccard_join, nearest, samples, substring_dedup, url_filters
 
 from .common import WORD, complements, documents, lower, odd_texts, words
 
@@ -175,6 +175,20 @@ def test_jaccard_join_against_all_pairs(spark):
     assert got == classes(ids, texts)
 
 
+def test_most_frequent(spark):
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate([1000, 900, 500, 40, 40, 40, 3, 1, 1])], "key int, n long")
+    got = lambda k: sorted(r.key for r in samples.most_frequent(rows, "n", k).collect())
+    assert got(3) == [0, 1, 2] and got(5) == [0, 1, 2] and got(6) == [0, 1, 2, 3, 4, 5] and got(99) == list(range(9)) and got(0) == []
+    assert samples.most_frequent(rows.limit(0), "n", 5).count() == 0
+
+
+def test_bounded_samples(spark):
+    rows = spark.range(5000).select(F.col("id").alias("key"))
+    some = [r.key for r in samples.bounded(rows, 100, "key").collect()]
+    assert len(some) == 100 and some == [r.key for r in samples.bounded(rows.repartition(7), 100, "key").collect()]
+    assert samples.bounded(rows.limit(30), 100, "key").count() == 30
+
+
 def test_lists_in_parts(spark):
     texts = near_copies(6) + [f"{'the same passage of some ten words in each of them'} {words(random.Random(i), 4)}" for i in range(60)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -259,6 +273,18 @@ def test_layouts_become_turns(spark):
     for r in chat_format.from_json(spark.createDataFrame(rows, "conv_id long, record string"), "conv_id", "record").collect():
         out[r.conv_id].append((r.role, r.text))
     assert all(out[i] == want for i, (_, want) in enumerate(LAYOUTS))
+    more = [
+        ({"messages": [{"role": "user", "content": "a", "name": "x"}, {"role": "assistant", "content": "b"}], "model": "m", "tags": ["t"]}, [("user", "a"), ("assistant", "b")]),
+        ({"messages": [], "source": "s"}, []),
+        ({"instruction": "x", "input": "z", "output": "y", "score": 3, "meta": {"a": 1}}, [("user", "x\n\nz"), ("assistant", "y")]),
+        ({"prompt": "x", "response": "y", "completion": "z"}, [("user", "x"), ("assistant", "y")]),
+        ({"messages": [{"role": "user"}]}, None),
+        ({"messages": "text", "prompt": "p"}, None),
+    ]
+    for record, want in more:
+        assert chat_format.record_turns(record, frozenset(["id"])) == want, record
+    counts = chat_format.from_json(spark.createDataFrame([(i, json.dumps(r)) for i, (r, _) in enumerate(more)], "conv_id long, record string"), "conv_id", "record").groupBy(F.col("role").isNull().alias("odd")).count().collect()
+    assert {r.odd: r["count"] for r in counts} == {True: 2, False: 6}
     assert out[90] == [(None, "not json")] and out[91] == [(None, None)] and out[92] == [(None, '{"what": 1}')]
     typed = spark.createDataFrame([(1, "p", "r", 5)], "conv_id long, prompt string, response string, other int")
     assert [(r.role, r.text) for r in chat_format.canonical_turns(typed).orderBy("turn").collect()] == [("user", "p"), ("assistant", "r")]

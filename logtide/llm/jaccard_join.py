@@ -538,7 +538,9 @@ def classes_of(docs: DataFrame, split: int = SPLIT) -> DataFrame:
 
     active = deal(lists.where(F.col("kind") == ACTIVE), parts).mapInArrow(members, "set bigint")
     rows = documents.where("n > 0").groupBy("set").agg(F.min(F.struct("row", "row2")).alias("r")).join(active, "set").select("set", "r.row", "r.row2")
-    known = scratch.cut(texts.select("row", "row2", "text").join(rows, ["row", "row2"]).groupBy("set").agg(F.first("text").alias("text")), "texts")
+    # rows that recur are told by the key that the join has dealt them by
+    found = texts.select("row", "row2", "text").join(rows, ["row", "row2"]).groupBy("row", "row2").agg(F.first("set").alias("set"), F.first("text").alias("text"))
+    known = scratch.cut(found.select("set", "text"), "texts")
     scratch.settle()
     links: DataFrame | None = None
     classes: DataFrame | None = None

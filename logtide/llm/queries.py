@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from logtide.llm import chat_format, decontamination, jaccard_join, nearest, quality, secret_scan, sentencepiece_codec, sharding, substring_dedup, url_filters
+from logtide.llm import chat_format, decontamination, jaccard_join, merkle, nearest, quality, secret_scan, sentencepiece_codec, sharding, substring_dedup, url_filters
 
 QUERIES = {
     f.__name__: f
@@ -19,6 +19,7 @@ QUERIES = {
         secret_scan.op8_secrets,
         chat_format.op9_chat_format,
         substring_dedup.op10_substring_dedup,
+        merkle.op11_merkle_manifest,
     )
 }
 
@@ -39,6 +40,20 @@ def fits_sql(rule: str) -> str:
 
 
 RULES = sorted(url_filters.RULES, key=lambda r: -len(r[0]))
+def crc32_sql(ascii_text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, bit by bit."""
+    bits = "list_reduce(list_prepend(xor(c, b), range(8)), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({ascii_text}, ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: {bits}), 4294967295)"
+
+
+def field_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
+
+
+def row_sql(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(field_sql, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
 CONTROLLED = f"'{chat_format.START}' || " + escaped_sql("replace(replace(role, '%', '%25'), chr(10), '%0A')") + " || chr(10) || " + escaped_sql("text") + f" || '{chat_format.END}' || chr(10)"
 
 ORACLES: dict[str, str] = {
@@ -82,6 +97,23 @@ n AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(rang
 i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN i USING (doc_id)
+""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, lang, doc_id, {row_sql('n_chars')} AS leaf, CASE WHEN {crc32_sql('CAST(doc_id AS VARCHAR)')} % 7 = 0 AND n_chars IS NOT NULL THEN {row_sql('(n_chars + 1)')} END AS forged FROM documents),
+l AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM d),
+t(g, lvl, i, n, x) AS (SELECT g, 0, i, n, leaf FROM l UNION ALL SELECT g, lvl + 1, i // 2, (n + 1) // 2, sha256(string_agg(x, '' ORDER BY i)) FROM t WHERE n > 1 GROUP BY g, lvl, i // 2, n),
+tree AS MATERIALIZED (SELECT * FROM t),
+roots AS MATERIALIZED (SELECT g, lvl AS height, x AS subroot FROM tree WHERE n = 1),
+u(lvl, i, n, x) AS (SELECT 0, g, count(*) OVER (), subroot FROM roots UNION ALL SELECT lvl + 1, i // 2, (n + 1) // 2, sha256(string_agg(x, '' ORDER BY i)) FROM u WHERE n > 1 GROUP BY lvl, i // 2, n),
+over AS MATERIALIZED (SELECT * FROM u),
+steps AS MATERIALIZED (
+  SELECT r, a.lvl AS k, (l.i >> a.lvl) % 2 AS right_side, b.x FROM l JOIN (SELECT DISTINCT g, lvl, n FROM tree WHERE n > 1) a USING (g) LEFT JOIN tree b ON b.g = l.g AND b.lvl = a.lvl AND b.i = xor(l.i >> a.lvl, 1)
+  UNION ALL SELECT r, height + a.lvl, (l.g >> a.lvl) % 2, b.x FROM l JOIN roots USING (g) JOIN (SELECT DISTINCT lvl, n FROM over WHERE n > 1) a ON true LEFT JOIN over b ON b.lvl = a.lvl AND b.i = xor(l.g >> a.lvl, 1)),
+f(r, k, x) AS (SELECT r, CAST(0 AS BIGINT), coalesce(forged, leaf) FROM l UNION ALL SELECT f.r, f.k + 1, sha256(CASE WHEN s.right_side = 1 THEN coalesce(s.x, '') || f.x ELSE f.x || coalesce(s.x, '') END) FROM f JOIN steps s ON s.r = f.r AND s.k = f.k),
+e AS (SELECT r, max_by(x, k) AS folded_root FROM f GROUP BY r),
+p AS (SELECT r, sha256(string_agg(coalesce(x, ''), '' ORDER BY k)) AS proof_sha256 FROM steps GROUP BY r)
+SELECT doc_id, leaf, subroot, o.x AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = o.x AS verified
+FROM l JOIN roots USING (g) JOIN e USING (r) LEFT JOIN p USING (r), (SELECT x FROM over WHERE n = 1) o
 """,
     "op7_jaccard_join": rf"""
 WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -115,6 +115,21 @@ e AS (SELECT r, max_by(x, k) AS folded_root FROM f GROUP BY r),
 p AS (SELECT r, sha256(string_agg(coalesce(x, ''), '' ORDER BY k)) AS proof_sha256 FROM steps GROUP BY r)
 SELECT doc_id, leaf, subroot, o.x AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = o.x AS verified
 FROM l JOIN roots USING (g) JOIN e USING (r) LEFT JOIN p USING (r), (SELECT x FROM over WHERE n = 1) o
+""",
+    "op13_spelling_variants": rf"""
+WITH RECURSIVE crc AS MATERIALIZED (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t),
+runs AS MATERIALIZED (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents) GROUP BY ALL),
+bytes AS (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs),
+sums AS MATERIALIZED (SELECT run, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(len(x) // 2), lambda i: CAST('0x' || x[2 * i + 1 : 2 * i + 2] AS BIGINT))), lambda c, b: xor(t[1 + (xor(c, b) & 255)], c >> 8)), 4294967295) AS h FROM bytes, crc),
+words AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE WHEN h % {spelling.SLIPS} = 0 THEN run[: h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, n FROM sums) WHERE length(word) >= {spelling.LENGTH} GROUP BY word HAVING sum(n) >= {spelling.COUNT}),
+less AS MATERIALIZED (SELECT word, n, i, word[: i] || word[i + 2 :] AS rest FROM (SELECT *, unnest(range(length(word))) AS i FROM words)),
+longer AS MATERIALIZED (SELECT DISTINCT l.word AS long, l.n AS long_n, w.word AS short, w.n AS short_n FROM less l JOIN words w ON w.word = l.rest),
+near AS MATERIALIZED (SELECT long AS word, short AS other, short_n AS other_n FROM longer UNION ALL SELECT short, long, long_n FROM longer
+  UNION ALL SELECT a.word, b.word, b.n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+forms AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= {spelling.RATIO} * w.n THEN other END AS form, CASE WHEN other_n >= {spelling.RATIO} * w.n THEN other_n END AS form_n FROM words w LEFT JOIN best USING (word)),
+ways(word, reached, k) AS (SELECT word, word, 0 FROM forms UNION ALL SELECT w.word, f.form, k + 1 FROM ways w JOIN forms f ON f.word = w.reached WHERE f.form IS NOT NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN (SELECT word, max_by(reached, k) AS root FROM ways GROUP BY word) USING (word)
 """,
     "op7_jaccard_join": rf"""
 WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),

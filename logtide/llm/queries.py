@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from logtide.llm import chat_format, decontamination, jaccard_join, merkle, nearest, quality, secret_scan, sentencepiece_codec, sharding, spelling, substring_dedup, url_filters
+from logtide.llm import chat_format, decontamination, jaccard_join, lm_scoring, merkle, nearest, quality, secret_scan, sentencepiece_codec, sharding, spelling, substring_dedup, url_filters
 
 QUERIES = {
     f.__name__: f
@@ -20,6 +20,7 @@ QUERIES = {
         chat_format.op9_chat_format,
         substring_dedup.op10_substring_dedup,
         merkle.op11_merkle_manifest,
+        lm_scoring.op12_lm_scores,
         spelling.op13_spelling_variants,
     )
 }

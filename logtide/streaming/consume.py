@@ -8,12 +8,15 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from logtide.operators import checkpoints
 from logtide.operators.aggregation import deaggregate
 from logtide.operators.strategies import Coordinator
+from logtide.operators.routing import predict_shards
+from logtide.schema import RECORD
 from logtide.scratch import Scratch
 from logtide.settings import Backoff, CheckpointSettings, PollingSettings
 from logtide.sources import shardlog
@@ -27,10 +30,26 @@ def qualified(spark: SparkSession, path: str) -> str:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
 
 
-def read_log(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """All committed records, aggregated ones unpacked."""
+#: Columns that unpacking makes and needs.
+UNPACKED = ("data", "partition_key", "explicit_hash_key", "sub_sequence_number", "aggregated")
+
+
+def read_log(spark: SparkSession, path: str, where: Column | str | None = None, columns: Iterable[str] | None = None, unpack: bool = True, **options: str) -> DataFrame:
+    """All committed records, aggregated ones unpacked.
+
+    where: a condition on stored records; comparisons of shard_id, sequence_number and approximate_arrival_timestamp choose the
+    files that are opened. columns: the only ones that are read (besides those of unpacking); a condition's are among them.
+    """
     shardlog.register(spark)
-    return deaggregate(spark.read.format("shardlog").options(**options).load(qualified(spark, path)))
+    reader = spark.read.format("shardlog").options(**options)
+    if columns is not None:
+        columns = list(columns)
+        reader = reader.schema(StructType([f for f in RECORD if f.name in columns or unpack and f.name in UNPACKED]))
+    records = reader.load(qualified(spark, path))
+    if where is not None:
+        records = records.where(where)
+    records = deaggregate(records) if unpack else records
+    return records if columns is None else records.select(*columns)
 
 
 def read_log_from(spark: SparkSession, path: str, position: str, timestamp: str | None = None) -> DataFrame:
@@ -106,18 +125,19 @@ def drain(spark: SparkSession, path: str, process: Callable[[DataFrame, int], No
             continue
         failures = 0
         now = reached(spark, checkpoint_dir)
-        commits = folder.commits()
-        behind = sum(f["rows"] for c in commits[now["commits"] :] for f in c["files"]) - now["rows"] if now else 0
+        first = (at or {"commits": 0})["commits"]
+        commits = folder.commits(first)
+        behind = sum(f["rows"] for c in commits[now["commits"] - first :] for f in c["files"]) - now["rows"] if now else 0
         for x in seen:
             emit({"event_type": "PollComplete", "shard_id": x["shard_id"], "nr_records": x["nr_records"], "behind_records": behind, "duration_ms": round(1000 * (time.time() - began))})
             emit({"event_type": "Checkpoint", "shard_id": x["shard_id"], "checkpoint": x["checkpoint"]})
         if now == at or now is None:
             break
         polls += 1
-        for c in commits[(at or {"commits": 0})["commits"] : now["commits"]]:
+        for c in commits[: now["commits"] - first]:
             for s in c.get("reshard", {"end": []})["end"]:
                 emit({"event_type": "ShardEnded", "shard_id": s})
-        if now["commits"] >= len(commits):
+        if now["commits"] >= first + len(commits):
             break
     emit({"event_type": "WorkerLeft", "worker_id": checkpoint_dir})
     return polls
@@ -213,8 +233,14 @@ def work(spark: SparkSession, path: str, coordinator: Coordinator, process: Call
 
 
 def produce(records: DataFrame, path: str, shards: int = 1) -> None:
+    """Append records, each to the open shard of its key's hash unless it names one (shard_id)."""
     spark = records.sparkSession
     shardlog.register(spark)
+    if "shard_id" not in records.columns:
+        ends = shardlog.Folder(qualified(spark, path)).open_shards(shards)
+        edges = [0, *(hi + 1 for hi, _ in ends)]
+        ranges = spark.createDataFrame([(s, f"{lo:032x}", f"{hi:032x}") for lo, (hi, s) in zip(edges, ends)], "shard_id string, lo string, hi string")
+        records = predict_shards(records, ranges, into="shard_id")
     records.write.format("shardlog").option("shards", str(shards)).mode("append").save(qualified(spark, path))
 
 

@@ -2,10 +2,11 @@ import hashlib
 import json
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo, GreaterThan, GreaterThanOrEqual, In, LessThanOrEqual
 
 from logtide.operators.strategies import Coordinator, LeaseTable
 from logtide.settings import Backoff, CheckpointSettings, PollingSettings
@@ -182,3 +183,103 @@ def test_streamed_staging_equals_batch(spark, tmp_path):
     stream = staging.stream_checkpoints(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
     stream.writeStream.format("memory").queryName(name).option("checkpointLocation", str(tmp_path / "s")).trigger(availableNow=True).start().awaitTermination()
     assert {tuple(r) for r in spark.table(name).collect()} == want
+
+
+def many_commits(path, commits, files=1, rows=10):
+    log = shardlog.Folder(path)
+    log.open_shards(2)
+    for n in range(commits):
+        log.commit([{"shard": f"shard-{k % 2:03d}", "file": f"shard-{k % 2:03d}/{n}-{k}", "task": k, "rows": rows, "first": 1000 * n, "last": 1000 * n + 999} for k in range(files)], f"sink-{n}")
+    return log
+
+
+def test_a_log_opens_by_its_snapshot_and_tail(tmp_path):
+    many_commits(str(tmp_path), 1000)
+    again = shardlog.Folder(str(tmp_path))
+    assert again.refresh() == 1001 and again.reads <= 1 + shardlog.SNAPSHOT
+    assert len(again.names("_snapshots", ".parquet")) == 2
+    assert [len(c["files"]) for c in again.commits(998)] == [1, 1, 1] and again.files(5, 7).column("commit").to_pylist() == [5, 6, 7]
+    assert set(again.shards()) == {"shard-000", "shard-001"} and len(again.reshards()) == 1
+    # batches that are there are known without reading the commits that made them
+    assert again.commit([], "sink-3") and again.commit([], "sink-999") and again.refresh() == 1001
+    assert again.commit([], "sink-1000") and again.refresh() == 1002
+    whole = shardlog.BatchReader({"path": str(tmp_path)}).partitions()
+    assert len(whole) == 1000 and [p.commit for p in whole] == list(range(1, 1001))
+
+
+def test_reshards_survive_snapshots(tmp_path, monkeypatch):
+    monkeypatch.setattr(shardlog, "SNAPSHOT", 4)
+    log = many_commits(str(tmp_path), 6)
+    assert shardlog.split(str(tmp_path), "shard-000") == ["shard-002", "shard-003"]
+    for n in range(9):
+        log.commit([{"shard": "shard-002", "file": f"shard-002/x{n}", "task": 0, "rows": 1, "first": 0, "last": 0}], f"other-{n}")
+    again = shardlog.Folder(str(tmp_path))
+    shards = again.shards()
+    assert again.reads <= 5 and shards["shard-000"]["ended"] and not shards["shard-003"]["ended"] and shards["shard-003"]["parents"] == ["shard-000"]
+    assert [n for n, _ in again.reshards()] == [0, 7] and [i for i, c in enumerate(again.commits()) if "reshard" in c] == [0, 7]
+    assert shardlog.merge(str(tmp_path), "shard-003", "shard-001") == ["shard-004"]
+
+
+def planned(path, **options):
+    return [p for p in shardlog.BatchReader({"path": path, **options}).partitions() if p.file]
+
+
+def test_only_files_that_can_match_are_planned(tmp_path):
+    path = str(tmp_path)
+    many_commits(path, 100, files=4)
+    at = lambda commit, row=0: str(commit * 10**24 + row).zfill(40)
+    assert len(planned(path)) == 400
+    late = planned(path, startat=json.dumps({"shard-000": at(100), "shard-001": at(100)}), shardids="shard-000,shard-001")
+    assert len(late) == 4 and {p.commit for p in late} == {100}
+    assert {p.commit for p in planned(path, startat=json.dumps({"shard-000": at(100)}), shardids="shard-000")} == {100}
+    since = datetime(1970, 1, 1) + timedelta(microseconds=98_500)
+    assert {p.commit for p in planned(path, startingposition="AT_TIMESTAMP", startingtimestamp=since.isoformat())} == {99, 100}
+    reader = shardlog.BatchReader({"path": path})
+    rest = list(reader.pushFilters([GreaterThan(("sequence_number",), at(50, 3)), LessThanOrEqual(("sequence_number",), at(51, 2)), EqualTo(("shard_id",), "shard-000"), EqualTo(("partition_key",), "k")]))
+    assert [f.attribute for f in rest] == [("partition_key",)]
+    # task 0 of commit 50 from its fifth row, task 2 whole, and three rows of commit 51
+    assert [(p.commit, p.task, p.first, p.last) for p in reader.partitions()] == [(50, 0, 4, 10), (50, 2, 0, 10), (51, 0, 0, 3)]
+    reader = shardlog.BatchReader({"path": path})
+    assert len(list(reader.pushFilters([GreaterThanOrEqual(("approximate_arrival_timestamp",), datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=97_000))]))) == 1
+    assert {p.commit for p in reader.partitions()} == {98, 99, 100}
+    reader = shardlog.BatchReader({"path": path})
+    assert list(reader.pushFilters([In(("shard_id",), ("shard-001", "none")), EqualTo(("shard_id",), "shard-000")])) == [] and reader.partitions() == [shardlog.NOTHING]
+
+
+def test_pushed_filters_give_what_plain_ones_give(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for n in range(5):
+        stamped = records(spark, 20 * n, 20).withColumn("approximate_arrival_timestamp", F.timestamp_micros(F.regexp_extract(F.col("data").cast("string"), "[0-9]+", 0).cast("bigint") * 1_000_000))
+        consume.produce(stamped, path, 2)
+    whole = consume.read_log(spark, path).collect()
+    middle = sorted(r.sequence_number for r in whole)[50]
+    instant = sorted(r.approximate_arrival_timestamp for r in whole)[70]
+    key = lambda rows: sorted((r.shard_id, r.sequence_number) for r in rows)
+    got = consume.read_log(spark, path, F.col("sequence_number") > middle).collect()
+    assert key(got) == key(r for r in whole if r.sequence_number > middle) and got
+    got = consume.read_log(spark, path, (F.col("approximate_arrival_timestamp") >= F.lit(instant)) & (F.col("shard_id") == "shard-001")).collect()
+    assert key(got) == key(r for r in whole if r.approximate_arrival_timestamp >= instant and r.shard_id == "shard-001") and got
+    few = consume.read_log(spark, path, columns=["shard_id", "sequence_number"], unpack=False)
+    assert few.columns == ["shard_id", "sequence_number"] and key(few.collect()) == key(whole)
+    assert key(consume.read_log(spark, path, F.col("sequence_number") <= middle, columns=["shard_id", "sequence_number", "data"]).collect()) == key(r for r in whole if r.sequence_number <= middle)
+    assert consume.read_log(spark, path, "shard_id in ('shard-000', 'x')").count() == sum(r.shard_id == "shard-000" for r in whole)
+
+
+def test_parts_skip_row_groups(spark, tmp_path):
+    path = str(tmp_path / "log")
+    consume.produce(records(spark, 0, 50).coalesce(1), path)
+    (whole,) = planned(path)
+    reader = shardlog.BatchReader({"path": path}, ["sequence_number", "data"])
+    some = shardlog.Part(whole.file, whole.shard, whole.commit, whole.task, 7, 9)
+    (batch,) = list(reader.read(some))
+    assert batch.schema.names == ["sequence_number", "data"] and [int(x) % 10**12 for x in batch.column("sequence_number").to_pylist()] == [7, 8]
+
+
+def test_files_of_failed_writers_go(spark, tmp_path):
+    path = str(tmp_path / "log")
+    consume.produce(records(spark, 0, 20), path, 2)
+    lost = tmp_path / "log" / "shard-001" / "000000-lost.parquet"
+    lost.write_bytes(b"x")
+    assert shardlog.vacuum(path) == [] and lost.exists()  # it may be of a writer that is still at work
+    assert shardlog.vacuum(path, 0) == ["shard-001/000000-lost.parquet"] and not lost.exists()
+    assert consume.read_log(spark, path).count() == 20

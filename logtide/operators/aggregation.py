@@ -4,20 +4,16 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logtide.functions.keys import CHECKSUM_BYTES, MAGIC, is_aggregated
+from logtide.functions.wire import CorruptRecord, Decoded, encoded
 
 _MAGIC = bytes.fromhex(MAGIC)
-#: Explicit hash key that fills the table of an aggregated record; no entry points to it.
-FILLER = "0"
-
-
-class CorruptRecord(ValueError):
-    """The magic number is there, the checksum or message is wrong."""
 
 
 def varint(n: int) -> bytes:
@@ -78,23 +74,35 @@ def decode(data: bytes) -> tuple[list[str], list[str], list[tuple[int, int | Non
     if data[: len(_MAGIC)] != _MAGIC or len(data) < len(_MAGIC) + CHECKSUM_BYTES or hashlib.md5(message).digest() != data[-CHECKSUM_BYTES:]:
         raise CorruptRecord("checksum")
     keys, hash_keys, entries = [], [], []
+
+    def of(value, kind):
+        if not isinstance(value, kind):
+            raise CorruptRecord("wire type")
+        return value
+
+    def text(value) -> str:
+        try:
+            return of(value, bytes).decode()
+        except UnicodeDecodeError:
+            raise CorruptRecord("a key that is no text") from None
+
     for number, value in _fields(message):
         if number == 1:
-            keys.append(value.decode())
+            keys.append(text(value))
         elif number == 2:
-            hash_keys.append(value.decode())
+            hash_keys.append(text(value))
         elif number == 3:
             key, hashed, body, tags = None, None, b"", []
-            for n, v in _fields(value):
+            for n, v in _fields(of(value, bytes)):
                 if n == 1:
-                    key = v
+                    key = of(v, int)
                 elif n == 2:
-                    hashed = v
+                    hashed = of(v, int)
                 elif n == 3:
-                    body = v
+                    body = of(v, bytes)
                 elif n == 4:
-                    tag = dict(_fields(v))
-                    tags.append((tag[1].decode(), tag[2].decode() if 2 in tag else None))
+                    tag = dict(_fields(of(v, bytes)))
+                    tags.append((text(tag.get(1)), text(tag[2]) if 2 in tag else None))
             if key is None or key >= len(keys) or hashed is not None and hashed >= len(hash_keys):
                 raise CorruptRecord("an entry without a key")
             entries.append((key, hashed, body, tags))
@@ -104,15 +112,9 @@ def decode(data: bytes) -> tuple[list[str], list[str], list[tuple[int, int | Non
 @F.arrow_udf(T.BinaryType())
 def encode_entries(entries: pa.Array) -> pa.Array:
     """Column function: an array of (partition_key, data), in order, to an aggregated record; keys stand once for each entry's first use."""
-    flat = entries.flatten()
-    keys, data = flat.field(0).to_pylist(), flat.field(1).to_pylist()
-    out, at = [], 0
-    for n in entries.value_lengths().to_pylist():
-        table: dict[str, int] = {}
-        packed = [(table.setdefault(k, len(table)), b) for k, b in zip(keys[at : at + n], data[at : at + n])]
-        out.append(encode(list(table), packed, [FILLER] * len(packed)))
-        at += n
-    return pa.array(out, pa.binary())
+    lengths = entries.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    each = entries.flatten()
+    return encoded(lengths, each.field(0).cast(pa.string()), each.field(1))
 
 
 def aggregate(batched: DataFrame, shard: str, order: str, timestamp: str | None = None) -> DataFrame:
@@ -140,26 +142,25 @@ def deaggregate(records: DataFrame, on_corrupt: str = "fail") -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            rows, out = [], []
-            data, keys = batch.column("data").to_pylist(), batch.column("partition_key").to_pylist()
-            hash_keys = batch.column("explicit_hash_key").to_pylist() if "explicit_hash_key" in batch.schema.names else [None] * batch.num_rows
-            for i, value in enumerate(data):
-                if value is not None and value[:4] == _MAGIC:
-                    try:
-                        table, hashed, entries = decode(value)
-                    except CorruptRecord:
-                        if on_corrupt == "fail":
-                            raise
-                    else:
-                        rows += [i] * len(entries)
-                        out += [(body, table[k], hashed[h] if h is not None else None, n, True) for n, (k, h, body, _) in enumerate(entries)]
-                        continue
-                rows.append(i)
-                out.append((value, keys[i], hash_keys[i], None, False))
-            columns = list(zip(*out)) if out else [[]] * 5
-            kinds = (pa.binary(), pa.string(), pa.string(), pa.int64(), pa.bool_())
-            same = batch.select(kept).take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*same.columns, *(pa.array(c, k) for c, k in zip(columns, kinds))], names=schema.fieldNames())
+            found = Decoded(batch.column("data"))
+            if on_corrupt == "fail" and found.corrupt.any():
+                raise CorruptRecord("checksum or message of a record")
+            plain = np.flatnonzero(~found.marked | found.corrupt)
+            rows = np.concatenate([found.row, plain])
+            order = np.argsort(rows, kind="stable")  # entries of a record stand in order already
+            at = pa.array(order)
+
+            def joined(entries: pa.Array, others: pa.Array) -> pa.Array:
+                return pa.concat_arrays([entries, others.take(pa.array(plain))]).take(at)
+
+            hashes = found.hashes.take(pa.array(np.where(found.hash < 0, 0, found.hash), mask=found.hash < 0)) if len(found.hashes) else pa.nulls(len(found.row), pa.string())
+            given = batch.column("explicit_hash_key").cast(pa.string()) if "explicit_hash_key" in batch.schema.names else pa.nulls(batch.num_rows, pa.string())
+            columns = [
+                joined(found.body, batch.column("data").cast(pa.binary())), joined(found.keys.take(pa.array(found.key)), batch.column("partition_key").cast(pa.string())), joined(hashes, given),
+                joined(pa.array(found.place), pa.nulls(batch.num_rows, pa.int64())), pa.array(order < len(found.row)),
+            ]
+            same = batch.select(kept).take(pa.array(rows[order]))
+            yield pa.RecordBatch.from_arrays([*same.columns, *columns], names=schema.fieldNames())
 
     return records.mapInArrow(run, schema)
 

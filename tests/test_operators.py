@@ -1,10 +1,13 @@
+import hashlib
 import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from logtide.functions import wire
 from logtide.operators import aggregation, assignment, batching, checkpoints, leases, metrics, produce, routing, throttle
 from logtide.settings import ProducerSettings
 from logtide.streaming.staging import Checkpointer
@@ -134,6 +137,60 @@ def test_codec_agrees_with_protobuf():
     assert parsed.records[0].data == b"x" * 200 and not parsed.records[0].HasField("h")
 
 
+def plain_rows(values):
+    """What ``Decoded`` should find, by the codec of single records."""
+    rows, corrupt = [], []
+    for i, v in enumerate(values):
+        if v is None or v[:4].hex() != "f3899ac2":
+            continue
+        try:
+            keys, hashed, entries = aggregation.decode(v)
+        except aggregation.CorruptRecord:
+            corrupt.append(i)
+            continue
+        rows += [(i, n, keys[k], hashed[h] if h is not None else None, b) for n, (k, h, b, _) in enumerate(entries)]
+    return rows, corrupt
+
+
+def decoded_rows(values):
+    d = wire.Decoded(pa.array(values, pa.binary()))
+    keys, hashes = d.keys.to_pylist(), d.hashes.to_pylist()
+    return [(int(r), int(n), keys[k], hashes[h] if h >= 0 else None, b) for r, n, k, h, b in zip(d.row, d.place, d.key, d.hash, d.body.to_pylist())], np.flatnonzero(d.corrupt).tolist()
+
+
+def sealed(message):
+    return bytes.fromhex("f3899ac2") + message + hashlib.md5(message).digest()
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_many_records_decode_as_single_ones(seed):
+    rng = random.Random(seed)
+    values = [None, b"", b"\xf3\x89", b"plain", sealed(b""), sealed(b"\x0a"), sealed(b"\x1a\x02\x08\x00"), sealed(b"\x0a\x01a\x1a\x02\x08\x05"), sealed(b"\x0a\x01a\x1a\x03\x08\x00\x1a"), sealed(b"\x0d1234"), sealed(b"\x80" * 12), sealed(b"\x08\x01"), sealed(b"\x0a\xff\xff\xff\xff\xff\xff\xff\xff\x7f")]
+    for _ in range(40):
+        keys = [rng.choice("abé漢") * rng.randint(0, 40) + str(i) for i in range(rng.randint(1, 30))]
+        entries = [(rng.randrange(len(keys)), rng.randbytes(rng.choice([0, 1, 5, 127, 128, 300, 20_000 if rng.random() < 0.02 else 9]))) for _ in range(rng.choice([0, 1, 3, 700]))]
+        hashed = ["0", "77"]
+        v = aggregation.encode(keys, entries, hashed, [rng.choice([None, 0, 1]) for _ in entries])
+        if rng.random() < 0.2:  # damage below an intact checksum
+            m = bytearray(v[4:-16])
+            m[rng.randrange(len(m))] ^= 1 << rng.randrange(8)
+            v = sealed(bytes(m))
+        values.append(v if rng.random() < 0.95 else v[:-1] + b"?")
+    rng.shuffle(values)
+    want = plain_rows(values)
+    assert decoded_rows(values) == want and len(want[0]) > 1000
+
+
+def test_many_records_encode_as_single_ones():
+    rng = random.Random(8)
+    lists = [[(rng.choice(["k", "ké", "x" * 200, "", str(rng.random())]), rng.randbytes(rng.choice([0, 1, 60, 127, 128, 17_000]))) for _ in range(rng.choice([0, 1, 2, 200]))] for _ in range(50)]
+    got = wire.encoded(np.array([len(x) for x in lists]), pa.array([k for x in lists for k, _ in x], pa.string()), pa.array([b for x in lists for _, b in x], pa.binary())).to_pylist()
+    for entries, value in zip(lists, got):
+        table = {}
+        packed = [(table.setdefault(k, len(table)), b) for k, b in entries]
+        assert value == aggregation.encode(list(table), packed, ["0"] * len(packed))
+
+
 def test_corrupt_records_fail_or_pass(spark):
     good = aggregation.encode(["a"], [(0, b"1"), (0, b"2")])
     rows = spark.createDataFrame([("x", good, "p", None), ("x", good[:-1] + b"!", "p", None), ("x", b"plain", "p", None), ("x", None, "p", None)], "shard_id string, data binary, partition_key string, explicit_hash_key string")

@@ -209,36 +209,11 @@ def aggregate_batches(df: DataFrame, key: str, order: list[str], size: str, max_
 
 
 def locked_segments(df: DataFrame, shard: str, key: str, order: list[str], max_records: int) -> DataFrame:
-    """Adds ``segment``: a checkpoint lies between two records of one key, or after max_records of them."""
-
-    def step(state, rows):
-        number, seen = state or (0, set())
-        codes = rows.column(key).dictionary_encode(null_encoding="encode")
-        values, ids = codes.dictionary.to_pylist(), codes.indices.to_numpy()
-        # the row before with the same key; a segment ends before a row whose forerunner is in it
-        order = np.argsort(ids, kind="stable")
-        before = np.full(len(ids), -1)
-        same = ids[order][1:] == ids[order][:-1]
-        before[order[1:][same]] = order[:-1][same]
-        latest = np.maximum.accumulate(before)
-        out = np.empty(len(ids), np.int64)
-        start, i, held = 0, 0, len(seen)  # rows of the segment that stand in earlier batches come first
-        carried = np.isin(ids, [n for n, v in enumerate(values) if v in seen]) if seen else None
-        while i < len(ids):
-            end = min(len(ids), i + max_records - held)
-            if carried is not None:
-                met = np.flatnonzero(carried[i:end])
-                end = i + int(met[0]) if len(met) else end
-            end = min(end, int(np.searchsorted(latest, i, side="left")))
-            out[i:end] = number
-            if end < len(ids):
-                number, held, carried, seen = number + 1, 0, None, set()
-                start = end
-            i = end
-        seen = seen | {values[n] for n in ids[start:].tolist()}
-        return (number, seen), [pa.array(out)]
-
-    return fold_sorted(df, shard, order, "segment bigint", step)
+    """Adds ``segment``: a checkpoint lies between two records of one key, or after max_records of them. A shard may lie in many tasks."""
+    from logtide.operators import scans
+
+    placed = scans.previous(scans.numbered(df, shard, order, "__position"), [shard, key], "__position", "__before")
+    return scans.segments(placed, shard, "__position", "__before", max_records).drop("__position", "__before")
 
 
 def batch_summary(df: DataFrame, key: str | None, size: str, order: str) -> DataFrame:

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logtide.operators.batching import fold_sorted
+from logtide.operators import scans
 
 #: Error rate that the producer allows before it slows down.
 ALLOWED_ERROR = 0.05
@@ -16,19 +14,21 @@ ALLOWED_ERROR = 0.05
 def throughput_factors(counts: DataFrame, shard: str = "shard_id", allowed_error: float = ALLOWED_ERROR) -> DataFrame:
     """Adds the factor after each period: r <- min(1, r * s + allowed), s the period's share of successes (1 without any attempt).
 
-    counts: (shard, period, successes, failures). The recurrence folds along a shard's periods as they stream by.
+    counts: (shard, period, successes, failures). Such maps compose, so that a shard's periods may lie in many tasks.
     """
+    tried = F.col("successes") + F.col("failures")
+    shares = counts.select(shard, "period", F.when(tried > 0, F.col("successes") / tried).otherwise(1.0).alias("__share"))
+    return scans.bounded_affine(shares, shard, ["period"], "__share", allowed_error, 1.0, "factor").select(shard, "period", "factor")
 
-    def step(factor, rows):
-        factor = 1.0 if factor is None else factor
-        good, bad = (rows.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("successes", "failures"))
-        share = np.divide(good, good + bad, out=np.ones(len(good)), where=good + bad > 0)
-        out = np.empty(len(share))
-        for i, s in enumerate(share.tolist()):
-            factor = out[i] = min(1.0, factor * s + allowed_error)
-        return factor, [pa.array(out)]
 
-    return fold_sorted(counts.select(shard, "period", "successes", "failures"), shard, ["period"], "factor double", step).select(shard, "period", "factor")
+def release_times(requests: DataFrame, shard: str, order: list[str], arrival: str, size: str, records: tuple[float, float], held: tuple[float, float]) -> DataFrame:
+    """Adds ``release_time`` (seconds): when each request leaves its shard's token buckets, one of records and one of bytes.
+
+    arrival: seconds, not falling along the order. records, held: (units a second, units that may leave at once). Idle time fills
+    the buckets, up to what they hold.
+    """
+    counted = requests.withColumn("__one", F.lit(1))
+    return scans.token_bucket(counted, shard, order, arrival, {"__one": records, size: held}, "release_time").drop("__one")
 
 
 def release_seconds(requests: DataFrame, shard: str, order: list[str], size: str, max_records: int, max_bytes: int, factors: DataFrame | None = None) -> DataFrame:

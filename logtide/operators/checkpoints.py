@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logtide.functions.positions import after_checkpoint
+from logtide.operators import scans
 
 
 def resume(records: DataFrame, checkpoints: DataFrame) -> DataFrame:
@@ -28,6 +29,18 @@ def batched(records: DataFrame, shard: str, position: str, every: int) -> DataFr
     return records.groupBy(shard, group).agg(F.max(position).alias("last_position"), F.count("*").alias("records"))
 
 
+def batched_or_timed(records: DataFrame, shard: str, order: list[str], time: str, every: int, interval: float) -> DataFrame:
+    """Adds ``checkpoint_nr``: a checkpoint comes after ``every`` records of a shard, or before a record that arrives ``interval`` seconds or more after the first one that it is to cover.
+
+    time: seconds, not falling along the order. Where the interval cuts follows, for each record, from the last one that is
+    so much older, which a merge of the shard's times with themselves finds; a shard may lie in many tasks.
+    """
+    placed = scans.numbered(records, shard, order, "__position").withColumn("__limit", F.col(time) - F.lit(interval))
+    older = placed.groupBy(shard, F.col(time).alias("__limit")).agg(F.max("__position").alias("__before"))
+    with_older = scans.asof(placed, older, [shard], "__limit", ["__before"]).withColumn("__before", F.coalesce("__before", F.lit(-1).cast("bigint")))
+    return scans.segments(with_older, shard, "__position", "__before", every).withColumnRenamed("segment", "checkpoint_nr").drop("__position", "__limit", "__before")
+
+
 def numbered(records: DataFrame, shard: str, order: list[str], into: str = "position") -> DataFrame:
     """Adds the number of each record in its shard, from 1."""
     return records.withColumn(into, F.row_number().over(Window.partitionBy(shard).orderBy(*order)).cast("bigint"))

@@ -18,6 +18,34 @@ def merge_histograms(parts: DataFrame, keys: list[str], value: str) -> DataFrame
     return parts.groupBy(*keys, value).agg(F.sum("n").cast("bigint").alias("n"))
 
 
+def bucket(value: Column, digits: int) -> Column:
+    """The least value that has the same ``digits`` significant digits, nearly: values of equal leading bits fall together.
+
+    Buckets are linear within each power of two, as many as 10**digits needs, so that a bucket's width is less than its value
+    divided by 10**digits; there are at most 64 times as many buckets, whatever the values (whole numbers, not negative).
+    """
+    bits = (10**digits).bit_length() + 1
+    shift = F.greatest(F.length(F.bin(value)) - bits, F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", value, shift), shift)
+
+
+def digit_histogram(df: DataFrame, keys: list[str], value: str, digits: int = 3, weight: str | None = None) -> DataFrame:
+    """Occurrences of each bucket of values: bounded in size, and merged by adding counts (``merge_histograms``)."""
+    bucketed = df.withColumn("bucket", bucket(F.col(value).cast("bigint"), digits))
+    return histogram(bucketed, keys, "bucket", weight)
+
+
+def histogram_quantiles(parts: DataFrame, keys: list[str], quantiles: dict[str, float], value: str = "bucket") -> DataFrame:
+    """For each of the keys the number of occurrences, and the bucket at which a share of them has been seen."""
+    pairs = parts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(value, "n"))).alias("__pairs"), F.sum("n").cast("bigint").alias("n"))  # buckets are bounded
+
+    def at(share: float) -> Column:
+        seen = F.aggregate("__pairs", F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("bigint").alias("at")), lambda acc, x: F.struct((acc["seen"] + x["n"]).alias("seen"), F.when(acc["at"].isNull() & (acc["seen"] + x["n"] >= F.ceil(F.col("n") * F.lit(share))), x[value]).otherwise(acc["at"]).alias("at")))
+        return seen["at"]
+
+    return pairs.select(*keys, "n", *(at(share).alias(name) for name, share in quantiles.items()))
+
+
 #: Sums of a metrics row, and what they are made of.
 SUMS = {
     "published": "published", "failures": "failed", "calls": "1", "latency_sum": "if(published > 0, latency_ms * published, 0)", "second_attempts": "if(published > 0 and attempts = 2, published, 0)",

@@ -21,14 +21,15 @@ def throughput_factors(counts: DataFrame, shard: str = "shard_id", allowed_error
     return scans.bounded_affine(shares, shard, ["period"], "__share", allowed_error, 1.0, "factor").select(shard, "period", "factor")
 
 
-def release_times(requests: DataFrame, shard: str, order: list[str], arrival: str, size: str, records: tuple[float, float], held: tuple[float, float]) -> DataFrame:
+def release_times(requests: DataFrame, shard: str, order: list[str], arrival: str, size: str, records: tuple[float, float] | None, held: tuple[float, float] | None) -> DataFrame:
     """Adds ``release_time`` (seconds): when each request leaves its shard's token buckets, one of records and one of bytes.
 
-    arrival: seconds, not falling along the order. records, held: (units a second, units that may leave at once). Idle time fills
-    the buckets, up to what they hold.
+    arrival: seconds, not falling along the order. records, held: (units a second, units that may leave at once), None: no such
+    bucket. Idle time fills the buckets, up to what they hold.
     """
     counted = requests.withColumn("__one", F.lit(1))
-    return scans.token_bucket(counted, shard, order, arrival, {"__one": records, size: held}, "release_time").drop("__one")
+    costs = {name: rate for name, rate in (("__one", records), (size, held)) if rate}
+    return scans.token_bucket(counted, shard, order, arrival, costs, "release_time").drop("__one")
 
 
 def release_seconds(requests: DataFrame, shard: str, order: list[str], size: str, max_records: int, max_bytes: int, factors: DataFrame | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from logtide.plans.relations import SHARDED_SQL, SHARDS, sharded, stream, table
 from logtide.scratch import shared_root
 from logtide.settings import PollingSettings
 from logtide.sources import shardlog
-from logtide.streaming import consume, staging
+from logtide.streaming import consume, once, staging
 
 
 def _written(spark, sf_dir) -> str:
@@ -158,6 +158,19 @@ def checkpoint_batched(spark, sf_dir):
     return checkpoints.batched(sharded(spark, sf_dir), "shard_id", "position", 200)
 
 
+@query(f"""
+WITH RECURSIVE r AS MATERIALIZED (SELECT shard_id, row_number() OVER (PARTITION BY shard_id ORDER BY ts, event_id) AS rn, epoch(ts) AS came FROM ({SHARDED_SQL})),
+c AS MATERIALIZED (SELECT shard_id, rn, came, least(rn + 40, rn + count(*) OVER (PARTITION BY shard_id ORDER BY came RANGE BETWEEN CURRENT ROW AND CAST(3599.9999995 AS DOUBLE) FOLLOWING) - (rn - min(rn) OVER (PARTITION BY shard_id, came))) AS nxt FROM r),
+hops(shard_id, nr, st) AS (SELECT DISTINCT shard_id, CAST(0 AS BIGINT), CAST(1 AS BIGINT) FROM r UNION ALL SELECT h.shard_id, h.nr + 1, c.nxt FROM hops h JOIN c ON c.shard_id = h.shard_id AND c.rn = h.st JOIN c f ON f.shard_id = h.shard_id AND f.rn = c.nxt)
+SELECT h.shard_id, h.nr AS checkpoint_nr, c.nxt - h.st AS records, CAST(floor(f.came) AS BIGINT) AS first_second FROM hops h JOIN c ON c.shard_id = h.shard_id AND c.rn = h.st JOIN r f ON f.shard_id = h.shard_id AND f.rn = h.st
+""")
+def checkpoint_batched_or_timed(spark, sf_dir):
+    """A checkpoint for 40 records, or before a record that comes an hour or more after the first one that it would cover."""
+    rows = sharded(spark, sf_dir).select("shard_id", "event_id", (F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).alias("at"))
+    out = checkpoints.batched_or_timed(rows, "shard_id", ["at", "event_id"], "at", 40, 3600.0)
+    return out.groupBy("shard_id", "checkpoint_nr").agg(F.count("*").alias("records"), F.floor(F.min("at")).cast("bigint").alias("first_second"))
+
+
 @query(f"SELECT shard_id, lpad(CAST(max(position) AS VARCHAR), 40, '0') AS seq, CAST(0 AS BIGINT) AS sub_seq, count(*) AS records FROM ({SHARDED_SQL}) GROUP BY shard_id")
 def last_checkpoint_per_shard(spark, sf_dir):
     """The last position of each shard."""
@@ -236,6 +249,20 @@ def dedupe_redelivery(spark, sf_dir):
     return checkpoints.without_redelivery(twice).select("shard_id", "position", "partition_key")
 
 
+@query(f"SELECT shard_id, position, partition_key FROM ({SHARDED_SQL})")
+def dedupe_redelivery_stream(spark, sf_dir):
+    """A stream of which two fifths come again after a restart, once each: the state is a position for each shard."""
+    work = f"{shared_root(spark)}/once-{uuid.uuid4().hex}"
+    records = sharded(spark, sf_dir).select("shard_id", "position", "partition_key", positions.padded(F.col("position")).alias("sequence_number"), F.lit(None).cast("bigint").alias("sub_sequence_number"))
+    total = records.groupBy("shard_id").agg(F.max("position").alias("total"))
+    placed = records.join(F.broadcast(total), "shard_id")  # a row for each shard
+    for part in (F.col("position") <= 0.7 * F.col("total"), F.col("position") > 0.3 * F.col("total")):
+        placed.where(part).drop("total").write.mode("append").parquet(f"{work}/in")
+        out = once.deliver_once(spark.readStream.schema(records.schema).parquet(f"{work}/in"))
+        out.writeStream.format("parquet").option("path", f"{work}/out").option("checkpointLocation", f"{work}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(records.schema).parquet(f"{work}/out").select("shard_id", "position", "partition_key")
+
+
 CHILD_SQL = "CASE WHEN {half} THEN CASE WHEN h < '80000000000000000000000000000000' THEN 'shard-000' ELSE 'shard-001' END WHEN h < '40000000000000000000000000000000' THEN 'shard-002' WHEN h < '80000000000000000000000000000000' THEN 'shard-003' ELSE 'shard-001' END"
 
 

@@ -49,6 +49,44 @@ def shard_prediction_errors(spark, sf_dir):
     return wrong.groupBy("predicted_shard", "actual_shard").agg(F.count("*").alias("records"))
 
 
+MAPS = {"1992-01-01": 2, "1994-06-01": 3, "1996-09-01": 7}
+MAPS_SQL = " UNION ALL ".join(f"SELECT DATE '{day}' AS valid_from, 'm{n}-' || s AS shard_id, lo, hi FROM (VALUES {values_sql(n)}) v(s, lo, hi)" for day, n in MAPS.items())
+UNTIL_SQL = "SELECT *, coalesce((SELECT min(valid_from) FROM maps x WHERE x.valid_from > m.valid_from), DATE '9999-01-01') AS valid_to FROM maps m"
+
+
+def _maps(spark):
+    rows = [(day, f"m{n}-{s}", lo, hi) for day, n in MAPS.items() for s, lo, hi in routing.uniform_ranges(n)]
+    return spark.createDataFrame(rows, "valid_from string, shard_id string, lo string, hi string").withColumn("valid_from", F.col("valid_from").cast("date"))
+
+
+def _shipped(spark, sf_dir):
+    day = F.col("l_shipdate").cast("date")
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("partition_key"), "l_linenumber", day.alias("day"), F.date_sub(day, 90).alias("known"))
+
+
+@query(f"""
+WITH maps AS ({MAPS_SQL}), v AS ({UNTIL_SQL})
+SELECT shard_id, count(*) AS records, count(DISTINCT l_orderkey) AS keys, CAST(min(CAST(l_shipdate AS DATE)) AS VARCHAR) AS first_day, CAST(max(CAST(l_shipdate AS DATE)) AS VARCHAR) AS last_day
+FROM lineitem LEFT JOIN v ON CAST(l_shipdate AS DATE) >= valid_from AND CAST(l_shipdate AS DATE) < valid_to AND md5(CAST(l_orderkey AS VARCHAR)) BETWEEN lo AND hi GROUP BY shard_id
+""")
+def route_by_map_of_the_time(spark, sf_dir):
+    """Records routed through three successive shard maps, each by the one that was valid when it was sent."""
+    routed = routing.route_at(_shipped(spark, sf_dir), _maps(spark), "day", into="shard_id")
+    return routed.groupBy("shard_id").agg(F.count("*").alias("records"), F.countDistinct("partition_key").alias("keys"), F.min("day").cast("string").alias("first_day"), F.max("day").cast("string").alias("last_day"))
+
+
+@query(f"""
+WITH maps AS ({MAPS_SQL}), v AS ({UNTIL_SQL}), l AS (SELECT md5(CAST(l_orderkey AS VARCHAR)) AS h, CAST(l_shipdate AS DATE) AS day, CAST(l_shipdate AS DATE) - 90 AS known FROM lineitem)
+SELECT p.shard_id AS predicted_shard, a.shard_id AS actual_shard, count(*) AS records
+FROM l LEFT JOIN v p ON l.known >= p.valid_from AND l.known < p.valid_to AND h BETWEEN p.lo AND p.hi LEFT JOIN v a ON l.day >= a.valid_from AND l.day < a.valid_to AND h BETWEEN a.lo AND a.hi
+WHERE p.shard_id IS DISTINCT FROM a.shard_id GROUP BY ALL
+""")
+def stale_map_errors(spark, sf_dir):
+    """Records sent by the map of ninety days before, where that is another shard than the right one."""
+    wrong = routing.stale_predictions(_shipped(spark, sf_dir), _maps(spark), "day", "known")
+    return wrong.groupBy("predicted_shard", "actual_shard").agg(F.count("*").alias("records"))
+
+
 @query(f"""
 SELECT position, CAST(strlen(partition_key) + strlen(data) AS BIGINT) AS entry_bytes, CAST(strlen(partition_key) + strlen(data) + 8 AS BIGINT) AS aggregated_bytes FROM ({PRODUCED_SQL})
 """)
@@ -220,6 +258,20 @@ def throttle_shape(spark, sf_dir):
     return throttle.release_seconds(sized, "shard_id", ["position"], "size", 100, 5_000).select("shard_id", "position", "release_second")
 
 
+@query(f"""
+WITH s AS (SELECT shard_id, event_id, strlen(partition_key) + strlen(data) AS size, epoch_us(ts) / 1000000.0 AS came FROM ({SHARDED_SQL})),
+d AS (SELECT *, sum(size) OVER w / {{rate}} AS spent FROM s WINDOW w AS (PARTITION BY shard_id ORDER BY came, event_id ROWS UNBOUNDED PRECEDING)),
+f AS (SELECT *, spent + max(came - (spent - size / {{rate}})) OVER (PARTITION BY shard_id ORDER BY came, event_id ROWS UNBOUNDED PRECEDING) AS full_at FROM d),
+b AS (SELECT *, lag(full_at) OVER (PARTITION BY shard_id ORDER BY came, event_id) AS before FROM f)
+SELECT shard_id, event_id, CAST(round((greatest(came, coalesce(before + (size - {{room}}) / {{rate}}, came)) - came) * 1000) AS BIGINT) AS waits_ms FROM b
+""".format(rate="0.02", room="400.0"))
+def token_bucket_release(spark, sf_dir):
+    """How long each record waits at 0.02 bytes a second and a burst of 400 bytes: idle gaps of the stream fill the bucket again."""
+    sized = sharded(spark, sf_dir).withColumn("size", keys.entry_size(F.col("partition_key"), F.col("data"))).withColumn("at", F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000)
+    out = throttle.release_times(sized.select("shard_id", "event_id", "at", "size"), "shard_id", ["at", "event_id"], "at", "size", None, (0.02, 400.0))
+    return out.select("shard_id", "event_id", F.round((F.col("release_time") - F.col("at")) * 1000).cast("bigint").alias("waits_ms"))
+
+
 @query(f"""
 WITH RECURSIVE counts AS MATERIALIZED (SELECT shard_id, (position - 1) // 50 AS period, count(*) FILTER (event_type <> 'error') AS ok, count(*) FILTER (event_type = 'error') AS bad FROM ({SHARDED_SQL}) GROUP BY ALL),
 f(shard_id, period, factor) AS (
@@ -281,6 +333,20 @@ def latency_histogram(spark, sf_dir):
     return metrics.histogram(_attempts(spark, sf_dir).where("published > 0"), ["attempts"], "latency_ms", "published")
 
 
+@query("""
+WITH v AS (SELECT l_returnflag, CAST(round(l_extendedprice * 100) AS BIGINT) AS value FROM lineitem),
+b AS (SELECT l_returnflag, (value >> greatest(length(bin(value)) - 8, 0)) << greatest(length(bin(value)) - 8, 0) AS bucket FROM v),
+h AS (SELECT l_returnflag, bucket, count(*) AS n FROM b GROUP BY ALL),
+c AS (SELECT *, sum(n) OVER (PARTITION BY l_returnflag ORDER BY bucket) AS seen, sum(n) OVER (PARTITION BY l_returnflag) AS total FROM h)
+SELECT l_returnflag, CAST(any_value(total) AS BIGINT) AS n, min(bucket) FILTER (seen >= ceil(total * CAST(0.5 AS DOUBLE))) AS p50, min(bucket) FILTER (seen >= ceil(total * CAST(0.95 AS DOUBLE))) AS p95, min(bucket) FILTER (seen >= ceil(total * CAST(0.999 AS DOUBLE))) AS p999 FROM c GROUP BY l_returnflag
+""")
+def digit_histogram_merge(spark, sf_dir):
+    """Histograms of two significant digits of prices for each return flag and line status, merged into one for each flag, and their quantiles."""
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("value"))
+    parts = metrics.digit_histogram(rows, ["l_returnflag", "l_linestatus"], "value", 2)
+    return metrics.histogram_quantiles(metrics.merge_histograms(parts, ["l_returnflag"], "bucket"), ["l_returnflag"], {"p50": 0.5, "p95": 0.95, "p999": 0.999})
+
+
 @query(f"""
 SELECT shard_id, partition_key, md5(data) AS data_md5, count(*) AS records FROM ({SHARDED_SQL}) GROUP BY ALL
 """)

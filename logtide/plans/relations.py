@@ -38,7 +38,7 @@ def sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logtide.operators.checkpoints import numbered
     from logtide.operators.routing import predict_shards, shard_map
 
-    routed = predict_shards(stream(spark, sf_dir), shard_map(spark, SHARDS), into="shard_id")
+    routed = predict_shards(stream(spark, sf_dir), shard_map(spark, SHARDS), into="shard_id", count=SHARDS)
     return numbered(routed, "shard_id", ["event_id"])
 
 

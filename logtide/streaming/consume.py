@@ -240,7 +240,7 @@ def produce(records: DataFrame, path: str, shards: int = 1) -> None:
         ends = shardlog.Folder(qualified(spark, path)).open_shards(shards)
         edges = [0, *(hi + 1 for hi, _ in ends)]
         ranges = spark.createDataFrame([(s, f"{lo:032x}", f"{hi:032x}") for lo, (hi, s) in zip(edges, ends)], "shard_id string, lo string, hi string")
-        records = predict_shards(records, ranges, into="shard_id")
+        records = predict_shards(records, ranges, into="shard_id", count=len(ends))
     records.write.format("shardlog").option("shards", str(shards)).mode("append").save(qualified(spark, path))
 
 

@@ -1,12 +1,13 @@
 """Recurrences over ranges against loops."""
 
 import bisect
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from logtide.operators import batching, scans, throttle
+from logtide.operators import batching, checkpoints, metrics, routing, scans, throttle
 
 
 @pytest.mark.parametrize("n, keys, most", [(3000, 1, 9), (3000, 3, 200), (500, 2, 1), (4000, 1, 100_000), (1, 1, 5), (0, 1, 5)])
@@ -88,3 +89,80 @@ def test_asof_against_a_search(spark):
     assert {r.i: r.name for r in out.collect()} == want and out.columns == ["k", "on", "i", "name"]
     none = scans.asof(spark.createDataFrame(left, "k string, on int, i int"), spark.createDataFrame([], "k string, on int, name string"), [], "on", ["name"])
     assert none.count() == 3000 and none.where("name is not null").count() == 0
+
+
+@pytest.mark.parametrize("direct", [64, 2])
+def test_records_follow_the_map_of_their_time(spark, monkeypatch, direct):
+    monkeypatch.setattr(routing, "EPOCHS", direct)
+    rng = random.Random(11)
+    maps, known = [], []
+    for day, n in ((10, 2), (20, 700), (30, 5), (40, 1)):
+        edges = sorted({0, 1 << 128, *(rng.randrange(1 << 128) if n != 5 else i * 3 for i in range(n - 1))})
+        own = [(day, f"m{day}-{i}", f"{a:032x}", f"{b - 1:032x}") for i, (a, b) in enumerate(zip(edges, edges[1:]))]
+        known.append((day, own[1:] if n == 5 else own))  # a map with a gap
+        maps += known[-1][1]
+    rows = [(f"k{i}", rng.choice([None, *range(5, 50)])) for i in range(2000)]
+
+    def plain(key, at):
+        own = [m for day, m in known if at is not None and day <= at]
+        h = hashlib.md5(key.encode()).hexdigest()
+        return next((s for _, s, lo, hi in own[-1] if lo <= h <= hi), None) if own else None
+
+    out = routing.route_at(spark.createDataFrame(rows, "partition_key string, at int"), spark.createDataFrame(maps, "valid_from int, shard_id string, lo string, hi string"), "at")
+    assert {r.partition_key: r.predicted_shard for r in out.collect()} == {k: plain(k, at) for k, at in rows} and out.columns == ["partition_key", "at", "predicted_shard"]
+
+
+def test_narrow_shards_in_large_maps(spark):
+    rows = spark.range(300).select(F.col("id").cast("string").alias("partition_key"))
+    for n in (1, 300, 5000):
+        got = {r.partition_key: r.predicted_shard for r in routing.predict_shards(rows, routing.shard_map(spark, n)).collect()}
+        assert got == {k: f"shard-{int(hashlib.md5(k.encode()).hexdigest(), 16) * n >> 128:03d}" for k in map(str, range(300))}
+
+
+def test_checkpoints_by_count_or_interval(spark):
+    rng = random.Random(12)
+    rows, at, want, state = [], 0.0, {}, {}
+    for i in range(2500):
+        at += rng.choice([0, 0.125, 0.5, 40.0 if rng.random() < 0.05 else 0.25])
+        s = f"s{rng.randrange(2)}"
+        rows.append((s, i, at))
+        number, first, count = state.get(s, (0, at, 0))
+        if count == 7 or at >= first + 2.0:
+            number, first, count = number + 1, at, 0
+        state[s] = number, first, count + 1
+        want[i] = number
+    out = checkpoints.batched_or_timed(spark.createDataFrame(rows, "shard string, i int, at double").repartition(3), "shard", ["at", "i"], "at", 7, 2.0)
+    assert {r.i: r.checkpoint_nr for r in out.collect()} == want
+
+
+@pytest.mark.parametrize("digits", [2, 3, 5])
+def test_buckets_keep_their_digits(spark, digits):
+    rng = random.Random(digits)
+    values = [0, 1, 99, 10**digits, 10**18] + [int(10 ** rng.uniform(0, 18)) for _ in range(3000)]
+    rows = spark.createDataFrame([(i % 3, v) for i, v in enumerate(values)], "part int, value long")
+    pairs = rows.select("value", metrics.bucket(F.col("value"), digits).alias("b")).collect()
+    assert all(r.b <= r.value and r.value - r.b <= r.value / 10**digits and (r.value >= 10**digits or r.b == r.value) for r in pairs)
+    whole = metrics.digit_histogram(rows, [], "value", digits)
+    merged = metrics.merge_histograms(metrics.digit_histogram(rows, ["part"], "value", digits), [], "bucket")
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, merged.collect()))
+    got = metrics.histogram_quantiles(whole, [], {"p50": 0.5, "p99": 0.99}).first()
+    exact = sorted(values)
+    for name, share in (("p50", 0.5), ("p99", 0.99)):
+        v = exact[-(-int(len(values) * share * 1000) // 1000) - 1]
+        assert abs(got[name] - v) <= v / 10**digits * 2 + 1
+
+
+def test_a_stream_delivers_once_with_a_position_for_each_shard(spark, tmp_path):
+    from logtide.streaming import once
+
+    schema = "shard_id string, sequence_number string, sub_sequence_number long, n int"
+    row = lambda s, i: (s, f"{i // 3:040d}", i % 3 if s == "a" else None, i)
+    parts = [[row("a", i) for i in range(30)], [row("a", i) for i in range(12, 50)] + [row("b", 3 * i) for i in range(20)] * 2, [row("b", 3 * i) for i in range(5, 25)] + [row("a", 49)]]
+    for rows in parts:
+        spark.createDataFrame(rows, schema).repartition(3).write.mode("append").parquet(str(tmp_path / "in"))
+        out = once.deliver_once(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
+        q = out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        q.awaitTermination()
+        held = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    got = sorted((r.shard_id, r.n) for r in spark.read.schema(schema).parquet(str(tmp_path / "out")).collect())
+    assert got == sorted([("a", i) for i in range(50)] + [("b", 3 * i) for i in range(25)]) and held[-1] == 2

@@ -2,9 +2,11 @@
 
 Two Markov models of second order (a character given the two before it) are trained on labelled samples, one on random
 strings and one on ordinary identifiers. These are made of words: frequent words of about ``SAMPLE_DOCS`` documents of the
-corpus itself, so that its languages and jargon count as ordinary, and some common ones. A candidate string (20 or more of
-``A-Za-z0-9+/_=-``, letters and digits among them, and no UUID, which is a name) is a secret if the models' log-likelihood
-ratio exceeds ``RATIO`` per character. It adds a span of kind ``markov``, unless spans of patterns cover the whole of it.
+corpus itself, so that its languages and jargon count as ordinary, and some common ones; and of things that look random and are
+none: UUIDs, article numbers, alphabets. A candidate is a run of 20 or more of ``A-Za-z0-9+/_=-``. In it, the part of 20 or
+more characters whose log-likelihood ratio, less ``DRIFT`` for each character, is largest is a secret if that exceeds ``LEVEL``;
+what is left on either side is looked at again. So a key is found behind any path, and whatever its characters are. The part
+is widened to the separators around it, and adds a span of kind ``markov``, unless spans of patterns cover the whole of it.
 
 Null texts are empty. Every text is scanned whole, in linear time; spans are code points, end exclusive.
 """
@@ -30,11 +32,10 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = string.ascii_letters + string.digits + "+/_=-"
-RATIO = 0.5
+DRIFT, LEVEL = 0.35, 9.0
 LEAST = 20
 #: Documents whose words are learned from, and how many of their most frequent words.
 SAMPLE_DOCS, SAMPLE_WORDS = 2_000, 10_000
-UUID = re.compile(rb"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 #: Words that count as ordinary whatever the corpus holds.
 COMMON = """
 get set user name list item index value count total page time date file path data key map node tree parse read write open close start stop first last next state
@@ -53,7 +54,8 @@ def table(characters: str) -> np.ndarray:
 
 
 HEX, TOKEN = table("0123456789abcdef"), table(ALPHABET)
-DIGIT, LETTER = table(string.digits), table(string.ascii_letters)
+#: Between the parts of a path or assignment.
+SEPARATOR = table("/=")
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Symbols of the models: the alphabet, and 0 for anything else or the beginning.
@@ -77,7 +79,14 @@ def labelled_samples(words: list[tuple[str, int]] | None = None, seed: int = 7,
     """
     rng = random.Random(seed)
     known, weights = [w for w, _ in words or []], [n for _, n in words or []]
-    alphabets = (ALPHABET[:62], ALPHABET[:64], string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits, "0123456789abcdef", ALPHABET[:62] + "_-")
+    alphabets = (ALPHABET[:62], ALPHABET[:64], string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits, "0123456789abcdef", ALPHABET[:62] + "_-", string.ascii_letters, string.ascii_lowercase, string.ascii_uppercase)
+    pick = lambda characters, k: "".join(rng.choices(characters, k=k))
+    ordered = string.ascii_lowercase + string.digits
+    looks = (
+        lambda: "-".join(pick("0123456789abcdef", k) for k in (8, 4, 4, 4, 12)),
+        lambda: "-".join(pick(rng.choice((string.digits, string.digits, string.ascii_uppercase)), rng.randint(2, 9)) for _ in range(rng.randint(3, 5))),
+        lambda: rng.choice(("", "sha256-", "charset=")) + rng.choice((ordered, ordered.upper(), string.ascii_uppercase + ordered, string.digits * 3)),
+    )
     tails = (lambda: str(rng.randint(0, 9999)), lambda: f"v{rng.randint(1, 20)}", lambda: f"{rng.randint(1990, 2040)}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}", lambda: f"{rng.randint(1, 99):02d}")
     out = []
     for i in range(count):
@@ -88,7 +97,7 @@ def labelled_samples(words: list[tuple[str, int]] | None = None, seed: int = 7,
             parts.insert(rng.randint(1, n), rng.choice(tails)())
         style = i // 2 % 6
         joined = ("_".join(parts), "-".join(parts), "".join(p.capitalize() for p in parts), "/".join(parts), "_".join(parts).upper(), "".join(parts))[style]
-        out.append((joined, 0))
+        out.append((looks[i % 3]() if i % 16 == 5 else joined, 0))
     return out
 
 
@@ -117,6 +126,67 @@ def contains(lower: bytes, word: bytes, offsets: np.ndarray, into: set[int]) ->
         at = lower.find(word, int(offsets[text + 1]))
 
 
+def random_parts(data: np.ndarray, start: np.ndarray, end: np.ndarray, model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The parts of runs that the models find random, in order: of each run the best one, then the best ones beside it, and so on.
+
+    A part's worth is a difference of running sums, so that the best one ends where the sum is furthest above its least value
+    LEAST or more characters before.
+    """
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    while True:
+        keep = end - start >= LEAST
+        start, end = start[keep], end[keep]
+        if not len(start):
+            break
+        lengths = end - start
+        heads = np.cumsum(lengths) - lengths
+        code = CODE[data[ranges(start, lengths)]]
+        one, two = np.roll(code, 1), np.roll(code, 2)
+        one[heads] = two[heads] = two[heads + 1] = 0
+        worth = model[two, one, code].astype(np.float64) - DRIFT
+        total = np.cumsum(worth)
+        # running sums before each character, and after the last one, of each run by itself
+        places = ranges(heads, lengths + 1)
+        run = np.repeat(np.arange(len(start)), lengths + 1)
+        sums = np.concatenate([[0.0], total])[places] - np.concatenate([[0.0], total])[heads][run]
+        first = np.cumsum(lengths + 1) - (lengths + 1)
+        # least sum so far: each run is put below all before it, so that theirs don't count
+        depth = run * (2 * float(np.abs(sums).max()) + 1)
+        least = np.minimum.accumulate(sums - depth)
+        at = np.arange(len(sums))
+        far = at - first[run] >= LEAST
+        value = np.where(far, sums - (least[np.maximum(at - LEAST, 0)] + depth), -np.inf)
+        best = np.maximum.reduceat(value, first)
+        chosen = np.flatnonzero(best > LEVEL)
+        if not len(chosen):
+            break
+        # the first end of that value, and the last beginning that gives it
+        is_best = np.flatnonzero(value == best[run])
+        stop = is_best[np.searchsorted(is_best, first[chosen])]
+        low = least[stop - LEAST]
+        begins = np.flatnonzero(sums - depth == least)  # where a new least value is reached
+        begin = begins[np.searchsorted(begins, stop - LEAST, side="right") - 1]
+        assert np.array_equal((sums - depth)[begin], low)
+        a, b = start[chosen] + begin - first[chosen], start[chosen] + stop - first[chosen]
+        # whole parts between separators
+        inside = start[chosen], end[chosen]
+        cuts = np.flatnonzero(SEPARATOR[data])
+        before = np.searchsorted(cuts, a, side="left") - 1
+        after = np.searchsorted(cuts, b, side="left")
+        held_a = np.where(before >= 0, cuts[np.maximum(before, 0)] + 1, 0) if len(cuts) else np.zeros(len(a), np.int64)
+        held_b = np.where(after < len(cuts), cuts[np.minimum(after, len(cuts) - 1)], len(data)) if len(cuts) else np.full(len(b), len(data))
+        wide_a, wide_b = np.maximum(inside[0], held_a), np.minimum(inside[1], held_b)
+        found.append((wide_a, wide_b))
+        start, end = np.concatenate([inside[0], wide_b]), np.concatenate([wide_a, inside[1]])
+        order = np.argsort(start, kind="stable")
+        start, end = start[order], end[order]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    start, end = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(start, kind="stable")
+    return start[order], end[order]
+
+
 def find(data: np.ndarray, offsets: np.ndarray, model: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, kind, first byte, byte after the last) of all spans of a block, by text, start and kind."""
     raw, lower = data.tobytes(), LOWER[data].tobytes()
@@ -137,26 +207,13 @@ def find(data: np.ndarray, offsets: np.ndarray, model: np.ndarray) -> tuple[np.n
     base = np.array(found, np.int64).reshape(-1, 4)
 
     start, end, _ = word_spans(data, offsets, TOKEN)
-    keep = end - start >= LEAST
-    start, end = start[keep], end[keep]
+    start, end = random_parts(data, start, end, model)
     if len(start):
-        lengths = end - start
-        at = ranges(start, lengths)
-        heads = np.cumsum(lengths) - lengths
-        characters = data[at]
-        mixed = np.add.reduceat(DIGIT[characters], heads).astype(bool) & np.add.reduceat(LETTER[characters], heads).astype(bool)
-        code = CODE[characters]
-        one, two = np.roll(code, 1), np.roll(code, 2)
-        one[heads] = two[heads] = two[heads + 1] = 0
-        ratio = np.add.reduceat(model[two, one, code].astype(np.float64), heads) / lengths
-        keep = mixed & (ratio > RATIO)
         _, low, high = unions(np.zeros(len(base), np.int64), base[:, 2], base[:, 3])
-        if len(low):  # spans of patterns that cover a candidate whole report all of it
+        if len(low):  # spans of patterns that cover a part whole report all of it
             over = np.maximum(np.searchsorted(low, start, side="right") - 1, 0)
-            keep &= ~((low[over] <= start) & (high[over] >= end))
-        for i in np.flatnonzero(keep & (lengths == 36)).tolist():
-            keep[i] = UUID.fullmatch(raw[start[i] : end[i]]) is None
-        start, end = start[keep], end[keep]
+            keep = ~((low[over] <= start) & (high[over] >= end))
+            start, end = start[keep], end[keep]
         own = np.searchsorted(offsets, start, side="right") - 1
         base = np.concatenate([base, np.column_stack([own, np.full(len(start), 3), start, end])])
     return tuple(base[np.lexsort((base[:, 1], base[:, 2], base[:, 0]))].T)

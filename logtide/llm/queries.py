@@ -59,7 +59,7 @@ def row_sql(n_chars: str) -> str:
 CONTROLLED = f"'{chat_format.START}' || " + escaped_sql("replace(replace(role, '%', '%25'), chr(10), '%0A')") + " || chr(10) || " + escaped_sql("text") + f" || '{chat_format.END}' || chr(10)"
 
 ORACLES: dict[str, str] = {
-    # rules of up to three tokens, each counted over all labelled pages; no page of the test tables has more tokens than mining looks at
+    # rules of up to three tokens, each counted over all labelled pages
     "op3_url_filters": rf"""
 WITH p AS MATERIALIZED (SELECT page_id, url, translate(coalesce(regexp_extract(url, '(?s)\A.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '(?s)\A.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 u AS MATERIALIZED (SELECT DISTINCT host, path, x AS token FROM (SELECT host, path, unnest(list_concat(list_transform(string_split(host, '.'), lambda x: 'h:' || x), list_transform(regexp_split_to_array(path, '[/._-]+'), lambda x: 'p:' || regexp_replace(x, '[0-9]+', '#', 'g')))) AS x FROM (SELECT DISTINCT host, path FROM p)) WHERE length(x) > 2),

@@ -77,6 +77,55 @@ def test_mined_rules_against_all_combinations(spark):
     assert mined == plain_rules(baskets, url_filters.SUPPORT, url_filters.CONFIDENCE) and ["p:aa", "p:bb"] in mined
 
 
+def long_paths(spark, seed, n, names, good, worse):
+    """Pages whose paths hold many of these segments, bad ones more of them; labels; baskets."""
+    rng = random.Random(seed)
+    rows, baskets, labels = [], [], []
+    for i in range(n):
+        bad = rng.random() < 0.4
+        path = [x for x in names if rng.random() < (worse if bad else good)]
+        rows.append((i, f"http://z.net/{'/'.join(path)}"))
+        labels.append((i, int(not bad), 0))
+        baskets.append((["h:net", "h:z", *(f"p:{x}" for x in path)], bad))
+    return spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), baskets
+
+
+def test_rules_of_long_paths_are_all_found(spark):
+    names = [x * 3 for x in "abcdefghijklmn"]
+    pages, labels, baskets = long_paths(spark, 11, 1000, names, 0.35, 0.65)
+    mined = url_filters.mine(pages, labels)
+    assert mined == plain_rules(baskets, url_filters.SUPPORT, url_filters.CONFIDENCE) and len(mined) > 100
+    block = {i for i, (items, _) in enumerate(baskets) if any(set(r) <= set(items) for r in mined)}
+    assert {r.page_id for r in url_filters.judge(pages, mined).collect() if r.verdict == "block"} == block
+
+
+@pytest.mark.parametrize("longest", [1, 2, 4, None])
+def test_rules_of_any_length(spark, longest):
+    pages, labels, baskets = long_paths(spark, 12, 120, [x * 3 for x in "abcdefg"], 0.4, 0.7)
+    least, pages_of = max(url_filters.LEAST, -(-len(baskets) * url_filters.SUPPORT // 1)), {}
+    for i, (items, _) in enumerate(baskets):
+        for t in items:
+            pages_of.setdefault(t, set()).add(i)
+    bad = {i for i, (_, b) in enumerate(baskets) if b}
+    tokens = sorted({min(t for t in pages_of if pages_of[t] == held) for held in pages_of.values()})
+    want = []
+    for size in range(1, (longest or len(tokens)) + 1):
+        for rule in combinations(tokens, size):
+            held = set.intersection(*(pages_of[t] for t in rule))
+            if len(held & bad) >= least and len(held & bad) >= url_filters.CONFIDENCE * len(held) and not any(set(r) <= set(rule) for r in want):
+                want.append(list(rule))
+    assert url_filters.mine(pages, labels, longest=longest) == sorted(want)
+
+
+def test_sixty_tokens(spark):
+    names = [x * k for k in range(3, 9) for x in "abcdefghij"]
+    pages, labels, baskets = long_paths(spark, 13, 300, names, 0.45, 0.6)
+    began = time.time()
+    mined = url_filters.mine(pages, labels)
+    assert time.time() - began < 60
+    assert mined == plain_rules(baskets, url_filters.SUPPORT, url_filters.CONFIDENCE)
+
+
 def test_mining_long_paths_ends(spark):
     rng = random.Random(3)
     long = "/".join("abcdefghij"[i % 10] * (2 + i // 10) for i in range(60))

@@ -109,6 +109,25 @@ def numbered(df: DataFrame, key: str, order: list[str], into: str) -> DataFrame:
     return scan(df, key, order, order[:1], f"{into} bigint", lambda columns: len(columns[order[0]]), lambda state, n: (state or 0) + n, walk)
 
 
+def sums_before(df: DataFrame, key: str, order: list[str], sums: dict[str, str]) -> DataFrame:
+    """Adds running sums (column -> name) of the whole numbers of all rows of the key before each one."""
+    columns = list(sums)
+
+    def whole(held: Columns, c: str) -> np.ndarray:
+        return held[c].astype(np.int64)
+
+    def walk(state, held):
+        begin = state or [0] * len(columns)
+        upto = [b + np.cumsum(whole(held, c)) for b, c in zip(begin, columns)]
+        return [u - whole(held, c) for u, c in zip(upto, columns)], [int(u[-1]) for u in upto]
+
+    def advance(state, summary):
+        return [a + b for a, b in zip(state or [0] * len(columns), summary)]
+
+    fields = ", ".join(f"{into} bigint" for into in sums.values())
+    return scan(df, key, order, columns, fields, lambda held: [int(whole(held, c).sum()) for c in columns], advance, walk)
+
+
 def previous(df: DataFrame, keys: list[str], position: str, into: str) -> DataFrame:
     """Adds the position of the row before with the same keys, -1 for the first: a lag that no task does for a whole key."""
     base = ranged(df, [*keys, position])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtide.operators import scans
@@ -35,13 +35,15 @@ def release_times(requests: DataFrame, shard: str, order: list[str], arrival: st
 def release_seconds(requests: DataFrame, shard: str, order: list[str], size: str, max_records: int, max_bytes: int, factors: DataFrame | None = None) -> DataFrame:
     """Adds the second in which each request leaves its shard, as an admission plan: both running sums stay within their limit for each second.
 
-    factors: (shard, factor), the throughput factors of shards (a row for each at most); costs are divided by them.
+    factors: (shard, factor), the throughput factors of shards (a row for each at most); costs are divided by them. The sums go
+    over ranges of the order, so that a shard may lie in many tasks.
     """
-    w = Window.partitionBy(shard).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    records, held = F.coalesce(F.count("*").over(w), F.lit(0)), F.coalesce(F.sum(size).over(w), F.lit(0))
+    summed = scans.sums_before(requests.withColumn("__one", F.lit(1)).withColumn("__size", F.coalesce(F.col(size), F.lit(0))), shard, order, {"__one": "__records", "__size": "__bytes"})
     factor = F.lit(1.0)
     if factors is not None:
-        requests = requests.join(F.broadcast(factors.select(shard, F.col("factor").alias("\x00factor"))), shard, "left")
-        factor = F.coalesce("\x00factor", F.lit(1.0))
-    second = lambda x, limit: F.floor(x / factor / F.lit(limit))
-    return requests.withColumn("release_second", F.greatest(second(records, max_records), second(held, max_bytes)).cast("bigint")).drop("\x00factor")
+        # by null-safe equality, as requests without a predicted shard have none
+        held = factors.select(F.col(shard).alias("__of"), F.col("factor").alias("__factor"))
+        summed = summed.join(held, F.col(shard).eqNullSafe(F.col("__of")), "left")
+        factor = F.coalesce("__factor", F.lit(1.0))
+    second = lambda x, limit: F.floor(F.col(x) / factor / F.lit(limit))
+    return summed.withColumn("release_second", F.greatest(second("__records", max_records), second("__bytes", max_bytes)).cast("bigint")).drop("__one", "__size", "__records", "__bytes", "__of", "__factor")

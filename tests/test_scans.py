@@ -166,3 +166,21 @@ def test_a_stream_delivers_once_with_a_position_for_each_shard(spark, tmp_path):
         held = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
     got = sorted((r.shard_id, r.n) for r in spark.read.schema(schema).parquet(str(tmp_path / "out")).collect())
     assert got == sorted([("a", i) for i in range(50)] + [("b", 3 * i) for i in range(25)]) and held[-1] == 2
+
+
+def test_release_seconds_against_a_loop(spark):
+    rng = random.Random(12)
+    rows = [(rng.choice(["a", "b", None]), i, rng.choice([0, 10, 400, 5000])) for i in range(3000)]
+    factors = {"a": 0.5, "b": 1.0}
+    want, sums = {}, {}
+    for s, i, size in rows:
+        n, held = sums.get(s, (0, 0))
+        r = factors.get(s, 1.0)
+        want[i] = max(int(n / r // 50), int(held / r // 20_000))
+        sums[s] = (n + 1, held + size)
+    table = spark.createDataFrame(rows, "shard string, at int, size int").repartition(5)
+    out = throttle.release_seconds(table, "shard", ["at"], "size", 50, 20_000, spark.createDataFrame(list(factors.items()), "shard string, factor double"))
+    assert out.columns == ["shard", "at", "size", "release_second"] and {r["at"]: r.release_second for r in out.collect()} == want
+    one = throttle.release_seconds(table.withColumn("shard", F.lit("s")), "shard", ["at"], "size", 50, 20_000)
+    assert one.select(F.spark_partition_id().alias("p")).distinct().count() == 4
+    assert throttle.release_seconds(table.limit(0), "shard", ["at"], "size", 50, 20_000).count() == 0

@@ -85,27 +85,43 @@ def fingerprint(paths: set[str]) -> str:
 class Mapping:
     """Where a layout has its turns.
 
-    turns: path of the list of turns, with the paths of role and text in an element; or fixed: (role, paths of the parts
-    of the text) in order, for layouts without such a list. Texts of several parts are joined by blank lines, empty parts
-    left out; a turn whose parts are all missing is left out.
+    turns: paths of lists of turns, one after the other, with the paths of role and text in an element; and then fixed: (role,
+    paths of the parts of the text) in order. Only null is absent: a turn whose parts are all null is left out, one of empty
+    parts has an empty text. Texts of several parts are joined by blank lines, without the empty ones; numbers, truth values and
+    objects stand as JSON.
     """
 
     name: str
     fields: tuple[str, ...]  # the paths that make the fingerprint
-    turns: str | None = None
+    turns: tuple[str, ...] = ()
     role: str = "role"
     text: str = "content"
     fixed: tuple[tuple[str, tuple[str, ...]], ...] = ()
+    mixed: tuple[str, ...] = ()  # paths of the fingerprint that are plain in some elements and lists in others
 
-    def key(self) -> str:
-        return fingerprint({""} | {f".{f}" for f in self.fields})
+    def paths(self) -> set[str]:
+        """A list field's own path is written with its brackets only."""
+        return {""} | {f".{f}" for f in self.fields if f + "[]" not in self.fields} | {f".{f}" for f in self.mixed}
+
+
+def listed(*names: str, role: str = "role", text: str = "content", parts: bool = False) -> tuple[str, ...]:
+    """Paths of lists of turns, with texts or with lists of parts (type and text)."""
+    below = ("", "[]", "[].type", "[].text") if parts else ("",)
+    return tuple(x for n in names for x in (n, f"{n}[]", f"{n}[].{role}", *(f"{n}[].{text}{b}" for b in below)))
 
 
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 MAPPINGS = (
     Mapping("turn rows", ("conv_id", "turn", "role", "text")),
-    Mapping("messages", ("messages", "messages[]", "messages[].role", "messages[].content"), "messages"),
-    Mapping("conversations", ("conversations", "conversations[]", "conversations[].from", "conversations[].value"), "conversations", "from", "value"),
+    Mapping("messages", listed("messages"), ("messages",)),
+    Mapping("messages in parts", listed("messages", parts=True), ("messages",)),
+    Mapping("messages, some in parts", listed("messages", parts=True), ("messages",), mixed=("messages[].content",)),
+    Mapping("conversations", listed("conversations", role="from", text="value"), ("conversations",), "from", "value"),
+    Mapping("messages of prompt and completion", listed("prompt", "completion"), ("prompt", "completion")),
+    Mapping("messages of a prompt, and completion", (*listed("prompt"), "completion"), ("prompt",), fixed=(("assistant", ("completion",)),)),
+    Mapping("messages of prompt and preferred answer", listed("prompt", "chosen"), ("prompt", "chosen")),
+    Mapping("preferred messages", listed("chosen"), ("chosen",)),
+    Mapping("prompt and preferred answer", ("prompt", "chosen"), fixed=(("user", ("prompt",)), ("assistant", ("chosen",)))),
     Mapping("prompt and response", ("prompt", "response"), fixed=(("user", ("prompt",)), ("assistant", ("response",)))),
     Mapping("prompt and completion", ("prompt", "completion"), fixed=(("user", ("prompt",)), ("assistant", ("completion",)))),
     Mapping("question and answer", ("question", "answer"), fixed=(("user", ("question",)), ("assistant", ("answer",)))),
@@ -115,12 +131,7 @@ MAPPINGS = (
 )
 
 
-def _list_paths(fields: tuple[str, ...]) -> set[str]:
-    """A list field's own path is written with its brackets only."""
-    return {f for f in fields if f + "[]" not in fields}
-
-
-REGISTRY = {fingerprint({""} | {f".{f}" for f in _list_paths(m.fields)}): m for m in MAPPINGS}
+REGISTRY = {fingerprint(m.paths()): m for m in MAPPINGS}
 
 
 def restricted(record: dict, mapping: Mapping) -> dict | None:
@@ -129,13 +140,29 @@ def restricted(record: dict, mapping: Mapping) -> dict | None:
     if not names.keys() <= record.keys():
         return None
     body = {n: record[n] for n in names}
-    if not mapping.turns:
-        return body
-    turns = body[mapping.turns]
-    if not isinstance(turns, list) or not all(isinstance(e, dict) and {mapping.role, mapping.text} <= e.keys() for e in turns):
-        return None
-    # an empty list says nothing of its elements
-    return {mapping.turns: [{k: e[k] for k in (mapping.role, mapping.text)} for e in turns] or [{mapping.role: None, mapping.text: None}]}
+    for name in mapping.turns:
+        turns = body[name]
+        if not isinstance(turns, list) or not all(isinstance(e, dict) and {mapping.role, mapping.text} <= e.keys() for e in turns):
+            return None
+        # an empty list says nothing of its elements
+        body[name] = [{mapping.role: e[mapping.role], mapping.text: _parts(e[mapping.text])} for e in turns] or [{mapping.role: None, mapping.text: None}]
+    return body
+
+
+def _parts(value):
+    """A list of parts with their types and texts only."""
+    if not isinstance(value, list):
+        return value
+    return [{k: x[k] for k in ("type", "text") if k in x} if isinstance(x, dict) else x for x in value]
+
+
+def as_text(value) -> str:
+    """A text as it is, the texts of a list of parts by lines, other values as JSON; null is empty."""
+    if value is None or isinstance(value, str):
+        return value or ""
+    if isinstance(value, list) and all(isinstance(x, dict) and "type" in x for x in value):
+        return "\n".join(as_text(x["text"]) for x in value if x.get("text") is not None)
+    return json.dumps(value, ensure_ascii=False)
 
 
 def mapping_of(record: dict) -> Mapping | None:
@@ -151,16 +178,42 @@ def mapping_of(record: dict) -> Mapping | None:
 def record_turns(record: dict, ignore: frozenset[str]) -> list[tuple[str, str]] | None:
     """Canonical (role, text) turns of a record, or None for a layout that is not registered.
 
-    Fields that no mapping names are set aside; an empty list of turns gives no turns.
+    Fields that no mapping names are set aside (``set_aside`` counts them); an empty list of turns gives no turns.
     """
     body = {k: v for k, v in record.items() if k not in ignore}
     mapping = mapping_of(body)
     if mapping is None or mapping.name == "turn rows":
         return None
-    if mapping.turns:
-        return [(ROLES.get(r, r), t) for e in body[mapping.turns] for r, t in [(str(e[mapping.role] or ""), str(e[mapping.text] or ""))]]
-    found = [(role, [str(body[p]) for p in parts if body.get(p)]) for role, parts in mapping.fixed]
-    return [(role, "\n\n".join(parts)) for role, parts in found if parts]
+    out = [(ROLES.get(r, r), as_text(e[mapping.text])) for name in mapping.turns for e in body[name] for r in [as_text(e[mapping.role])]]
+    for role, parts in mapping.fixed:
+        found = [as_text(body[p]) for p in parts if body[p] is not None]
+        if found:
+            out.append((role, "\n\n".join(t for t in found if t)))
+    return out
+
+
+def unused_paths(record: dict, ignore: frozenset[str]) -> set[str]:
+    """Paths of a record's values that its mapping has no use for; none for a record without a mapping, which stays whole."""
+    body = {k: v for k, v in record.items() if k not in ignore}
+    mapping = mapping_of(body)
+    return set() if mapping is None else json_paths(body) - json_paths(restricted(body, mapping)) - mapping.paths()
+
+
+def set_aside(records: DataFrame, record: str, ignore: tuple[str, ...] = ("id",)) -> DataFrame:
+    """How many JSON records have a value at each path that formatting leaves out: (path, records)."""
+    skipped = frozenset(ignore)
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for text in batch.column(0).to_pylist():
+                try:
+                    out += sorted(unused_paths(json.loads(text or ""), skipped))
+                except (ValueError, AttributeError, TypeError):
+                    pass  # no object: it stays whole
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["path"])
+
+    return records.select(record).mapInArrow(run, "path string").groupBy("path").agg(F.count("*").alias("records"))
 
 
 TURNS = "conv_id bigint, turn bigint, role string, text string"

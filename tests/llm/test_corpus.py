@@ -330,10 +330,29 @@ def test_layouts_become_turns(spark):
         ({"messages": [{"role": "user"}]}, None),
         ({"messages": "text", "prompt": "p"}, None),
     ]
-    for record, want in more:
+    values = [
+        ({"instruction": "i", "input": "", "output": 0}, [("user", "i"), ("assistant", "0")]),
+        ({"prompt": False, "response": ""}, [("user", "false"), ("assistant", "")]),
+        ({"prompt": "p", "response": None}, [("user", "p")]),
+        ({"question": 3, "answer": 1.5}, [("user", "3"), ("assistant", "1.5")]),
+        ({"question": {"a": [1]}, "answer": "b"}, None),
+        ({"messages": [{"role": "user", "content": 0}]}, [("user", "0")]),
+        ({"messages": [{"role": "user", "content": [{"type": "text", "text": "hi"}, {"type": "image", "url": "u"}, {"type": "text", "text": "you"}]}]}, [("user", "hi\nyou")]),
+        ({"messages": [{"role": "user", "content": [{"type": "text", "text": "hi"}]}, {"role": "assistant", "content": "b"}]}, [("user", "hi"), ("assistant", "b")]),
+        ({"messages": [{"role": "assistant", "content": None, "tool_calls": [{"id": 1}]}]}, [("assistant", "")]),
+        ({"prompt": [{"role": "user", "content": "a"}], "completion": [{"role": "assistant", "content": "b"}]}, [("user", "a"), ("assistant", "b")]),
+        ({"prompt": [{"role": "system", "content": "s"}, {"role": "user", "content": "a"}], "completion": "b"}, [("system", "s"), ("user", "a"), ("assistant", "b")]),
+        ({"prompt": "p", "chosen": "c", "rejected": "r"}, [("user", "p"), ("assistant", "c")]),
+        ({"chosen": [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}], "rejected": []}, [("user", "a"), ("assistant", "b")]),
+        ({"prompt": [{"role": "user", "content": "a"}], "chosen": [{"role": "assistant", "content": "b"}], "rejected": []}, [("user", "a"), ("assistant", "b")]),
+    ]
+    for record, want in more + values:
         assert chat_format.record_turns(record, frozenset(["id"])) == want, record
     counts = chat_format.from_json(spark.createDataFrame([(i, json.dumps(r)) for i, (r, _) in enumerate(more)], "conv_id long, record string"), "conv_id", "record").groupBy(F.col("role").isNull().alias("odd")).count().collect()
     assert {r.odd: r["count"] for r in counts} == {True: 2, False: 6}
+    odd = [json.dumps(r) for r, _ in values] + ["not json", None, "[]", '{"what": 1}']
+    aside = {r.path: r.records for r in chat_format.set_aside(spark.createDataFrame([(x,) for x in odd], "record string"), "record").collect()}
+    assert aside == {".messages[].content[].url": 1, ".messages[].tool_calls[]": 1, ".messages[].tool_calls[].id": 1, ".rejected": 1, ".rejected[]": 2}
     assert out[90] == [(None, "not json")] and out[91] == [(None, None)] and out[92] == [(None, '{"what": 1}')]
     typed = spark.createDataFrame([(1, "p", "r", 5)], "conv_id long, prompt string, response string, other int")
     assert [(r.role, r.text) for r in chat_format.canonical_turns(typed).orderBy("turn").collect()] == [("user", "p"), ("assistant", "r")]

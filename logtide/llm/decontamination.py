@@ -4,8 +4,8 @@
 words, and for each word the sorted positions at which the documents have it, beside the documents' own columns. ``search``
 reads that table. A test window starts from the postings of its rarest word in a segment, shifted by the word's offset in the
 window, and is intersected with the offset-adjusted lists of its other words, rarest first. What is left are exact phrase
-matches. A proximity search asks instead that every word of a window has a posting within a span around its rarest word, in
-any order. Words meet by hash and are compared byte by byte.
+matches. A proximity search asks instead that all words of a window stand, in any order, in one stretch of words: around each
+posting of the rarest word, stretches that begin with a posting of some word of the window. Words meet by hash and are compared byte by byte.
 
 Segments hold whole documents, so no posting is shuffled, and memory is bounded by a segment. The benchmark goes to the
 tasks in parts of at most ``PART`` bytes of text, at most ``PASS`` bytes in a pass over the index. A larger benchmark takes
@@ -109,10 +109,16 @@ class Segment:
         self.df = np.zeros(len(vocabulary), np.int64)
         self.df[term[known]] = counts[known]
         self.offsets = np.concatenate([[0], np.cumsum(self.df)])
-        self.forward = np.full(int(self.first[-1]), -1)
-        self.forward[self.positions] = np.repeat(term[known], counts[known])
+        # all lists after one another, ascending
+        self.width = int(self.first[-1]) + 1
+        self.lists = np.repeat(term[known] * self.width, counts[known]) + self.positions
         self.text = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
+    def listed(self, term: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the postings of terms at positions from ``low`` to ``high`` stand in ``lists``: the first, and how many there are."""
+        begin = np.searchsorted(self.lists, term * self.width + low)
+        return begin, np.searchsorted(self.lists, term * self.width + high, side="right") - begin
+
     def rarest(self, w: TestWindows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(candidate windows, their positions of words by rarity, candidate window of each posting, posting of its rarest word)."""
         df = np.where(w.terms >= 0, self.df[w.terms], np.iinfo(np.int64).max)
@@ -135,26 +141,42 @@ class Segment:
         for k in range(1, order.shape[1]):
             offset = order[which, k]
             term = w.terms[live[which], offset]
-            keep = (term < 0) | (self.forward[np.minimum(start + offset, len(self.forward) - 1)] == term)
+            # the list of the term, shifted by its offset, holds the start
+            keep = (term < 0) | (self.listed(term, start + offset, start + offset)[1] > 0)
             which, start = which[keep], start[keep]
         return live[which], start
 
     def near(self, w: TestWindows, span: int) -> tuple[np.ndarray, np.ndarray]:
-        """(windows, word positions of the rarest word) where every word of a window is within ``span`` words of its rarest word."""
+        """(windows, word positions of the rarest word) where all words of a window stand in a stretch whose first and last are ``span`` words apart at most."""
         live, order, which, where = self.rarest(w)
-        shift = len(self.forward) + 1
-        packed = np.repeat(np.arange(len(self.df)), self.df) * shift + self.positions
-        for k in range(1, order.shape[1]):
-            if not len(which):
-                break
-            term = w.terms[live[which], order[which, k]]
-            text = self.text[where]
-            low = np.maximum(where - span, self.first[text])
-            high = np.minimum(where + span, self.first[text + 1] - 1)
-            hit = np.searchsorted(packed, term * shift + high, side="right") > np.searchsorted(packed, term * shift + low)
-            keep = (term < 0) | hit
-            which, where = which[keep], where[keep]
-        return live[which], where
+
+        def within(which: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+            """The rows between whose positions every word of their window stands."""
+            left = np.arange(len(which))
+            for k in range(order.shape[1]):
+                if not len(left):
+                    break
+                term = w.terms[live[which[left]], order[which[left], k]]
+                left = left[(term < 0) | (self.listed(term, low[left], high[left])[1] > 0)]
+            return left
+
+        if not len(which):
+            return which, where
+        text = self.text[where]
+        low, high = np.maximum(where - span, self.first[text]), np.minimum(where + span, self.first[text + 1] - 1)
+        left = within(which, low, high)
+        which, where, low, high = which[left], where[left], low[left], high[left]
+        # such a stretch begins with a word of the window, up to ``span`` words before the rarest one
+        found = np.zeros(len(which), bool)
+        for k in range(order.shape[1]):
+            rest = np.flatnonzero(~found)
+            term = w.terms[live[which[rest]], order[which[rest], k]]
+            begin, n = self.listed(term, low[rest], where[rest])
+            n[term < 0] = 0
+            of = np.repeat(rest, n)
+            start = self.positions[ranges(begin, n)]
+            found[of[within(which[of], start, np.minimum(start + span, high[of]))]] = True
+        return live[which[found]], where[found]
 
 
 def unions(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -263,8 +285,8 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, span: in
     """``row`` (the carried columns), ``n_words``, ``n_hit``, ``hits``, ``items``, ``near_items`` and ``contaminated`` for each document.
 
     n_hit: hit words. hits: maximal runs of them, packed as pairs of 64-bit integers (first word, word after the last). items:
-    ids of the items of which a window occurs. near_items: those of which all words of a window stand within ``span`` words
-    (null without ``span``). contaminated: a twentieth of the words is hit, at least one.
+    ids of the items of which a window occurs. near_items: those of which all words of a window stand in a stretch
+    whose first and last words are ``span`` words apart at most (null without ``span``). contaminated: a twentieth of the words is hit, at least one.
     """
     index = build_index(docs, carry)
     scratch = Scratch(docs.sparkSession, "hits")

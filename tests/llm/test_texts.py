@@ -250,6 +250,21 @@ def test_proximity(spark):
     assert {r.row.doc_id: (r.n_hit, r.near_items) for r in more if r.row.doc_id in (0, 1, 2)} == {0: (0, ["i", "j"]), 1: (2, ["j"]), 2: (2, ["j"])}
 
 
+@pytest.mark.parametrize("span", [2, 5, 14])
+def test_proximity_against_every_stretch(spark, span):
+    rng = random.Random(span)
+    items = {str(i): " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 6))) for i in range(40)}
+    texts = [" ".join(rng.choice("abcdefghxyz") for _ in range(rng.randint(0, 25))) for _ in range(150)]
+    benchmark = spark.createDataFrame(list(items.items()), "item_id string, text string")
+    want = {}
+    for d, text in enumerate(texts):
+        w = text.split()
+        want[d] = sorted(i for i, item in items.items() if item and any(set(item.split()) <= set(w[k : k + span + 1]) for k in range(len(w))))
+    for parts in (1, 6):  # whichever words are rarest in a segment
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(parts)
+        assert {r.row.doc_id: r.near_items for r in decontamination.search(docs, benchmark, span=span).collect()} == want
+
+
 @pytest.mark.parametrize("k", [10, 12])
 def test_words_that_polynomials_confuse(spark, k):
     a, b = complements(k)

@@ -117,6 +117,18 @@ def test_rules_of_any_length(spark, longest):
     assert url_filters.mine(pages, labels, longest=longest) == sorted(want)
 
 
+def test_rules_are_counted_over_all_labels(spark):
+    # of 30 000 labelled pages, 300 are needed: tokens of 300 bad pages and of 299, which no sample tells apart
+    n, size = 30_000, 300
+    path = F.concat(F.lit("k"), (F.col("id") / size).cast("int").cast("string"))
+    letters = F.translate(path, "0123456789", "abcdefghij")  # digits of a segment are folded
+    pages = spark.range(n).select(F.col("id").alias("page_id"), F.concat(F.lit("http://z.net/"), letters).alias("url"))
+    group, first = (F.col("id") / size).cast("int"), F.col("id") % size == 0
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.when((group >= 40) | (group % 2 == 1) & first, 1).otherwise(0).alias("quality"), F.lit(0).alias("toxic"))
+    names = [["p:k" + "".join("abcdefghij"[int(d)] for d in str(g))] for g in range(0, 40, 2)]
+    assert url_filters.mine(pages, labels) == sorted(names)
+
+
 def test_sixty_tokens(spark):
     names = [x * k for k in range(3, 9) for x in "abcdefghij"]
     pages, labels, baskets = long_paths(spark, 13, 300, names, 0.45, 0.6)

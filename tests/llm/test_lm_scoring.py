@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from logtide.llm import lm_scoring as lm
@@ -112,6 +113,16 @@ def test_gradients_against_differences():
         assert (more - less) / 2e-5 == pytest.approx(float(g[name][at]), rel=2e-3, abs=1e-5), name
 
 
+def test_every_window_is_learnt_from():
+    model, rng = small_model(4)
+    texts = [rng.choice(lm.END, n).astype("<u2") for n in [70_000, 0, 5, *rng.integers(0, 3_000, 60)]]
+    batches = lambda: (pa.RecordBatch.from_arrays([pa.array([t.tobytes() for t in texts[a : a + 9]], pa.binary())], ["ids"]) for a in range(0, len(texts), 9))
+    tokens = sum(len(t) + 1 for t in texts)
+    assert tokens > 2 * lm.SPAN * lm.LEAST
+    learnt = sum(lm.train_task(batches(), model.copy(), turn)[1] for turn in range(lm.ROUNDS))
+    assert tokens <= learnt <= tokens + (lm.ROUNDS - 1) * (lm.SPAN * lm.LEAST + max(len(t) for t in texts) + lm.TOGETHER)
+
+
 def test_codes_survive_packing():
     rng = np.random.default_rng(2)
     for width in (1, 2, 3, 4):

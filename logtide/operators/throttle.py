@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtide.operators import scans
+from logtide.operators.routing import BROADCAST
 
 #: Error rate that the producer allows before it slows down.
 ALLOWED_ERROR = 0.05
@@ -36,13 +37,16 @@ def release_seconds(requests: DataFrame, shard: str, order: list[str], size: str
     """Adds the second in which each request leaves its shard, as an admission plan: both running sums stay within their limit for each second.
 
     factors: (shard, factor), the throughput factors of shards (a row for each at most); costs are divided by them. The sums go
-    over ranges of the order, so that a shard may lie in many tasks.
+    over ranges of the order, so that a shard may lie in many tasks; up to BROADCAST factors are sent to these, as a join by a
+    shuffle would bring a whole shard to one task.
     """
     summed = scans.sums_before(requests.withColumn("__one", F.lit(1)).withColumn("__size", F.coalesce(F.col(size), F.lit(0))), shard, order, {"__one": "__records", "__size": "__bytes"})
     factor = F.lit(1.0)
     if factors is not None:
         # by null-safe equality, as requests without a predicted shard have none
         held = factors.select(F.col(shard).alias("__of"), F.col("factor").alias("__factor"))
+        if held.limit(BROADCAST + 1).count() <= BROADCAST:
+            held = F.broadcast(held)
         summed = summed.join(held, F.col(shard).eqNullSafe(F.col("__of")), "left")
         factor = F.coalesce("__factor", F.lit(1.0))
     second = lambda x, limit: F.floor(F.col(x) / factor / F.lit(limit))

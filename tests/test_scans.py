@@ -184,3 +184,15 @@ def test_release_seconds_against_a_loop(spark):
     one = throttle.release_seconds(table.withColumn("shard", F.lit("s")), "shard", ["at"], "size", 50, 20_000)
     assert one.select(F.spark_partition_id().alias("p")).distinct().count() == 4
     assert throttle.release_seconds(table.limit(0), "shard", ["at"], "size", 50, 20_000).count() == 0
+
+
+def test_factors_bring_no_shard_to_one_task(spark):
+    table = spark.range(10).select(F.lit("s").alias("shard"), F.col("id").alias("at"), F.lit(1).alias("size"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")  # as a list of factors has no known size
+    try:
+        out = throttle.release_seconds(table, "shard", ["at"], "size", 2, 20_000, spark.createDataFrame([("s", 0.5)], "shard string, factor double"))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert [r.release_second for r in out.orderBy("at").collect()] == list(range(10))

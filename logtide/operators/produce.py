@@ -47,13 +47,27 @@ def plan(new: DataFrame, retries: DataFrame, shards: DataFrame, settings: Produc
     return batching.greedy_batches(sent, None, ["release_second", *arrival], "payload_bytes", max_bytes, max_records)
 
 
+#: Rows of a partition of responses.
+PART_ROWS = 500_000
+
+
+def parts_for(spark, rows: int) -> int:
+    """Partitions for so many rows: those of the session, or as many as keep each within PART_ROWS."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // PART_ROWS))
+
+
 def split_responses(sent: DataFrame, responses: DataFrame) -> DataFrame:
     """Requests with the outcome of their entry (ok, retry, failed). sent and responses: by (batch, pos)."""
     return sent.join(responses.select("batch", "pos", "error_code"), ["batch", "pos"]).withColumn("outcome", entry_outcome(F.col("error_code")))
 
 
-def chunk_completion(outcomes: DataFrame, chunk: str = "chunk_id") -> DataFrame:
-    """State of each produced chunk: failed with its first failure, complete when all entries are ok, pending otherwise."""
+def chunk_completion(outcomes: DataFrame, chunk: str = "chunk_id", rows: int | None = None) -> DataFrame:
+    """State of each produced chunk: failed with its first failure, complete when all entries are ok, pending otherwise.
+
+    rows: how many entries there are at most, where that is known, so that tasks don't grow with them.
+    """
+    if rows is not None:
+        outcomes = outcomes.repartition(parts_for(outcomes.sparkSession, rows), chunk)
     failed = F.max((F.col("outcome") == "failed").cast("int")) == 1
     done = F.min((F.col("outcome") == "ok").cast("int")) == 1
     return outcomes.groupBy(chunk).agg(F.count("*").alias("entries"), F.when(failed, "failed").when(done, "complete").otherwise("pending").alias("state"))

@@ -203,13 +203,14 @@ def produce_aggregated(spark, sf_dir):
 CODE_SQL = "CASE l_returnflag WHEN 'R' THEN CASE l_linestatus WHEN 'F' THEN 'InternalFailure' ELSE 'ProvisionedThroughputExceededException' END WHEN 'A' THEN 'ValidationException' END"
 
 
-def _responses(spark, sf_dir):
+def _responses(spark, sf_dir, rows):
     flag = F.col("l_returnflag")
     code = F.when(flag == "R", F.when(F.col("l_linestatus") == "F", "InternalFailure").otherwise("ProvisionedThroughputExceededException")).when(flag == "A", "ValidationException")
     sent = produced(spark, sf_dir).select(F.col("l_orderkey").alias("batch"), F.col("l_linenumber").alias("pos"), "partition_key")
     answered = produced(spark, sf_dir).select(F.col("l_orderkey").alias("batch"), F.col("l_linenumber").alias("pos"), code.alias("error_code"))
-    # a response stands at the position of its request; positions are made unique
-    first = lambda df, c: df.groupBy("batch", "pos").agg(F.min(c).alias(c))
+    # a response stands at the position of its request; positions are made unique; one sort of bounded partitions serves both this and the join
+    parts = produce.parts_for(spark, rows)
+    first = lambda df, c: df.repartition(parts, "batch", "pos").groupBy("batch", "pos").agg(F.min(c).alias(c))
     return produce.split_responses(first(sent, "partition_key"), first(answered, "error_code"))
 
 
@@ -222,7 +223,7 @@ FROM (SELECT l_orderkey AS batch, l_linenumber AS pos, min(CAST(l_orderkey AS VA
 @query(RESPONSES_SQL)
 def put_response_split(spark, sf_dir):
     """Entries of responses: done, to be retried or failed."""
-    return _responses(spark, sf_dir).select("batch", "pos", "partition_key", "error_code", "outcome")
+    return _responses(spark, sf_dir, table(spark, sf_dir, "lineitem").count()).select("batch", "pos", "partition_key", "error_code", "outcome")
 
 
 @query(f"""
@@ -230,7 +231,8 @@ SELECT batch AS chunk_id, count(*) AS entries, CASE WHEN bool_or(outcome = 'fail
 """)
 def chunk_completion(spark, sf_dir):
     """State of produced chunks."""
-    return produce.chunk_completion(_responses(spark, sf_dir).withColumnRenamed("batch", "chunk_id"))
+    rows = table(spark, sf_dir, "lineitem").count()
+    return produce.chunk_completion(_responses(spark, sf_dir, rows).withColumnRenamed("batch", "chunk_id"), rows=rows)
 
 
 @query("""

@@ -295,6 +295,17 @@ def test_chunks(spark):
     assert {r.chunk_id: r.state for r in produce.chunk_completion(rows).collect()} == {1: "complete", 2: "pending", 3: "failed"}
 
 
+def test_tasks_of_responses_do_not_grow(spark, sf_dir, monkeypatch):
+    from logtide.plans import producing
+
+    monkeypatch.setattr(produce, "PART_ROWS", 500, raising=False)
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    out = producing.chunk_completion(spark, sf_dir)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f", {-(-rows // 500)}), REPARTITION_BY_NUM") == 3 and "ENSURE_REQUIREMENTS" not in plan
+    assert out.agg(F.sum("entries")).first()[0] == spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber").distinct().count()
+
+
 def test_resume_inside_an_aggregate(spark):
     rows = spark.createDataFrame([("s", f"{1:040d}", i) for i in range(10)], "shard_id string, sequence_number string, sub_sequence_number long")
     held = spark.createDataFrame([("s", None, f"{1:040d}", 4)], "shard_id string, special string, seq string, sub_seq long")

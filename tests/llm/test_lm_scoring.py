@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -113,6 +114,49 @@ def test_gradients_against_differences():
         assert (more - less) / 2e-5 == pytest.approx(float(g[name][at]), rel=2e-3, abs=1e-5), name
 
 
+def test_a_step_uses_its_arrays_again():
+    model, rng = small_model(5)
+    stream = lm.Stream()
+    for n in (900, 0, 700, 2_000):
+        stream.add(rng.choice(lm.END, n).astype("<u2"))
+    some = lm.chosen_windows(model.slot, *stream.arrays(), np.r_[0:60, 90:158])  # two runs of windows
+    want_loss, want = lm.gradients(model, *some)
+    space, adam = lm.Space(), lm.Adam(model.copy(), 0.01)
+    lm.gradients(model, *(a[:40] for a in some), space, adam.g)
+    lm.gradients(model, *(a[::-1] for a in some), space, adam.g)
+    tracemalloc.start()
+    loss, got = lm.gradients(model, *some, space, adam.g)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1_500_000  # with fresh arrays, these 128 windows took 5.4 MB
+    assert loss == pytest.approx(want_loss) and all(np.allclose(got[k], want[k], rtol=1e-4, atol=1e-6) for k in want)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 100])
+def test_requests_for_a_word_meet_across_batches(size):
+    rng = np.random.default_rng(size)
+    rows = sorted((b"w%d" % w, b, c, int(n)) for w in range(12) for b, (c, n) in enumerate(zip(rng.integers(0, 99, 5), rng.integers(0, 3, rng.integers(1, 6)))))
+    batches = (pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*[(b, c, w, n) for w, b, c, n in rows[a : a + size]]), (pa.int64(), pa.int32(), pa.binary(), pa.int64()))], ["block", "code", "word", "n"]) for a in range(0, len(rows), size))
+    got = [r for b in lm.known_words(batches, lm.vocabulary_path()) for r in b.to_pylist()]
+    total = Counter()
+    for w, _, _, n in rows:
+        total[w] += n
+    encode = lm.splitter(lm.vocabulary_path()).encode_ordinary
+    assert [(r["block"], r["code"], r["n"] >> 1, r["payload"]) for r in got] == [(b, c, total[w], np.array(encode(" " + w.decode()), "<u2").tobytes()) for w, b, c, _ in rows]
+    assert sum(r["n"] & 1 for r in got) == len(total)
+
+
+def test_words_are_shuffled_once(spark):
+    docs = spark.createDataFrame([(i, f"w{i % 7} x{i}") for i in range(50)], "doc_id long, text string")
+    cut, plans = lm.Scratch.cut, []
+    lm.Scratch.cut = lambda self, df, name, rows=None: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or cut(self, df, name, rows)
+    try:
+        lm.scores(docs, rounds=0)
+    finally:
+        lm.Scratch.cut = cut
+    assert not any("Join" in p or "Aggregate" in p for p in plans) and sum(p.count("Repartition") for p in plans) == 2
+
+
 def test_every_window_is_learnt_from():
     model, rng = small_model(4)
     texts = [rng.choice(lm.END, n).astype("<u2") for n in [70_000, 0, 5, *rng.integers(0, 3_000, 60)]]
